@@ -45,7 +45,7 @@ def top_categories(df: DataFrame, n: int = TOP_LANGUAGES, col: str = "primary_la
 
 def keep_top(df: DataFrame, top: DataFrame, col: str = "primary_language") -> DataFrame:
     """Rows of the categories in `top`, a list cut to n rows by `top_categories`."""
-    return df.join(F.broadcast(top.select(col)), col, "left_semi")
+    return df.join(F.broadcast(top.select(col)), col, "left_semi").select(*df.columns)
 
 
 def growth_index(shares: DataFrame, col: str = "primary_language", share: str = "share") -> DataFrame:
