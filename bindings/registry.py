@@ -25,7 +25,7 @@ ROLE_SQL = {
     "pushes": """
         SELECT concat_ws('-', l_orderkey, l_linenumber) AS event_id, 'PushEvent' AS event_type,
                l_partkey AS repo_name, CAST(l_suppkey AS VARCHAR) AS head_sha,
-               CAST(l_shipdate AS VARCHAR) AS created_at
+               CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS created_at
         FROM lineitem""",
     "metadata": """
         SELECT p_partkey AS repo_name, CAST(p_partkey % 100 AS VARCHAR) AS head_sha,

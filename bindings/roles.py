@@ -35,7 +35,7 @@ def pushes(spark, sf):
         F.lit(PUSH_EVENT).alias("event_type"),
         F.col("l_partkey").alias("repo_name"),
         F.col("l_suppkey").cast("string").alias("head_sha"),
-        F.col("l_shipdate").cast("string").alias("created_at"),
+        F.col("l_shipdate").cast("date").cast("string").alias("created_at"),
     )
 
 

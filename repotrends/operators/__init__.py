@@ -6,7 +6,7 @@ from .coverage import (  # noqa: F401
 )
 from .enrich import (  # noqa: F401
     attach_dominant, attach_metadata, dominant_category, fits_broadcast, language_rows,
-    one_row_per_key,
+    one_row_per_key, short_list,
 )
 from .events import (  # noqa: F401
     ai_pull_requests, count_by, first_event, preview_messages, pull_request_events, push_events,

@@ -1,11 +1,15 @@
 """Metadata joins and per-repository language choice."""
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame, functions as F
 
 from ..schemas import ENRICHED, METADATA, OTHER_LANGUAGE, TARGET_LANGUAGES
 
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 128 << 20
+SHORT_LIST_ROWS = 100_000
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS,
@@ -22,6 +26,11 @@ def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS,
     return size["n"] <= max_rows and size["bytes"] <= max_bytes
 
 
+def short_list(df: DataFrame, n: int) -> DataFrame:
+    """Hint a broadcast for a list that was cut to n rows, if n is small enough."""
+    return F.broadcast(df) if n <= SHORT_LIST_ROWS else df
+
+
 def one_row_per_key(df: DataFrame, keys) -> DataFrame:
     """One row per key, the smallest in column order, so every run keeps the same one."""
     rest = [c for c in df.columns if c not in keys]
@@ -43,13 +52,15 @@ def _salted_join(left, right, keys, spread_by, min_rows, salts):
     """Left join that spreads each hot key of `left` over `salts` tasks.
 
     Only the rows of hot keys are copied on the right, once per salt. Every left row has
-    one salt and meets all right rows of its key, so the result is the plain join's.
+    one salt and meets all right rows of its key, so the result is the plain join's. Rows
+    with a NULL key match nothing and are spread as well.
     """
     hot = F.broadcast(hot_keys(left, keys, min_rows).withColumn("hot", F.lit(True)))
     is_hot = F.coalesce(F.col("hot"), F.lit(False))
     salt = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
     copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    left = left.join(hot, keys, "left").withColumn("salt", F.when(is_hot, salt).otherwise(0))
+    spread = reduce(or_, (F.col(k).isNull() for k in keys), is_hot)
+    left = left.join(hot, keys, "left").withColumn("salt", F.when(spread, salt).otherwise(0))
     right = right.join(hot, keys, "left").withColumn("salt", F.explode(copies))
     return left.drop("hot").join(right.drop("hot"), [*keys, "salt"], "left").drop("salt")
 

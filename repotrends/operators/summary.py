@@ -76,28 +76,30 @@ def summary_from_parts(pushes: DataFrame, meta: DataFrame, small_metadata=None,
     repository and month; message texts never are.
 
     small_metadata  None: leave the join to Catalyst's size estimates. A predicate on the
-    reduced metadata (see `fits_broadcast`): where it holds, broadcast it and join before
-    the push counts are shuffled, which drops pushes of unknown repositories in the scan task.
+    reduced metadata (see `fits_broadcast`): where it holds, broadcast it, and drop the
+    pushes of unknown repositories in the scan task already.
     """
     weights = metadata_weights(meta, buckets, default, **rules)
     counts = [c for c in _count_columns(buckets, default) if c != "unique_repos"]
+    at = F.col("created_at")
+    # Year and month as one key; both parts can be cut out of it again without loss.
     months = pushes.filter(F.col("repo_name").isNotNull()).select(
-        "repo_name",
-        year_of(F.col("created_at")).alias("year"),
-        month_of(F.col("created_at")).alias("month"),
+        "repo_name", F.concat(year_of(at), month_of(at)).alias("yyyymm")
     )
     if small_metadata is not None and small_metadata(weights):
-        per_repo = months.join(F.broadcast(weights), "repo_name").groupBy(
-            *SUMMARY_KEYS, "repo_name"
-        ).agg(*(F.sum(c).alias(c) for c in counts))
-    else:
-        pushed = months.groupBy("repo_name", "year", "month").agg(F.count(F.lit(1)).alias("pushes"))
-        per_repo = pushed.join(weights, "repo_name").select(
-            *SUMMARY_KEYS, *((F.col("pushes") * F.col(c)).alias(c) for c in counts)
-        )
-    # One row per keys and repository by now: counting rows counts repositories.
-    return per_repo.groupBy(*SUMMARY_KEYS).agg(
+        weights = F.broadcast(weights)
+        months = months.join(F.broadcast(weights.select("repo_name")), "repo_name", "left_semi")
+    pushed = months.groupBy("repo_name", "yyyymm").agg(F.count(F.lit(1)).alias("pushes"))
+    # One row per month, language and repository: counting rows counts repositories.
+    joined = pushed.join(weights, "repo_name").select(
+        "yyyymm", "primary_language", *((F.col("pushes") * F.col(c)).alias(c) for c in counts)
+    )
+    summed = joined.groupBy("yyyymm", "primary_language").agg(
         F.sum("total_commits").alias("total_commits"),
         F.count(F.lit(1)).alias("unique_repos"),
         *(F.sum(c).alias(c) for c in counts if c != "total_commits"),
     )
+    return summed.select(
+        F.substring("yyyymm", 1, 4).alias("year"), F.substring("yyyymm", 5, 2).alias("month"),
+        "primary_language", *_count_columns(buckets, default),
+    )

@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions import month_start, percent_label, share_of
 from ..schemas import REST_LABEL, TARGET_LANGUAGES, TOP_LANGUAGES
+from .enrich import short_list
 
 
 def target_rows(df: DataFrame, targets=TARGET_LANGUAGES, col: str = "primary_language") -> DataFrame:
@@ -12,11 +13,16 @@ def target_rows(df: DataFrame, targets=TARGET_LANGUAGES, col: str = "primary_lan
 
 def monthly_volume(summary: DataFrame, col: str = "primary_language",
                    value: str = "total_commits") -> DataFrame:
-    """Total per month start and category; rows without a valid month are left out."""
-    dated = summary.withColumn("date", month_start(F.col("year"), F.col("month")))
-    return dated.filter(F.col("date").isNotNull()).groupBy("date", col).agg(
-        F.sum(value).alias(value)
+    """Total per month start and category; rows without a valid month are left out.
+
+    They are told by a count of dates in the group. A test on the date itself would be
+    pushed below the summary's own grouping and parse a date for every push.
+    """
+    date = month_start(F.col("year"), F.col("month"))
+    totals = summary.withColumn("date", date).groupBy("date", col).agg(
+        F.sum(value).alias(value), F.count("date").alias("dated")
     )
+    return totals.filter(F.col("dated") > 0).drop("dated")
 
 
 def month_share(monthly: DataFrame, value: str = "total_commits") -> DataFrame:
@@ -43,9 +49,10 @@ def top_categories(df: DataFrame, n: int = TOP_LANGUAGES, col: str = "primary_la
     return category_volume(df, col, value).orderBy(F.desc(value), col).limit(n)
 
 
-def keep_top(df: DataFrame, top: DataFrame, col: str = "primary_language") -> DataFrame:
+def keep_top(df: DataFrame, top: DataFrame, n: int = TOP_LANGUAGES,
+             col: str = "primary_language") -> DataFrame:
     """Rows of the categories in `top`, a list cut to n rows by `top_categories`."""
-    return df.join(F.broadcast(top.select(col)), col, "left_semi").select(*df.columns)
+    return df.join(short_list(top.select(col), n), col, "left_semi").select(*df.columns)
 
 
 def growth_index(shares: DataFrame, col: str = "primary_language", share: str = "share") -> DataFrame:
@@ -85,7 +92,7 @@ def mix_with_rest(df: DataFrame, n: int = TOP_LANGUAGES, col: str = "primary_lan
     """
     volume = category_volume(df, col, value).filter(F.col(value) > 0)
     top = volume.orderBy(F.desc(value), col).limit(n)
-    tagged = volume.join(F.broadcast(top.select(col, F.lit(False).alias("is_rest"))), col, "left")
+    tagged = volume.join(short_list(top.select(col, F.lit(False).alias("is_rest")), n), col, "left")
     is_rest = F.coalesce("is_rest", F.lit(True))
     parts = tagged.groupBy(
         is_rest.alias("is_rest"), F.when(is_rest, F.lit(rest)).otherwise(F.col(col)).alias(col)

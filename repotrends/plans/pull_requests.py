@@ -3,7 +3,8 @@
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import (
-    ai_pull_requests, attach_dominant, count_by, dominant_category, pull_request_events, top_rows,
+    ai_pull_requests, attach_dominant, count_by, dominant_category, pull_request_events, short_list,
+    top_rows,
 )
 from ..schemas import PR_TERMS, TARGET_LANGUAGES, TOP_REPOS
 from ..sources import read_event_lines, write_once
@@ -19,11 +20,11 @@ def ai_repos_with_language(ai_repos: DataFrame, languages: DataFrame, top: int =
                            allowed=TARGET_LANGUAGES) -> DataFrame:
     """The top repositories with their dominant language.
 
-    The top list is cut to `top` rows, so it can be broadcast to pick its rows out of the
-    language table before anything is grouped.
+    The top list is cut to `top` rows, so while that is a short list it is broadcast to pick
+    its rows out of the language table before anything is grouped.
     """
     best = top_rows(ai_repos, top, F.desc("ai_pr_count"), "repo_name")
-    rows = languages.join(F.broadcast(best.select("repo_name")), "repo_name", "left_semi")
+    rows = languages.join(short_list(best.select("repo_name"), top), "repo_name", "left_semi")
     return attach_dominant(best, dominant_category(rows, allowed=allowed))
 
 

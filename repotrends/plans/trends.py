@@ -17,9 +17,13 @@ def language_shares(summary: DataFrame, targets=TARGET_LANGUAGES) -> DataFrame:
 
 def language_share_trend(summary: DataFrame, targets=TARGET_LANGUAGES,
                          top: int = TOP_LANGUAGES) -> DataFrame:
-    """Monthly shares of the largest target languages."""
-    shares = language_shares(summary, targets)
-    return keep_top(shares, top_categories(target_rows(summary, targets), top))
+    """Monthly shares of the largest target languages.
+
+    Shares and top list start from the same monthly volume, so Spark computes it once and
+    reuses its exchange.
+    """
+    monthly = monthly_volume(target_rows(summary, targets))
+    return keep_top(month_share(monthly), top_categories(monthly, top), top)
 
 
 def language_growth_index(summary: DataFrame, targets=TARGET_LANGUAGES,
