@@ -54,7 +54,14 @@ def event_log_scan(spark, sf):
 @query("event_text_scan", """
 SELECT source AS repo_name, lang AS title, text AS body, source AS head_ref FROM documents""")
 def event_text_scan(spark, sf):
-    return op.pull_request_events(src.read_event_lines(spark, r.stored_log(spark, sf)))
+    lines = src.read_event_lines(spark, r.stored_log(spark, sf))
+    return op.pull_request_events(op.parse_pull_request_lines(lines))
+
+
+@query("pull_request_scan", """
+SELECT source AS repo_name, lang AS title, text AS body, source AS head_ref FROM documents""")
+def pull_request_scan(spark, sf):
+    return op.pull_request_events(src.read_pull_request_events(spark, r.stored_log(spark, sf)))
 
 
 @query("malformed_lines", """
@@ -415,7 +422,7 @@ SELECT substr(CAST(l_shipdate AS VARCHAR), 1, 4) AS year,
        count(DISTINCT l_orderkey) AS unique_orders
 FROM lineitem GROUP BY 1, 2""")
 def distinct_per_group(spark, sf):
-    day = F.col("l_shipdate").cast("string")
+    day = F.col("l_shipdate").cast("date").cast("string")
     return r.table(spark, sf, "lineitem").groupBy(
         fn.year_of(day).alias("year"), fn.month_of(day).alias("month")
     ).agg(F.count_distinct("l_orderkey").alias("unique_orders"))
@@ -576,32 +583,58 @@ def snapshot_gaps(spark, sf):
 
 # --- whole jobs over stored files -------------------------------------------------------
 
-@query("enriched_pushes_job", "WITH log AS (" + _PUSH_SQL + """),
+_SAMPLED_USERS = """
 months AS (SELECT DISTINCT strftime(ts, '%y%m') AS yymm, user_id FROM events),
 sampled AS (
-    SELECT user_id FROM (
+    SELECT user_id, CASE WHEN user_id < 50 THEN 'fix by Claude ' ELSE 'add ' END
+                    || CAST(user_id AS VARCHAR) AS commit_message
+    FROM (
         SELECT *, row_number() OVER (PARTITION BY yymm ORDER BY
                                      md5('0' || CAST(user_id AS VARCHAR)), user_id) AS r
-        FROM months) WHERE r <= 100)
-SELECT repo_name, event_id, log.event_type, head_sha, created_at,
-       'fix u' || CAST(user_id AS VARCHAR) AS commit_message, CAST(NULL AS VARCHAR) AS author_email,
-       CASE WHEN user_id IS NOT NULL THEN 'Go' END AS primary_language
-FROM log LEFT JOIN sampled ON repo_name = 'org/r' || CAST(user_id AS VARCHAR)""")
-def enriched_pushes_job(spark, sf):
-    """Event files and monthly metadata files (at most 100 entries each) to enriched pushes."""
-    log, meta = r.stored_log(spark, sf), src.scratch_path(spark, "metadata")
+        FROM months) WHERE r <= 100)"""
+
+
+def _stored_metadata(spark, sf):
+    """Monthly metadata files, each one JSON array of at most 100 sampled repositories."""
+    path = src.scratch_path(spark, "metadata")
     users = r.table(spark, sf, "events").select(
         F.date_format("ts", "yyMM").alias("yymm"), "user_id"
     ).distinct()
+    message = F.when(F.col("user_id") < 50, "fix by Claude ").otherwise("add ")
     entry = F.struct(
         F.concat(F.lit("org/r"), F.col("user_id")).alias("repo_name"),
-        F.concat(F.lit("fix u"), F.col("user_id")).alias("commit_message"),
+        F.concat(message, F.col("user_id")).alias("commit_message"),
         F.lit("Go").alias("primary_language"),
     )
     op.seeded_sample(users, "yymm", "user_id").groupBy("yymm").agg(
         F.to_json(F.collect_list(entry)).alias("value")
-    ).write.partitionBy("yymm").text(meta)
-    return plans.enriched_pushes(spark, log, meta + "/*")
+    ).write.partitionBy("yymm").text(path)
+    return path + "/*"
+
+
+@query("enriched_pushes_job", "WITH log AS (" + _PUSH_SQL + ")," + _SAMPLED_USERS + """
+SELECT repo_name, event_id, log.event_type, head_sha, created_at, commit_message,
+       CAST(NULL AS VARCHAR) AS author_email,
+       CASE WHEN user_id IS NOT NULL THEN 'Go' END AS primary_language
+FROM log LEFT JOIN sampled ON repo_name = 'org/r' || CAST(user_id AS VARCHAR)""")
+def enriched_pushes_job(spark, sf):
+    """Event files and metadata files to enriched pushes."""
+    return plans.enriched_pushes(spark, r.stored_log(spark, sf), _stored_metadata(spark, sf))
+
+
+@query("activity_job", "WITH log AS (" + _PUSH_SQL + ")," + _SAMPLED_USERS + """
+SELECT substr(created_at, 1, 4) AS year, substr(created_at, 6, 2) AS month,
+       'Go' AS primary_language, count(*) AS total_commits, count(DISTINCT repo_name) AS unique_repos,
+       count(*) FILTER (user_id < 50) AS ai_commits, CAST(0 AS BIGINT) AS feat_commits,
+       count(*) FILTER (user_id < 50) AS fix_commits, CAST(0 AS BIGINT) AS refactor_commits,
+       CAST(0 AS BIGINT) AS docs_commits, CAST(0 AS BIGINT) AS chore_commits
+FROM log JOIN sampled ON repo_name = 'org/r' || CAST(user_id AS VARCHAR)
+GROUP BY 1, 2""")
+def activity_job(spark, sf):
+    """Event and metadata files to stored pushes, enriched pushes and monthly summary."""
+    return plans.run_activity(
+        spark, r.stored_log(spark, sf), _stored_metadata(spark, sf), src.scratch_path(spark, "activity")
+    )
 
 
 @query("ai_pr_repos_job", ctes("source_prs") + "SELECT * FROM source_prs")

@@ -9,7 +9,8 @@ from .enrich import (  # noqa: F401
     one_row_per_key, short_list,
 )
 from .events import (  # noqa: F401
-    ai_pull_requests, count_by, first_event, preview_messages, pull_request_events, push_events,
+    ai_pull_requests, count_by, first_event, parse_pull_request_lines, preview_messages,
+    pull_request_events, push_events,
 )
 from .sampling import (  # noqa: F401
     latest_per_key, metadata_targets, push_heads, seeded_sample, top_n_per_group, top_rows,

@@ -25,21 +25,25 @@ def _may_hold(line: Column, word: str) -> Column:
     return F.contains(line, F.lit(word)) | F.contains(line, F.lit("\\u"))
 
 
-def pull_request_events(lines: DataFrame, event_type: str = PULL_REQUEST_EVENT) -> DataFrame:
-    """Pull-request rows from raw lines; missing texts become empty.
+def parse_pull_request_lines(lines: DataFrame, event_type: str = PULL_REQUEST_EVENT) -> DataFrame:
+    """Raw text lines to the fields that `pull_request_events` reads.
 
-    A line that can match is parsed once, into the five fields in use. `inline` holds that
-    parse in place: as a plain column it would be repeated in the filter on the type.
+    A line that can match is parsed once, into five fields. `inline` holds that parse in
+    place: as a plain column it would be repeated in the filter on the type.
     """
-    parsed = lines.filter(_may_hold(F.col("value"), event_type)).select(
+    return lines.filter(_may_hold(F.col("value"), event_type)).select(
         F.inline(F.array(F.from_json("value", PULL_REQUEST_LINE)))
     )
+
+
+def pull_request_events(events: DataFrame, event_type: str = PULL_REQUEST_EVENT) -> DataFrame:
+    """Pull-request rows, flattened; missing texts become empty."""
     text = {
         "title": "payload.pull_request.title",
         "body": "payload.pull_request.body",
         "head_ref": "payload.pull_request.head.ref",
     }
-    return parsed.filter(F.col("type") == F.lit(event_type)).select(
+    return events.filter(F.col("type") == F.lit(event_type)).select(
         F.col("repo.name").alias("repo_name"),
         *(F.coalesce(F.col(path), F.lit("")).alias(name) for name, path in text.items()),
     )

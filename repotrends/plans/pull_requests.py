@@ -7,12 +7,12 @@ from ..operators import (
     top_rows,
 )
 from ..schemas import PR_TERMS, TARGET_LANGUAGES, TOP_REPOS
-from ..sources import read_event_lines, write_once
+from ..sources import read_pull_request_events, write_once
 
 
 def ai_pr_repos(spark: SparkSession, log_path, terms=PR_TERMS) -> DataFrame:
     """Matching pull requests per repository, most first."""
-    prs = pull_request_events(read_event_lines(spark, log_path))
+    prs = pull_request_events(read_pull_request_events(spark, log_path))
     return count_by(ai_pull_requests(prs, terms)).orderBy(F.desc("ai_pr_count"), "repo_name")
 
 

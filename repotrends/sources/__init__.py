@@ -2,7 +2,7 @@
 
 from .readers import (  # noqa: F401
     MissingInputError, read_ai_repos, read_enriched_tsv, read_event_lines, read_events,
-    read_jdbc_table, read_language_bytes, read_metadata, require_rows,
+    read_jdbc_table, read_language_bytes, read_metadata, read_pull_request_events, require_rows,
 )
 from .scratch import scratch_path  # noqa: F401
 from .writers import (  # noqa: F401

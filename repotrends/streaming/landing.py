@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import file_month_key
 from ..operators import pull_request_events, push_events
-from ..schemas import EVENT
+from ..schemas import EVENT, PULL_REQUEST_LINE
 
 
 def push_stream(spark: SparkSession, path: str, max_files: int = 10_000) -> DataFrame:
@@ -20,7 +20,8 @@ def push_stream(spark: SparkSession, path: str, max_files: int = 10_000) -> Data
 
 def pull_request_stream(spark: SparkSession, path: str, max_files: int = 10_000) -> DataFrame:
     """Pull requests of new files."""
-    return pull_request_events(spark.readStream.option("maxFilesPerTrigger", max_files).text(path))
+    reader = spark.readStream.schema(PULL_REQUEST_LINE).option("maxFilesPerTrigger", max_files)
+    return pull_request_events(reader.json(path))
 
 
 def land_new_files(stream: DataFrame, dest: str, checkpoint: str, partition_by=()) -> None:

@@ -72,7 +72,8 @@ def test_event_scan_skips_malformed_lines(spark, raw):
 
 
 def test_missing_inputs(spark, tmp_path):
-    for read in (src.read_events, src.read_event_lines, src.read_ai_repos, src.read_enriched_tsv):
+    for read in (src.read_events, src.read_event_lines, src.read_pull_request_events, src.read_ai_repos,
+                 src.read_enriched_tsv):
         with pytest.raises(src.MissingInputError):
             read(spark, str(tmp_path / "none" / "*.gz"))
     none = src.read_metadata(spark, str(tmp_path / "none_*.json"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from repotrends import operators as op
 from repotrends.schemas import ENRICHED, METADATA, PUSH, SUMMARY
+from repotrends.sources import read_pull_request_events
 
 D = datetime.date
 
@@ -117,7 +118,7 @@ def test_count_by_leaves_out_null_keys(spark):
     assert rows(op.count_by(df)) == [("a", 2)]
 
 
-def test_pull_request_lines(spark):
+def test_pull_request_lines(spark, tmp_path):
     lines = [
         '{"type":"PullRequestEvent","repo":{"name":"a/x"},"payload":{"pull_request":'
         '{"title":"Use GPT","body":null,"head":{"ref":"b"}}}}',
@@ -129,13 +130,16 @@ def test_pull_request_lines(spark):
         'not json', '',
     ]
     df = spark.createDataFrame([(x,) for x in lines], "value string")
-    assert rows(op.pull_request_events(df)) == [
-        ("a/x", "Use GPT", "", "b"), ("a/y", "", "", ""), ("a/z", "", "", ""), ("esc", "", "", "")]
-    ai = op.ai_pull_requests(op.pull_request_events(df))
+    prs = op.pull_request_events(op.parse_pull_request_lines(df))
+    want = [("a/x", "Use GPT", "", "b"), ("a/y", "", "", ""), ("a/z", "", "", ""), ("esc", "", "", "")]
+    assert rows(prs) == want
+    df.write.text(str(tmp_path / "log"))
+    assert rows(op.pull_request_events(read_pull_request_events(spark, str(tmp_path / "log")))) == want
+    ai = op.ai_pull_requests(prs)
     assert rows(op.count_by(ai)) == [("a/x", 1)]
 
 
-def test_pull_request_lines_agree_with_path_lookups(spark):
+def test_pull_request_lines_agree_with_path_lookups(spark, tmp_path):
     """Same rows as one JSON path lookup per field."""
     values = ['"t"', "null", "7", "true", '{"a": 1}', '["x"]', '"caf\\u00e9 \\"q\\" \\n"', '""']
     lines = [
@@ -148,7 +152,10 @@ def test_pull_request_lines_agree_with_path_lookups(spark):
     want = df.select(path("$.repo.name"), *(
         F.coalesce(path("$.payload.pull_request." + p), F.lit("")) for p in ("title", "body", "head.ref")))
     strip = lambda rs: [tuple(str(v).replace(" ", "") for v in r) for r in rs]
-    assert strip(rows(op.pull_request_events(df))) == strip(rows(want))
+    assert strip(rows(op.pull_request_events(op.parse_pull_request_lines(df)))) == strip(rows(want))
+    df.write.text(str(tmp_path / "log"))
+    scanned = read_pull_request_events(spark, str(tmp_path / "log"))
+    assert strip(rows(op.pull_request_events(scanned))) == strip(rows(want))
 
 
 def test_preview_and_peek(spark):

@@ -139,19 +139,22 @@ def test_a_long_top_list_is_not_broadcast(large):
 
 
 def test_event_filter_and_columns_reach_the_scan(spark, tmp_path):
-    from repotrends.sources import read_events
+    from repotrends.sources import read_events, read_pull_request_events
 
     spark.range(1).selectExpr("'{}' AS value").write.text(str(tmp_path / "log"))
     plan = first_plan(op.push_events(read_events(spark, str(tmp_path / "log"))))
     assert "PushedFilters: [IsNotNull(type), EqualTo(type,PushEvent)]" in plan
     counted = op.count_by(op.push_events(read_events(spark, str(tmp_path / "log"))))
     assert "ReadSchema: struct<type:string,repo:struct<name:string>>" in first_plan(counted)
+    prs = op.pull_request_events(read_pull_request_events(spark, str(tmp_path / "log")))
+    assert "PushedFilters: [IsNotNull(type), EqualTo(type,PullRequestEvent)]" in first_plan(prs)
+    assert "pull_request" not in first_plan(op.count_by(prs))
 
 
 def test_each_line_is_parsed_once(spark, tmp_path):
     spark.range(1).selectExpr("'{}' AS value").write.text(str(tmp_path / "log"))
     lines = spark.read.text(str(tmp_path / "log"))
-    plan = first_plan(op.ai_pull_requests(op.pull_request_events(lines)))
+    plan = first_plan(op.ai_pull_requests(op.pull_request_events(op.parse_pull_request_lines(lines))))
     assert plan.count("from_json") == 1
 
 
