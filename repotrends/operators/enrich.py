@@ -13,10 +13,11 @@ SHORT_LIST_ROWS = 100_000
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS,
-                   max_bytes: int = BROADCAST_BYTES) -> bool:
-    """Measure a small side before hinting a broadcast. Runs a job that stops at
+                   max_bytes: int = BROADCAST_BYTES, fixed_width: int = 128) -> bool:
+    """Measure a small side before hinting a broadcast: its rows, and its bytes as the
+    texts' lengths plus `fixed_width` per row for all else. Runs a job that stops at
     `max_rows + 1` rows, so a large side costs no full pass."""
-    width = F.lit(16 * len(df.columns)).cast("long")
+    width = F.lit(fixed_width).cast("long")
     for name, kind in df.dtypes:
         if kind == "string":
             width = width + F.coalesce(F.octet_length(name), F.lit(0))

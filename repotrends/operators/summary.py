@@ -29,8 +29,7 @@ def classify(rows: DataFrame, terms=COMMIT_TERMS, email_terms=EMAIL_TERMS, bucke
 
 
 def _ai_by_task(task):
-    hit = F.when((F.col("is_ai") == 1) & (F.col("task_type") == task), F.lit(1)).otherwise(0)
-    return F.sum(hit)
+    return F.count_if((F.col("is_ai") == 1) & (F.col("task_type") == task))
 
 
 def monthly_language_summary(enriched: DataFrame, buckets=TASK_BUCKETS, default=DEFAULT_TASK,
@@ -75,9 +74,10 @@ def summary_from_parts(pushes: DataFrame, meta: DataFrame, small_metadata=None,
     meet and no repository's pairs are ever written out. What is shuffled is one row per
     repository and month; message texts never are.
 
-    small_metadata  None: leave the join to Catalyst's size estimates. A predicate on the
-    reduced metadata (see `fits_broadcast`): where it holds, broadcast it, and drop the
-    pushes of unknown repositories in the scan task already.
+    small_metadata  None: leave the join to Catalyst's size estimates. A predicate such as
+    `fits_broadcast`, asked about the metadata's keys (the reduced metadata has no more
+    rows): where it holds, broadcast, and drop the pushes of unknown repositories in the
+    scan task already.
     """
     weights = metadata_weights(meta, buckets, default, **rules)
     counts = [c for c in _count_columns(buckets, default) if c != "unique_repos"]
@@ -86,7 +86,7 @@ def summary_from_parts(pushes: DataFrame, meta: DataFrame, small_metadata=None,
     months = pushes.filter(F.col("repo_name").isNotNull()).select(
         "repo_name", F.concat(year_of(at), month_of(at)).alias("yyyymm")
     )
-    if small_metadata is not None and small_metadata(weights):
+    if small_metadata is not None and small_metadata(meta.select("repo_name", "primary_language")):
         weights = F.broadcast(weights)
         months = months.join(F.broadcast(weights.select("repo_name")), "repo_name", "left_semi")
     pushed = months.groupBy("repo_name", "yyyymm").agg(F.count(F.lit(1)).alias("pushes"))
