@@ -2,6 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..functions import file_month_key
 from ..operators import (
     attach_metadata, fits_broadcast, metadata_targets, monthly_language_summary, one_row_per_key,
     push_events, push_heads, summary_from_parts,
@@ -31,10 +32,12 @@ def run_activity(spark: SparkSession, log_path, meta_path, out: str, match: str
                  dedupe: bool = False, skew: str = "adaptive") -> DataFrame:
     """Store pushes, enriched pushes and summary under `out`; return the summary.
 
-    The log is parsed once, into Parquet: gzip text gives one task per file and no column
-    pruning, Parquet gives both to every later stage. A rerun skips complete stages.
+    The log is parsed once, into Parquet by month: gzip text gives one task per file and no
+    column pruning, Parquet gives both to every later stage. A rerun skips complete stages.
     """
-    pushes = write_once(push_events(read_events(spark, log_path)), f"{out}/pushes")
+    month = file_month_key(F.col("file_name")).alias("yymm")
+    landed = push_events(read_events(spark, log_path, with_file=True), month)
+    pushes = write_once(landed, f"{out}/pushes", ["yymm"]).drop("yymm")
     meta = read_metadata(spark, meta_path)
     write_once(attach_metadata(pushes, meta, match, dedupe, skew), f"{out}/enriched")
     summary = monthly_summary(pushes, meta, match, dedupe).orderBy(

@@ -6,6 +6,6 @@ from .readers import (  # noqa: F401
 )
 from .scratch import scratch_path  # noqa: F401
 from .writers import (  # noqa: F401
-    append_missing_months, drop_blank_lines, stage_is_complete, write_csv, write_jdbc_table,
+    append_missing_months, drop_blank_lines, months_held, stage_is_complete, write_csv, write_jdbc_table,
     write_once, write_plain_tsv, write_tsv,
 )

@@ -48,19 +48,27 @@ def write_once(df: DataFrame, path: str, partition_by=()) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def months_held(spark: SparkSession, path: str, month: str = "yymm") -> list[str]:
+    """Months a table already holds, from its folder names; a short list by nature."""
+    try:
+        held = spark.read.schema(f"`{month}` string").parquet(path).distinct()
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+    return sorted(row[0] for row in held.collect() if row[0] is not None)
+
+
 def append_missing_months(df: DataFrame, path: str, month: str = "yymm") -> DataFrame:
     """Add only the months the table does not hold yet; return the whole table.
 
-    One folder per month. The months present come from the partition column alone.
+    One folder per month; rows without a month are left out. The months held become a
+    literal filter, which Catalyst pushes through grouping and windows by month down to the
+    scan: where the month comes from the file name, files of held months are not opened.
     """
     spark = df.sparkSession
-    try:
-        held = spark.read.schema(df.schema).parquet(path).select(month).distinct()
-        df = df.join(held, month, "left_anti")
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-    df.write.mode("append").partitionBy(month).parquet(path)
+    new = df.filter(F.col(month).isNotNull() & ~F.col(month).isin(months_held(spark, path, month)))
+    new.write.mode("append").partitionBy(month).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

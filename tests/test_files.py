@@ -123,11 +123,12 @@ def test_write_once_redoes_an_unfinished_stage(spark, tmp_path):
 
 def test_months_are_added_once(spark, tmp_path):
     path = str(tmp_path / "m")
-    one = spark.createDataFrame([("r1", "2601")], "repo_name string, yymm string")
-    two = spark.createDataFrame([("r2", "2601"), ("r3", "2602")], "repo_name string, yymm string")
+    one = spark.createDataFrame([("r1", "0901")], "repo_name string, yymm string")
+    two = spark.createDataFrame(
+        [("r2", "0901"), ("r3", "2602"), ("r4", None)], "repo_name string, yymm string")
     src.append_missing_months(one, path)
     got = src.append_missing_months(two, path)
-    assert rows(got.select("yymm", "repo_name")) == [("2601", "r1"), ("2602", "r3")]
+    assert rows(got.select("yymm", "repo_name")) == [("0901", "r1"), ("2602", "r3")]
 
 
 def test_jdbc_load_stops_on_a_duplicate_key(spark):
@@ -213,6 +214,22 @@ def test_lookup_list(spark, raw, tmp_path):
     assert rows(again.select("yymm", "repo_name", "head_sha")) == want
 
 
+def test_files_of_listed_months_are_not_opened(spark, raw, tmp_path):
+    out = str(tmp_path / "targets")
+    first = rows(plans.metadata_lookup_list(spark, raw + "/*.json.gz", out))
+    assert src.months_held(spark, out) == ["2601", "2602"]
+    with open(os.path.join(raw, "2026-01-02-15.json.gz"), "wb") as f:
+        f.write(b"not gzip at all")
+    write_gz(raw, "2026-03-02-15.json.gz", [event(31, "n/n", "h31", "2026-03-02T15:00:00Z")])
+    again = rows(plans.metadata_lookup_list(spark, raw + "/*.json.gz", out))
+    assert again == sorted(first + [("n/n", "h31", "2603")], key=str)
+
+
+def test_stored_pushes_lie_by_month(spark, raw, meta, tmp_path):
+    plans.run_activity(spark, raw + "/*.json.gz", meta, str(tmp_path / "o"))
+    assert sorted(p for p in os.listdir(tmp_path / "o" / "pushes") if "=" in p) == ["yymm=2601", "yymm=2602"]
+
+
 def test_coverage_of_files(spark, raw):
     files = src.read_events(spark, raw + "/*.json.gz", with_file=True).select("file_name")
     span = op.calendar_span(spark, "2026-01", "2026-03")
