@@ -8,7 +8,6 @@ labels = messages with a nullable second field.
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from repotrends.functions import file_month_key, snapshot_file_name
 from repotrends.operators import attach_dominant, count_by, dominant_category
 from repotrends.schemas import OTHER_LANGUAGE, PULL_REQUEST_EVENT, PUSH_EVENT
 from repotrends.sources import scratch_path
@@ -83,10 +82,10 @@ def language_bytes(spark, sf):
 def heads(spark, sf):
     """Order rows as pushes under the month key of their snapshot file."""
     return table(spark, sf, "orders").select(
-        file_month_key(snapshot_file_name(F.col("o_orderdate"))).alias("yymm"),
+        F.date_format("o_orderdate", "yyMM").alias("yymm"),
         F.col("o_custkey").alias("repo_name"),
         F.col("o_orderkey").cast("string").alias("head_sha"),
-        F.col("o_orderdate").cast("string").alias("created_at"),
+        F.col("o_orderdate").cast("date").cast("string").alias("created_at"),
         F.col("o_orderkey").cast("string").alias("event_id"),
     )
 

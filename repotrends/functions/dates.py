@@ -30,4 +30,4 @@ def file_month_key(file_name: Column, pattern: str = FILE_MONTH_PATTERN) -> Colu
 
 def snapshot_file_name(day: Column, hour: int = 15) -> Column:
     """Name of the hourly file that holds this day's snapshot."""
-    return F.concat(F.date_format(day, "yyyy-MM-dd"), F.lit(f"-{hour}.json.gz"))
+    return F.concat(day.cast("date").cast("string"), F.lit(f"-{hour}.json.gz"))

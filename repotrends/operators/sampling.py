@@ -62,5 +62,6 @@ def metadata_targets(heads: DataFrame, n: int = SAMPLE_PER_MONTH, seed: str = "0
     """Which repositories to look up: per month a sample of n, each with its latest head."""
     # Numeric ids of unequal length compare by length first.
     order = ["created_at", F.length("event_id"), "event_id"]
-    latest = latest_per_key(heads, ["yymm", "repo_name"], ["head_sha"], order)
-    return seeded_sample(latest, "yymm", "repo_name", n, seed)
+    # The aggregation sorts by its keys: the name goes first, for a task sees few months.
+    latest = latest_per_key(heads, ["repo_name", "yymm"], ["head_sha"], order)
+    return seeded_sample(latest, "yymm", "repo_name", n, seed).select("yymm", "repo_name", "head_sha")
