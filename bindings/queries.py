@@ -467,7 +467,7 @@ def summary_key_check(spark, sf):
 
 @query("month_start", """
 SELECT l_orderkey, l_linenumber, l_partkey,
-       CAST(date_trunc('month', l_shipdate) AS DATE) AS date FROM lineitem""")
+       CAST(date_trunc('month', l_shipdate) AS DATE) AS date FROM lineitem""", dates="date")
 def month_start(spark, sf):
     day = F.col("l_shipdate")
     return r.table(spark, sf, "lineitem").select(
@@ -478,23 +478,25 @@ def month_start(spark, sf):
 
 @query("files_per_month", """
 SELECT strftime(o_orderdate, '%y%m') AS yymm,
-       list_sort(list(DISTINCT strftime(o_orderdate, '%Y-%m-%d-15.json.gz'))) AS files
+       array_to_string(list_sort(list(DISTINCT strftime(o_orderdate, '%Y-%m-%d-15.json.gz'))), ' ')
+           AS files
 FROM orders GROUP BY 1""")
 def files_per_month(spark, sf):
     days = r.table(spark, sf, "orders").select(
         fn.snapshot_file_name(F.col("o_orderdate")).alias("file_name")
     )
-    return op.files_per_month(days)
+    return op.files_per_month(days).withColumn("files", F.array_join("files", " "))
 
 
 # --- trends ----------------------------------------------------------------------------
 
-@query("month_totals", ctes(*SHARE_CTES) + "SELECT date, primary_language, total_commits FROM monthly")
+@query("month_totals", ctes(*SHARE_CTES)
+       + "SELECT date, primary_language, total_commits FROM monthly", dates="date")
 def month_totals(spark, sf):
     return op.monthly_volume(op.target_rows(_summary(spark, sf), r.BRANDS))
 
 
-@query("month_share", ctes(*SHARE_CTES) + "SELECT * FROM shares")
+@query("month_share", ctes(*SHARE_CTES) + "SELECT * FROM shares", dates="date")
 def month_share(spark, sf):
     return _shares(spark, sf)
 
@@ -504,26 +506,27 @@ def top_languages(spark, sf):
     return op.top_categories(op.target_rows(_summary(spark, sf), r.BRANDS))
 
 
-@query("share_top8", ctes(*TREND_CTES) + "SELECT * FROM trend ORDER BY date, primary_language")
+@query("share_top8", ctes(*TREND_CTES) + "SELECT * FROM trend ORDER BY date, primary_language", dates="date")
 def share_top8(spark, sf):
     return plans.language_share_trend(_summary(spark, sf), r.BRANDS).orderBy(
         "date", "primary_language"
     )
 
 
-@query("growth_index", ctes(*TREND_CTES, "growth") + "SELECT * FROM growth")
+@query("growth_index", ctes(*TREND_CTES, "growth") + "SELECT * FROM growth", dates="date")
 def growth_index(spark, sf):
     return plans.language_growth_index(_summary(spark, sf), r.BRANDS)
 
 
 @query("share_pivot", ctes(*SHARE_CTES) + "SELECT date, " + ", ".join(
     f"max(share) FILTER (primary_language = '{b}') AS \"{b}\"" for b in r.BRANDS
-) + " FROM shares GROUP BY date")
+) + " FROM shares GROUP BY date", dates="date")
 def share_pivot(spark, sf):
     return op.pivot_series(_shares(spark, sf), r.BRANDS)
 
 
-@query("share_unpivot", ctes(*SHARE_CTES) + "SELECT date, primary_language, share FROM shares")
+@query("share_unpivot", ctes(*SHARE_CTES) + "SELECT date, primary_language, share FROM shares",
+       dates="date")
 def share_unpivot(spark, sf):
     return op.unpivot_series(op.pivot_series(_shares(spark, sf), r.BRANDS), r.BRANDS)
 
@@ -563,7 +566,7 @@ named AS (
     SELECT snapshot_date, strftime(snapshot_date, '%Y-%m-%d-15.json.gz') AS file_name FROM expected)"""
 
 
-@query("snapshot_calendar", _CALENDAR + "SELECT * FROM named")
+@query("snapshot_calendar", _CALENDAR + "SELECT * FROM named", dates="snapshot_date")
 def snapshot_calendar(spark, sf):
     """Four snapshots in every month that the orders span."""
     return op.snapshot_calendar(op.span_of(r.table(spark, sf, "orders"), "o_orderdate"), (2, 9, 16, 23))
@@ -571,7 +574,7 @@ def snapshot_calendar(spark, sf):
 
 @query("snapshot_gaps", _CALENDAR + """
 SELECT * FROM named WHERE file_name NOT IN (
-    SELECT strftime(o_orderdate, '%Y-%m-%d-15.json.gz') FROM orders WHERE o_orderstatus = 'F')""")
+    SELECT strftime(o_orderdate, '%Y-%m-%d-15.json.gz') FROM orders WHERE o_orderstatus = 'F')""", dates="snapshot_date")
 def snapshot_gaps(spark, sf):
     """Expected snapshots on whose day no finished order exists."""
     orders = r.table(spark, sf, "orders")

@@ -1,14 +1,27 @@
 """Name -> (Spark job, SQL text or None)."""
 
+from pyspark.sql import functions as F
+
 QUERIES = {}
 ORACLES = {}
 
 
-def query(name, sql=None):
+def _text_dates(df):
+    """Dates as ISO text, so that the comparison does not hang on either side's date type."""
+    return df.select(*(
+        F.col(f"`{name}`").cast("string").alias(name) if kind == "date" else F.col(f"`{name}`")
+        for name, kind in df.dtypes
+    ))
+
+
+def query(name, sql=None, dates=None):
+    """Register a job. `dates` names the date column that both sides return as text."""
     def add(fn):
-        QUERIES[name] = fn
+        QUERIES[name] = (lambda spark, sf: _text_dates(fn(spark, sf))) if dates else fn
         if sql:
-            ORACLES[name] = sql
+            ORACLES[name] = (
+                f"SELECT * REPLACE (CAST({dates} AS VARCHAR) AS {dates}) FROM ({sql})" if dates else sql
+            )
         return fn
     return add
 

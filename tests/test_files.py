@@ -137,6 +137,21 @@ def test_jdbc_load_stops_on_a_duplicate_key(spark):
         src.write_jdbc_table(spark.createDataFrame([one, one], SUMMARY), "jdbc:none:x", "t", {})
 
 
+def test_jdbc_load_asks_for_a_full_reload_of_named_columns(spark, monkeypatch):
+    """The request only: no database is started for a test."""
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    seen = {}
+    monkeypatch.setattr(DataFrameWriter, "options", lambda self, **kw: seen.update(kw) or self)
+    monkeypatch.setattr(DataFrameWriter, "mode", lambda self, m: seen.update(mode=m) or self)
+    monkeypatch.setattr(DataFrameWriter, "save", lambda self: seen.update(columns=self._df.columns))
+    extra = spark.createDataFrame([("2026", "01", "Go", *[1] * 8)], SUMMARY).withColumn("more", F.lit(1))
+    src.write_jdbc_table(extra, "jdbc:x://h/d", "trends", {"user": "u"}, num_partitions=2)
+    assert seen["columns"] == SUMMARY.fieldNames()
+    assert (seen["mode"], seen["truncate"], seen["numPartitions"]) == ("overwrite", "true", "2")
+    assert (seen["url"], seen["dbtable"], seen["user"]) == ("jdbc:x://h/d", "trends", "u")
+
+
 class Conf:
     """The two settings `scratch_path` reads."""
 
