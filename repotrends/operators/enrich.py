@@ -76,6 +76,7 @@ def attach_metadata(pushes: DataFrame, meta: DataFrame, match: str = "repo", ded
     skew    "adaptive": one left join. Catalyst broadcasts the metadata if its measured
             size allows; else the adaptive skew join splits a hot repository's pushes.
             "salted": spread hot repositories explicitly, whatever the session's settings.
+            Costs one more pass over the pushes' keys, so pass a stored table.
             "both": also for metadata with a hot key. A left join cannot split its right
             side, so matches come from an inner join, which may split both, and the
             unmatched pushes from an anti join against the distinct keys.
