@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from . import simhash
+from . import simhash, substrings
 from .common import table
 from .registry import ORACLES, QUERIES, query  # noqa: F401
 
@@ -11,3 +11,8 @@ from .registry import ORACLES, QUERIES, query  # noqa: F401
 def op9(spark, sf):
     found = simhash.near_duplicates(table(spark, sf, "documents"), size=3, distance=2)
     return found.select("doc_id", simhash.fingerprint_text().alias("fingerprint"), "component_id")
+
+
+@query("op2_substring_dedup")
+def op2(spark, sf):
+    return substrings.deduplicate(table(spark, sf, "documents"), window=13).drop("kept")
