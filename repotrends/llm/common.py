@@ -50,3 +50,24 @@ def as_bytes(name: str = "text"):
 
 def wide_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Names that no column of `df` has: the given ones, with underscores where they are taken."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
+def columns_of(df: DataFrame, names=None) -> str:
+    """DDL of columns of `df`, for the schema of a map over it."""
+    kinds = dict(df.dtypes)
+    return ", ".join(f"`{c}` {kinds[c]}" for c in names or df.columns)
+
+
+def text_keys():
+    """Two hashes, 96 bits together, that name a row by its doc_id and text; null-safe."""
+    return F.xxhash64("doc_id", "text"), F.hash(F.col("doc_id").isNull(), F.col("text"))

@@ -1,11 +1,14 @@
 """The operators with production parameters, over their whole tables."""
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import simhash, substrings
+from . import mixing, packing, quality, simhash, substrings, toxicity
 from .common import table
 from .registry import ORACLES, QUERIES, query  # noqa: F401
 
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
 
 @query("op9_simhash_near_duplicates")
 def op9(spark, sf):
@@ -16,3 +19,24 @@ def op9(spark, sf):
 @query("op2_substring_dedup")
 def op2(spark, sf):
     return substrings.deduplicate(table(spark, sf, "documents"), window=13).drop("kept")
+
+
+@query("op1_quality_grades")
+def op1(spark, sf):
+    return quality.grade(table(spark, sf, "documents"), table(spark, sf, "labels"), quality.rating(), grades=3)
+
+
+@query("op10_toxicity")
+def op10(spark, sf):
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+    return toxicity.toxicity(table(spark, sf, "documents"), table(spark, sf, "labels"), held_out)
+
+
+@query("op3_best_fit_packing")
+def op3(spark, sf):
+    return packing.pack(table(spark, sf, "documents"), TOKENIZER, capacity=2048)
+
+
+@query("op8_source_mix")
+def op8(spark, sf):
+    return mixing.mix(table(spark, sf, "documents"), weights=(5, 2, 1), most=3)

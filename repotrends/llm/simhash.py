@@ -12,7 +12,7 @@ import numpy as np
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import as_bytes, map_rows, stored
+from .common import as_bytes, columns_of, fresh, map_rows, stored, text_keys
 from .components import components
 
 BITS = 64
@@ -41,13 +41,10 @@ def fingerprint(text: bytes, size: int = 3, seed: int = 42) -> int:
 
 def with_fingerprints(docs: DataFrame, size: int = 3, keep=("doc_id",)) -> DataFrame:
     """The columns of `keep` and `fp`, one row for each row of `docs` (null text: no words)."""
-    kinds = dict(docs.dtypes)
-
     def rows(*columns):
         yield *columns[:-1], [fingerprint(t, size) for t in columns[-1]]
 
-    schema = ", ".join(f"`{c}` {kinds[c]}" for c in keep)
-    return map_rows(docs.select(*keep, as_bytes()), rows, f"{schema}, fp long")
+    return map_rows(docs.select(*keep, as_bytes()), rows, f"{columns_of(docs, keep)}, fp long")
 
 
 def _segments(distance: int) -> list[tuple[int, int]]:
@@ -150,21 +147,25 @@ def linked_fingerprints(prints: DataFrame, distance: int = 2) -> DataFrame:
         "fp", F.coalesce("root", "fp").alias("root"))
 
 
+def _members(prints: DataFrame, distance: int) -> DataFrame:
+    """`(fp, root, component_id)` of fingerprinted documents."""
+    groups = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "fingerprint-groups")
+    members = stored(
+        groups.join(linked_fingerprints(groups.select("fp"), distance), "fp"), "members")
+    least = members.groupBy("root").agg(F.min("least").alias("component_id"))
+    return members.select("fp", "root").join(least, "root").select("fp", "root", "component_id")
+
+
 def near_duplicates(docs: DataFrame, size: int = 3, distance: int = 2) -> DataFrame:
-    """One row for each row of `docs`: doc_id, fp, root, component_id.
+    """One row for each row of `docs`: doc_id, fp, component_id.
 
     Fingerprints link at `distance` or fewer differing bits; `component_id` is the smallest doc_id
-    of the documents reachable by links, `root` names the component. Null and empty texts have
-    fingerprint 0. A null doc_id is never the smallest; a component of such rows has a null id.
-    Repeated rows stay. Other columns of `docs` are not read.
+    of the documents reachable by links. Null and empty texts have fingerprint 0. A null doc_id is
+    never the smallest; a component of such rows has a null id. Repeated rows stay. Other columns
+    of `docs` are not read.
     """
-    prints = stored(with_fingerprints(docs, size), "fingerprints")
-    groups = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "fingerprint-groups")
-    roots = linked_fingerprints(groups.select("fp"), distance)
-    members = stored(groups.join(roots, "fp"), "members")
-    least = members.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = members.select("fp", "root").join(least, "root").select("fp", "root", "component_id")
-    return prints.join(named, "fp").select("doc_id", "fp", "root", "component_id")
+    prints = stored(with_fingerprints(docs.select("doc_id", "text"), size), "fingerprints")
+    return prints.join(_members(prints, distance), "fp").select("doc_id", "fp", "component_id")
 
 
 def fingerprint_text(col="fp"):
@@ -173,14 +174,15 @@ def fingerprint_text(col="fp"):
 
 
 def drop_near_duplicates(docs: DataFrame, size: int = 3, distance: int = 2) -> DataFrame:
-    """The rows of `docs` without near-duplicates: of each component the row with the smallest
-    doc_id stays, of several such rows the first in the order of their text."""
-    found = near_duplicates(docs, size, distance)
-    kept = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        F.col("doc_id").alias("own_id"), "fp", "root").distinct()
-    rows = with_fingerprints(docs, size, docs.columns).join(
-        kept.withColumnRenamed("fp", "own_fp"),
-        F.col("doc_id").eqNullSafe(F.col("own_id")) & (F.col("fp") == F.col("own_fp")))
-    first = rows.groupBy("root").agg(F.min(F.struct(
-        F.col("text").alias("first_text"), F.struct(*docs.columns).alias("row"))).alias("least"))
-    return first.select("least.row.*")
+    """The rows of `docs` without near-duplicates: of each component one row with the smallest
+    doc_id stays. Where several rows have it, any one text and its least row stay."""
+    by_id, by_text = text_keys()
+    keyed = docs.select("doc_id", "text", by_id.alias("k1"), by_text.alias("k2"))
+    prints = stored(with_fingerprints(keyed, size, ("doc_id", "k1", "k2")), "fingerprints")
+    first = prints.join(_members(prints, distance), "fp").filter(
+        F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root").agg(
+        F.min(F.struct("k1", "k2")).alias("least")).select("least.*")
+    k1, k2 = fresh(docs, "k1", "k2")
+    named = docs.select(F.struct(*docs.columns).alias("row"), by_id.alias(k1), by_text.alias(k2))
+    kept = named.join(first.toDF(k1, k2), [k1, k2], "left_semi")
+    return kept.groupBy(k1, k2).agg(F.min("row").alias("row")).select("row.*")

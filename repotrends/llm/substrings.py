@@ -16,7 +16,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import as_bytes, map_rows, stored, wide_partitions
+from .common import as_bytes, columns_of, fresh, map_rows, stored, wide_partitions
 
 GRAM = 5
 GROUP = 500_000       # suffixes in a group, about 50 bytes each in memory
@@ -212,12 +212,15 @@ def _kept(words: list, spans, window: int) -> list:
 
 
 def _with_spans(docs: DataFrame, window: int, columns) -> DataFrame:
-    tagged = docs.withColumn("tag", F.hash("text")).withColumn("bytes", as_bytes())
-    spans = repeated_spans(tagged.select("doc_id", "tag", F.col("bytes").alias("text")), window)
-    per_text = spans.groupBy(F.col("doc_id").alias("own_id"), F.col("tag").alias("own_tag")).agg(
-        F.collect_list(F.struct("first", "length")).alias("spans"))
-    return tagged.join(per_text, (F.col("doc_id") == F.col("own_id")) & (F.col("tag") == F.col("own_tag")),
-                       "left").select(*columns, "bytes", "spans")
+    """`columns`, the text as bytes, and its repeated spans (null: none)."""
+    id_, tag, content, spans = fresh(docs, "own_id", "own_tag", "content", "spans")
+    tagged = docs.withColumn(tag, F.hash("text")).withColumn(content, as_bytes())
+    found = repeated_spans(
+        tagged.select("doc_id", F.col(tag).alias("tag"), F.col(content).alias("text")), window)
+    per_text = found.groupBy(F.col("doc_id").alias(id_), F.col("tag").alias(tag)).agg(
+        F.collect_list(F.struct("first", "length")).alias(spans))
+    joined = tagged.join(per_text, (tagged["doc_id"] == per_text[id_]) & (tagged[tag] == per_text[tag]), "left")
+    return joined.select(*(tagged[c] for c in columns), tagged[content], spans)
 
 
 def deduplicate(docs: DataFrame, window: int = 13) -> DataFrame:
@@ -225,19 +228,22 @@ def deduplicate(docs: DataFrame, window: int = 13) -> DataFrame:
 
     Words are runs of other than ASCII white space; null and empty texts have none. Every word is
     removed that is covered by a window of `window` words which also starts in a document with a
-    smaller doc_id. Rows that repeat a doc_id don't count as smaller. `kept` has the words left,
-    joined by one space.
+    smaller doc_id. Rows that repeat a doc_id don't count as smaller; rows without one neither give
+    nor lose words. `kept` has the words left, joined by one space. Other columns are not read.
     """
     def rows(ids, texts, spans):
-        out = []
+        counts, removed, digests, kept = [], [], [], []
         for text, found in zip(texts, spans):
             words = text.split()
             left = _kept(words, found, window)
             joined = b" ".join(left)
-            out.append((len(words), len(words) - len(left), hashlib.sha256(joined).hexdigest(), joined.decode()))
-        yield ids, *zip(*out)
+            counts.append(len(words))
+            removed.append(len(words) - len(left))
+            digests.append(hashlib.sha256(joined).hexdigest())
+            kept.append(joined.decode())
+        yield ids, counts, removed, digests, kept
 
-    return map_rows(_with_spans(docs, window, ["doc_id"]), rows,
+    return map_rows(_with_spans(docs.select("doc_id", "text"), window, ["doc_id"]), rows,
                     "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string")
 
 
@@ -248,11 +254,9 @@ def cut_repeats(docs: DataFrame, window: int = 13) -> DataFrame:
     columns = docs.columns
     text_at = columns.index("text")
     chars_at = columns.index("n_chars") if "n_chars" in columns else None
-    kinds = dict(docs.dtypes)
 
     def rows(*values):
         *own, texts, spans = values
-        own = [list(v) for v in own]
         keep = []
         for n, (text, found) in enumerate(zip(texts, spans)):
             if found:
@@ -263,5 +267,4 @@ def cut_repeats(docs: DataFrame, window: int = 13) -> DataFrame:
                 keep.append(n)
         yield tuple([v[n] for n in keep] for v in own)
 
-    schema = ", ".join(f"`{c}` {kinds[c]}" for c in columns)
-    return map_rows(_with_spans(docs, window, columns), rows, schema)
+    return map_rows(_with_spans(docs, window, columns), rows, columns_of(docs))
