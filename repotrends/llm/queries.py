@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import mixing, packing, quality, simhash, substrings, toxicity
+from . import licenses, mixing, neighbours, packing, perplexity, quality, simhash, substrings, toxicity
 from .common import table
 from .registry import ORACLES, QUERIES, query  # noqa: F401
 
@@ -40,3 +40,18 @@ def op3(spark, sf):
 @query("op8_source_mix")
 def op8(spark, sf):
     return mixing.mix(table(spark, sf, "documents"), weights=(5, 2, 1), most=3)
+
+
+@query("op5_perplexity_rules")
+def op5(spark, sf):
+    return perplexity.rate(table(spark, sf, "documents"))
+
+
+@query("op6_license_templates")
+def op6(spark, sf):
+    return licenses.scan(table(spark, sf, "documents")).drop("spans")
+
+
+@query("op7_nearest_vectors")
+def op7(spark, sf):
+    return neighbours.nearest(table(spark, sf, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
