@@ -10,7 +10,7 @@ import heapq
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import as_bytes, columns_of, fresh, map_rows, stored
+from .common import as_bytes, fresh, map_rows, stored
 
 BUCKET = 1000
 
@@ -134,7 +134,8 @@ def _decisions(spark, sized: DataFrame, weights, most: int, seed: int):
     shares = spark.createDataFrame(parts, "pattern string, whole long, rest long, buckets long")
     order = F.xxhash64("k1", "k2", F.lit(seed))
     # Words before a row in the order (bucket, hash): those of the buckets before, then of the rows.
-    dealt = rows.join(shares, "pattern").withColumn("h", order).withColumn(
+    # Tables by pattern are as short as the catalogue above, so they may be broadcast.
+    dealt = rows.join(F.broadcast(shares), "pattern").withColumn("h", order).withColumn(
         "bucket", F.pmod(F.shiftrightunsigned("h", 16), F.col("buckets")))
     buckets = dealt.groupBy("pattern", "bucket").agg(F.sum("size").alias("words"))
     earlier = buckets.select("pattern", "bucket", F.coalesce(F.sum("words").over(
@@ -150,7 +151,7 @@ def _decisions(spark, sized: DataFrame, weights, most: int, seed: int):
     gaps = chosen.groupBy("pattern").agg(F.max("rest").alias("rest"), F.coalesce(
         F.sum(F.when(F.col("more"), F.col("size"))), F.lit(0)).alias("words")).select(
         "pattern", (F.col("rest") - F.col("words")).alias("gap"))
-    last = chosen.filter(~F.col("more") & (F.col("size") > 0)).join(gaps, "pattern").filter(
+    last = chosen.filter(~F.col("more") & (F.col("size") > 0)).join(F.broadcast(gaps), "pattern").filter(
         F.col("size") <= F.col("gap")).groupBy("pattern").agg(
         F.max(F.struct("size", "h", "k1", "k2")).alias("last")).select(
         F.col("pattern").alias("p"), F.col("last.k1").alias("l1"), F.col("last.k2").alias("l2"))
@@ -177,9 +178,9 @@ def mix(docs: DataFrame, members=None, weights=(5, 2, 1), most: int = 3, seed: i
         [(s, sizes[s], goal[s]) for s in sizes], "name string, own_size long, own_target double")
     names = keyed.select("pattern", "members").groupBy("pattern").agg(F.first("members").alias("members"))
     sums = names.select("pattern", F.explode("members").alias("member")).join(
-        catalogue, F.col("member").eqNullSafe(F.col("name"))).groupBy("pattern").agg(
+        F.broadcast(catalogue), F.col("member").eqNullSafe(F.col("name"))).groupBy("pattern").agg(
         F.sum("own_size").alias("source_size"), F.sum("own_target").alias("target"))
-    return keyed.join(copies, ["k1", "k2"]).join(sums, "pattern").select(
+    return keyed.join(copies, ["k1", "k2"]).join(F.broadcast(sums), "pattern").select(
         "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
