@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import licenses, mixing, neighbours, packing, perplexity, quality, simhash, substrings, toxicity
+from . import html, licenses, mixing, neighbours, packing, perplexity, quality, simhash, substrings, toxicity
 from .common import table
 from .registry import ORACLES, QUERIES, query  # noqa: F401
 
@@ -55,3 +55,8 @@ def op6(spark, sf):
 @query("op7_nearest_vectors")
 def op7(spark, sf):
     return neighbours.nearest(table(spark, sf, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
+@query("op4_main_text")
+def op4(spark, sf):
+    return html.main_text(table(spark, sf, "pages"))
