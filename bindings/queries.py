@@ -7,7 +7,7 @@ from repotrends import functions as fn, operators as op, plans, sources as src,
 from repotrends.schemas import METADATA
 
 from . import roles as r
-from .registry import AI_CTES, SHARE_CTES, SUMMARY_CTES, TREND_CTES, ctes, query
+from .registry import AI_CTES, ROLE_SQL, SHARE_CTES, SUMMARY_CTES, TREND_CTES, ctes, query
 
 _PUSH_SQL = """
 SELECT CAST(event_id AS VARCHAR) AS event_id, 'PushEvent' AS event_type,
@@ -89,12 +89,14 @@ def incremental_landing(spark, sf):
     return spark.read.parquet(f"{out}/pushes")
 
 
-@query("metadata_scan", ctes("heads", "latest", "sampled") + """
+@query("metadata_scan", ctes("heads", "latest") + """
 SELECT CAST(repo_name AS VARCHAR) AS repo_name, head_sha, CAST(NULL AS VARCHAR) AS commit_message,
-       CAST(NULL AS VARCHAR) AS author_email, 'Unknown' AS primary_language FROM sampled""")
+       CAST(NULL AS VARCHAR) AS author_email, 'Unknown' AS primary_language FROM latest""")
 def metadata_scan(spark, sf):
-    """Monthly metadata as one JSON array per month (at most 100 entries), written and read."""
-    rows = op.metadata_targets(r.heads(spark, sf), seed="7").select(
+    """Monthly metadata as one JSON array per month, written and read."""
+    latest = op.latest_per_key(
+        r.heads(spark, sf), ["yymm", "repo_name"], ["head_sha"], ["created_at", *op.id_order("event_id")])
+    rows = latest.select(
         "yymm", F.col("repo_name").cast("string"), "head_sha",
         *(F.lit(None).cast("string").alias(c) for c in ("commit_message", "author_email")),
         F.lit("Unknown").alias("primary_language"),
@@ -245,12 +247,46 @@ def write_if_absent(spark, sf):
     return src.write_once(events.withColumn("event_type", F.lit("again")), path)
 
 
-@query("month_partitions", ctes("heads", "latest", "sampled") + "SELECT * FROM sampled")
+@query("month_partitions", ctes("heads", "latest") + "SELECT * FROM latest")
 def month_partitions(spark, sf):
-    """One folder per month: a second run with another seed adds no month that is held."""
-    heads, path = r.heads(spark, sf), src.scratch_path(spark, "targets")
-    src.append_missing_months(op.metadata_targets(heads, seed="7"), path)
-    return src.append_missing_months(op.metadata_targets(heads, seed="8"), path)
+    """One folder per month: a second run adds no month that is held."""
+    path = src.scratch_path(spark, "targets")
+    latest = op.latest_per_key(
+        r.heads(spark, sf), ["yymm", "repo_name"], ["head_sha"], ["created_at", *op.id_order("event_id")])
+    src.append_missing_months(latest, path)
+    return src.append_missing_months(latest.withColumn("head_sha", F.lit("again")), path)
+
+
+@query("calendar_with_day_31", """
+WITH months AS (
+    SELECT unnest(generate_series(date_trunc('month', min(o_orderdate)),
+                                  date_trunc('month', max(o_orderdate)), INTERVAL 1 MONTH)) AS month
+    FROM orders),
+dated AS (
+    SELECT month, CAST(month AS DATE) + day - 1 AS snapshot_date FROM months, (VALUES (15), (31)) d(day))
+SELECT snapshot_date, strftime(snapshot_date, '%Y-%m-%d-15.json.gz') AS file_name FROM dated
+WHERE month(snapshot_date) = month(month)""", dates="snapshot_date")
+def calendar_with_day_31(spark, sf):
+    """Only days that a month has."""
+    return op.snapshot_calendar(op.span_of(r.table(spark, sf, "orders"), "o_orderdate"), (15, 31))
+
+
+@query("peek_text_ids", """
+SELECT CAST(event_id AS VARCHAR) AS id, event_type AS type FROM events WHERE event_type = 'click'
+ORDER BY event_id LIMIT 1""")
+def peek_text_ids(spark, sf):
+    """Ids held as text still come in numeric order."""
+    events = r.table(spark, sf, "events").select(
+        F.col("event_id").cast("string").alias("id"), F.col("event_type").alias("type"))
+    return op.first_event(events, "click")
+
+
+@query("metadata_absent", "SELECT count(*) AS n FROM events WHERE event_type IN ('click', 'purchase')")
+def metadata_absent(spark, sf):
+    """Pushes stay, with NULL metadata, where there is no metadata file."""
+    log = r.stored_log(spark, sf)
+    enriched = plans.enriched_pushes(spark, log, log + "/no-such-folder/*.json")
+    return enriched.filter("primary_language IS NULL").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("blank_lines", """
@@ -280,7 +316,7 @@ def metadata_left_join(spark, sf):
 def metadata_salted_join(spark, sf):
     """The same join with hot repositories spread by hand."""
     return op.attach_metadata(
-        r.pushes(spark, sf), r.metadata(spark, sf), skew="salted", hot_rows=20, salts=8
+        r.pushes(spark, sf), r.metadata(spark, sf), skew="salted", hot_rows=20
     )
 
 
@@ -430,12 +466,12 @@ def distinct_per_group(spark, sf):
 
 @query("distinct_repos", "SELECT DISTINCT user_id FROM events")
 def distinct_repos(spark, sf):
-    return r.table(spark, sf, "events").select("user_id").distinct()
+    return op.distinct_rows(r.table(spark, sf, "events"), "user_id")
 
 
 @query("unique_repo_count", "SELECT count(DISTINCT l_partkey) AS unique_repos FROM lineitem")
 def unique_repo_count(spark, sf):
-    return r.table(spark, sf, "lineitem").agg(F.count_distinct("l_partkey").alias("unique_repos"))
+    return op.distinct_count(r.table(spark, sf, "lineitem"), "l_partkey")
 
 
 @query("top_repos", """
@@ -586,53 +622,57 @@ def snapshot_gaps(spark, sf):
 
 # --- whole jobs over stored files -------------------------------------------------------
 
-_SAMPLED_USERS = """
-months AS (SELECT DISTINCT strftime(ts, '%y%m') AS yymm, user_id FROM events),
-sampled AS (
-    SELECT user_id, CASE WHEN user_id < 50 THEN 'fix by Claude ' ELSE 'add ' END
-                    || CAST(user_id AS VARCHAR) AS commit_message
-    FROM (
-        SELECT *, row_number() OVER (PARTITION BY yymm ORDER BY
-                                     md5('0' || CAST(user_id AS VARCHAR)), user_id) AS r
-        FROM months) WHERE r <= 100)"""
+_USERS = """
+users AS (
+    SELECT DISTINCT user_id, ['Go', 'Rust', 'Python'][user_id % 3 + 1] AS language,
+           ['add ', 'fix ', 'refactor ', 'docs ', 'chore '][user_id % 5 + 1]
+           || CASE WHEN user_id % 2 = 0 THEN 'by Claude ' ELSE '' END || CAST(user_id AS VARCHAR) AS commit_message
+    FROM events)"""
 
 
 def _stored_metadata(spark, sf):
-    """Monthly metadata files, each one JSON array of at most 100 sampled repositories."""
+    """Monthly metadata files, each one JSON array of all repositories first seen in the month."""
     path = src.scratch_path(spark, "metadata")
-    users = r.table(spark, sf, "events").select(
-        F.date_format("ts", "yyMM").alias("yymm"), "user_id"
-    ).distinct()
-    message = F.when(F.col("user_id") < 50, "fix by Claude ").otherwise("add ")
+    users = r.table(spark, sf, "events").groupBy("user_id").agg(F.date_format(F.min("ts"), "yyMM").alias("yymm"))
+    task = F.element_at(F.array(*map(F.lit, ("add ", "fix ", "refactor ", "docs ", "chore "))),
+                        (F.col("user_id") % 5 + 1).cast("int"))
+    by = F.when(F.col("user_id") % 2 == 0, "by Claude ").otherwise("")
     entry = F.struct(
         F.concat(F.lit("org/r"), F.col("user_id")).alias("repo_name"),
-        F.concat(message, F.col("user_id")).alias("commit_message"),
-        F.lit("Go").alias("primary_language"),
+        F.concat(task, by, F.col("user_id")).alias("commit_message"),
+        F.element_at(F.array(*map(F.lit, ("Go", "Rust", "Python"))),
+                     (F.col("user_id") % 3 + 1).cast("int")).alias("primary_language"),
     )
-    op.seeded_sample(users, "yymm", "user_id").groupBy("yymm").agg(
+    users.groupBy("yymm").agg(
         F.to_json(F.collect_list(entry)).alias("value")
     ).write.partitionBy("yymm").text(path)
     return path + "/*"
 
 
-@query("enriched_pushes_job", "WITH log AS (" + _PUSH_SQL + ")," + _SAMPLED_USERS + """
+_JOB_SQL = """
+SELECT substr(created_at, 1, 4) AS year, substr(created_at, 6, 2) AS month, language AS primary_language,
+       count(*) AS total_commits, count(DISTINCT repo_name) AS unique_repos,
+       count(*) FILTER (user_id % 2 = 0) AS ai_commits,
+       count(*) FILTER (user_id % 2 = 0 AND user_id % 5 = 0) AS feat_commits,
+       count(*) FILTER (user_id % 2 = 0 AND user_id % 5 = 1) AS fix_commits,
+       count(*) FILTER (user_id % 2 = 0 AND user_id % 5 = 2) AS refactor_commits,
+       count(*) FILTER (user_id % 2 = 0 AND user_id % 5 = 3) AS docs_commits,
+       count(*) FILTER (user_id % 2 = 0 AND user_id % 5 = 4) AS chore_commits
+FROM log JOIN users ON repo_name = 'org/r' || CAST(user_id AS VARCHAR)
+GROUP BY 1, 2, 3"""
+
+
+@query("enriched_pushes_job", "WITH log AS (" + _PUSH_SQL + ")," + _USERS + """
 SELECT repo_name, event_id, log.event_type, head_sha, created_at, commit_message,
        CAST(NULL AS VARCHAR) AS author_email,
-       CASE WHEN user_id IS NOT NULL THEN 'Go' END AS primary_language
-FROM log LEFT JOIN sampled ON repo_name = 'org/r' || CAST(user_id AS VARCHAR)""")
+       language AS primary_language
+FROM log LEFT JOIN users ON repo_name = 'org/r' || CAST(user_id AS VARCHAR)""")
 def enriched_pushes_job(spark, sf):
     """Event files and metadata files to enriched pushes."""
     return plans.enriched_pushes(spark, r.stored_log(spark, sf), _stored_metadata(spark, sf))
 
 
-@query("activity_job", "WITH log AS (" + _PUSH_SQL + ")," + _SAMPLED_USERS + """
-SELECT substr(created_at, 1, 4) AS year, substr(created_at, 6, 2) AS month,
-       'Go' AS primary_language, count(*) AS total_commits, count(DISTINCT repo_name) AS unique_repos,
-       count(*) FILTER (user_id < 50) AS ai_commits, CAST(0 AS BIGINT) AS feat_commits,
-       count(*) FILTER (user_id < 50) AS fix_commits, CAST(0 AS BIGINT) AS refactor_commits,
-       CAST(0 AS BIGINT) AS docs_commits, CAST(0 AS BIGINT) AS chore_commits
-FROM log JOIN sampled ON repo_name = 'org/r' || CAST(user_id AS VARCHAR)
-GROUP BY 1, 2""")
+@query("activity_job", "WITH log AS (" + _PUSH_SQL + ")," + _USERS + _JOB_SQL)
 def activity_job(spark, sf):
     """Event and metadata files to stored pushes, enriched pushes and monthly summary."""
     return plans.run_activity(
@@ -640,6 +680,28 @@ def activity_job(spark, sf):
     )
 
 
+@query("activity_rerun_job", "WITH log AS (" + _PUSH_SQL + ")," + _USERS + _JOB_SQL)
+def activity_rerun_job(spark, sf):
+    """The job over half of the event files, and again when the others have arrived."""
+    log, out = src.scratch_path(spark, "log"), src.scratch_path(spark, "activity")
+    meta = _stored_metadata(spark, sf)
+    for half in range(2):
+        r.event_log(spark, sf).filter(F.pmod(F.hash("value"), F.lit(2)) == half).write.mode("append").option(
+            "compression", "gzip").text(log)
+        summary = plans.run_activity(spark, log, meta, out)
+    return summary
+
+
+@query("head_match_summary", ctes("pushes", "metadata") + f""",
+enriched AS (SELECT p.*, m.commit_message, m.author_email, m.primary_language
+             FROM pushes p LEFT JOIN metadata m USING (repo_name, head_sha)),
+classified AS ({ROLE_SQL["classified"]}),
+summary AS ({ROLE_SQL["summary"]}) SELECT * FROM summary""")
+def head_match_summary(spark, sf):
+    """The summary over pushes that match metadata by repository and head."""
+    return plans.monthly_summary(r.pushes(spark, sf), r.metadata(spark, sf), match="head", **r.RULES)
+
+
 @query("ai_pr_repos_job", ctes("source_prs") + "SELECT * FROM source_prs")
 def ai_pr_repos_job(spark, sf):
     """Event files to matching pull requests per repository."""

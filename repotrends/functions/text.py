@@ -13,14 +13,17 @@ def compose_text(*cols) -> Column:
 
 
 def matches_any(text: Column, terms=PR_TERMS) -> Column:
-    """Unanchored search for any of the terms; `text` must already be lower-case.
+    """Unanchored search for any of the terms, in any case; `text` must already be lower-case.
 
     One alternation reads the text once; a chain of `contains` would be pushed into the
     filter with its own copy of the composed text per term. The look-ahead changes no match:
     it lets the search skip every character that no term starts with.
     """
+    if not all(terms):
+        raise ValueError("an empty term would match every text")
     if not terms:
         return F.lit(False)
+    terms = [t.lower() for t in terms]
     starts = "".join(sorted({re.escape(t[0]) for t in terms}))
     words = "|".join(re.escape(t) for t in terms)
     return text.rlike(f"(?=[{starts}])(?:{words})")

@@ -1,19 +1,19 @@
-"""DataFrame in, DataFrame out. Lazy: no operator collects, and none uses a Python UDF."""
+"""DataFrame in, DataFrame out. None uses a Python UDF; only the checks run a job."""
 
 from .checks import duplicate_keys, require_unique, row_counts  # noqa: F401
 from .coverage import (  # noqa: F401
     calendar_span, files_per_month, missing_snapshots, snapshot_calendar, span_of,
 )
 from .enrich import (  # noqa: F401
-    attach_dominant, attach_metadata, dominant_category, fits_broadcast, language_rows,
-    one_row_per_key, short_list,
+    attach_dominant, attach_metadata, dominant_category, language_rows, one_row_per_key,
 )
 from .events import (  # noqa: F401
-    ai_pull_requests, count_by, first_event, parse_pull_request_lines, preview_messages,
+    ai_pull_requests, count_by, first_event, id_order, parse_pull_request_lines, preview_messages,
     pull_request_events, push_events,
 )
 from .sampling import (  # noqa: F401
-    latest_per_key, metadata_targets, push_heads, seeded_sample, top_n_per_group, top_rows,
+    distinct_count, distinct_rows, latest_per_key, metadata_targets, push_heads, seeded_sample,
+    top_n_per_group, top_rows,
 )
 from .summary import (  # noqa: F401
     classify, monthly_language_summary, summary_from_parts,

@@ -24,12 +24,12 @@ def span_of(df: DataFrame, ts: str) -> DataFrame:
 
 
 def snapshot_calendar(span: DataFrame, days, hour: int = 15) -> DataFrame:
-    """One row per expected snapshot: every month of the span, on each of the days."""
+    """One row per expected snapshot: every month of the span, on each of the days it has."""
     months = span.select(F.explode(F.expr("sequence(first, last, interval 1 month)")).alias("month"))
     day = F.explode(F.array(*(F.lit(d) for d in days)))
-    return months.select("month", day.alias("day")).select(
-        F.date_add("month", F.col("day") - 1).alias("snapshot_date")
-    ).withColumn("file_name", snapshot_file_name(F.col("snapshot_date"), hour))
+    dated = months.select("month", day.alias("day")).withColumn(
+        "snapshot_date", F.date_add("month", F.col("day") - 1))
+    return dated.filter(F.month("snapshot_date") == F.month("month")).select("snapshot_date").withColumn("file_name", snapshot_file_name(F.col("snapshot_date"), hour))
 
 
 def missing_snapshots(expected: DataFrame, present: DataFrame, key: str = "file_name") -> DataFrame:

@@ -7,67 +7,40 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..schemas import ENRICHED, METADATA, OTHER_LANGUAGE, TARGET_LANGUAGES
 
-BROADCAST_ROWS = 1_000_000
-BROADCAST_BYTES = 128 << 20
-SHORT_LIST_ROWS = 100_000
-
-
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS,
-                   max_bytes: int = BROADCAST_BYTES, fixed_width: int = 128) -> bool:
-    """Measure a small side before hinting a broadcast: its rows, and its bytes as the
-    texts' lengths plus `fixed_width` per row for all else. Runs a job that stops at
-    `max_rows + 1` rows, so a large side costs no full pass."""
-    width = F.lit(fixed_width).cast("long")
-    for name, kind in df.dtypes:
-        if kind == "string":
-            width = width + F.coalesce(F.octet_length(name), F.lit(0))
-    size = df.limit(max_rows + 1).agg(
-        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes")
-    ).first()
-    return size["n"] <= max_rows and size["bytes"] <= max_bytes
-
-
-def short_list(df: DataFrame, n: int) -> DataFrame:
-    """Hint a broadcast for a list that was cut to n rows, if n is small enough."""
-    return F.broadcast(df) if n <= SHORT_LIST_ROWS else df
-
-
 def one_row_per_key(df: DataFrame, keys) -> DataFrame:
     """One row per key, the smallest in column order, so every run keeps the same one."""
     rest = [c for c in df.columns if c not in keys]
     return df.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("row")).select(*keys, "row.*")
 
 
-def hot_keys(df: DataFrame, keys, min_rows: int, max_keys: int = 1024) -> DataFrame:
-    """The heaviest keys, at most `max_keys` of them. A key outside the list holds less
-    than 1/max_keys of the rows, so leaving it whole is harmless."""
-    return (
-        df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-        .filter(F.col("n") >= min_rows)
-        .orderBy(F.desc("n"), *keys).limit(max_keys)
-        .select(*keys)
-    )
+def hot_keys(df: DataFrame, keys, min_rows: int) -> DataFrame:
+    """The keys with at least `min_rows` rows, and their rows `n`."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_rows)
 
 
-def _salted_join(left, right, keys, spread_by, min_rows, salts):
-    """Left join that spreads each hot key of `left` over `salts` tasks.
+def _salted_join(left, right, keys, min_rows):
+    """Left join that spreads each hot key of `left`, one salt for every `min_rows` rows of it.
 
     Only the rows of hot keys are copied on the right, once per salt. Every left row has
     one salt and meets all right rows of its key, so the result is the plain join's. Rows
-    with a NULL key match nothing and are spread as well.
+    with a NULL key match nothing and are spread as well. The salt is drawn from all columns.
+    The list of hot keys is broadcast: it has at most one key for every `min_rows` rows, so a
+    million for 10^12 rows at the default. Joined by a shuffle on the key, it would gather the
+    very rows that the salt is to spread.
     """
-    hot = F.broadcast(hot_keys(left, keys, min_rows).withColumn("hot", F.lit(True)))
-    is_hot = F.coalesce(F.col("hot"), F.lit(False))
-    salt = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
-    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    spread = reduce(or_, (F.col(k).isNull() for k in keys), is_hot)
-    left = left.join(hot, keys, "left").withColumn("salt", F.when(spread, salt).otherwise(0))
-    right = right.join(hot, keys, "left").withColumn("salt", F.explode(copies))
-    return left.drop("hot").join(right.drop("hot"), [*keys, "salt"], "left").drop("salt")
+    salts = F.broadcast(hot_keys(left, keys, min_rows).select(
+        *keys, F.ceil(F.col("n") / min_rows).cast("int").alias("salts")))
+    drawn = F.xxhash64(*left.columns)
+    nulls = reduce(or_, (F.col(k).isNull() for k in keys))
+    salt = F.when(nulls, drawn).otherwise(F.pmod(drawn, F.coalesce("salts", F.lit(1))))
+    copies = F.sequence(F.lit(0).cast("long"), (F.coalesce("salts", F.lit(1)) - 1).cast("long"))
+    left = left.join(salts, keys, "left").withColumn("salt", salt.cast("long"))
+    right = right.join(salts, keys, "left").withColumn("salt", F.explode(copies))
+    return left.drop("salts").join(right.drop("salts"), [*keys, "salt"], "left").drop("salt")
 
 
 def attach_metadata(pushes: DataFrame, meta: DataFrame, match: str = "repo", dedupe: bool = False,
-                    skew: str = "adaptive", hot_rows: int = 5_000_000, salts: int = 64) -> DataFrame:
+                    skew: str = "adaptive", hot_rows: int = 1_000_000) -> DataFrame:
     """Every push with its repository's metadata; unmatched pushes keep NULL metadata.
 
     match   "repo": by repository name, so a repository sampled in k months gives k rows
@@ -75,8 +48,8 @@ def attach_metadata(pushes: DataFrame, meta: DataFrame, match: str = "repo", ded
     dedupe  keep one metadata row per key first.
     skew    "adaptive": one left join. Catalyst broadcasts the metadata if its measured
             size allows; else the adaptive skew join splits a hot repository's pushes.
-            "salted": spread hot repositories explicitly, whatever the session's settings.
-            Costs one more pass over the pushes' keys, so pass a stored table.
+            "salted": spread hot repositories explicitly, `hot_rows` pushes to a salt,
+            whatever the session's settings. Costs one more pass over the pushes' keys, so pass a stored table.
             "both": also for metadata with a hot key. A left join cannot split its right
             side, so matches come from an inner join, which may split both, and the
             unmatched pushes from an anti join against the distinct keys.
@@ -88,7 +61,7 @@ def attach_metadata(pushes: DataFrame, meta: DataFrame, match: str = "repo", ded
     if dedupe:
         meta = one_row_per_key(meta, keys)
     if skew == "salted":
-        joined = _salted_join(pushes, meta, keys, ["event_id"], hot_rows, salts)
+        joined = _salted_join(pushes, meta, keys, hot_rows)
     elif skew == "both":
         unmatched = pushes.join(meta.select(*keys).distinct(), keys, "left_anti")
         joined = pushes.join(meta, keys).unionByName(unmatched, allowMissingColumns=True)
@@ -105,8 +78,9 @@ def language_rows(breakdown: DataFrame, col: str = "breakdown") -> DataFrame:
 def dominant_category(rows: DataFrame, key: str = "repo_name", category: str = "language",
                       weight: str = "bytes", allowed=TARGET_LANGUAGES,
                       name: str = "primary_language") -> DataFrame:
-    """Per key the allowed category with the most weight; ties go to the first name."""
-    return rows.filter(F.col(category).isin(*allowed)).groupBy(key).agg(
+    """Per key the allowed category with the most weight; ties go to the first name, rows
+    without a weight count nothing."""
+    return rows.filter(F.col(category).isin(*allowed) & F.col(weight).isNotNull()).groupBy(key).agg(
         F.min_by(category, F.struct(-F.col(weight), F.col(category))).alias(name)
     )
 

@@ -59,11 +59,16 @@ def count_by(df: DataFrame, key: str = "repo_name", name: str = "ai_pr_count") -
     return df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias(name))
 
 
-def first_event(events: DataFrame, event_type: str, type_col: str = "type", order=("id",)) -> DataFrame:
-    """The first event of a type in the given order."""
-    return events.filter(F.col(type_col) == F.lit(event_type)).orderBy(*order).limit(1)
+def id_order(col: str) -> list[Column]:
+    """Numeric ids in their order, also if they are held as text: the shorter first."""
+    return [F.length(F.col(col).cast("string")), F.col(col)]
 
 
-def preview_messages(enriched: DataFrame, n: int = 5, order=("event_id",)) -> DataFrame:
-    """The first rows that carry a commit message."""
-    return enriched.filter(F.col("commit_message").isNotNull()).orderBy(*order).limit(n)
+def first_event(events: DataFrame, event_type: str, type_col: str = "type", order=None) -> DataFrame:
+    """The first event of a type in the given order, by default that of `id`."""
+    return events.filter(F.col(type_col) == F.lit(event_type)).orderBy(*(order or id_order("id"))).limit(1)
+
+
+def preview_messages(enriched: DataFrame, n: int = 5, order=None) -> DataFrame:
+    """The first rows that carry a commit message, by default in the order of `event_id`."""
+    return enriched.filter(F.col("commit_message").isNotNull()).orderBy(*(order or id_order("event_id"))).limit(n)

@@ -5,10 +5,6 @@ from pyspark.sql import DataFrame, Window, functions as F
 from ..functions import file_month_key, present
 from ..schemas import PUSH_EVENT, SAMPLE_PER_MONTH
 
-# Above this the optimizer no longer cuts row_number groups before the shuffle.
-GROUP_LIMIT = 1000
-BUCKETS = 256
-
 
 def push_heads(events: DataFrame) -> DataFrame:
     """Pushes with both a repository and a head commit, under their file's month key."""
@@ -34,18 +30,28 @@ def top_rows(df: DataFrame, n: int, *order) -> DataFrame:
 def top_n_per_group(df: DataFrame, group: str, n: int, order) -> DataFrame:
     """First n rows of each group.
 
-    Up to GROUP_LIMIT the optimizer cuts every group inside each task before the shuffle.
-    Beyond that a hot group would reach one task whole, so it is cut in hashed buckets
-    first; the top n of a group is always within the top n of its buckets.
+    Every group is first cut in parts by hash, as many as a shuffle has tasks, then as a whole, so
+    a hot group's rows never meet in one task: what meets is n rows for each part at most. The top
+    n of a group is always within the top n of its parts. A filter on the group reaches the scan.
     """
     def cut(rows, *part):
         w = Window.partitionBy(*part).orderBy(*order)
         return rows.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n).drop("rank")
 
-    if n > GROUP_LIMIT:
-        df = df.withColumn("bucket", F.pmod(F.xxhash64(*df.columns), F.lit(BUCKETS)))
-        df = cut(df, group, "bucket").drop("bucket")
-    return cut(df, group)
+    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parted = df.withColumn("part", F.pmod(F.xxhash64(*df.columns), F.lit(width)))
+    return cut(cut(parted, group, "part").drop("part"), group)
+
+
+def distinct_rows(df: DataFrame, *cols) -> DataFrame:
+    """Different values of the columns."""
+    return df.select(*cols).distinct()
+
+
+def distinct_count(df: DataFrame, col: str, *keys, name: str = "unique_repos") -> DataFrame:
+    """Different non-null values of a column, in all or per key; counted in two steps, so no
+    key's values meet in one task."""
+    return df.groupBy(*keys).agg(F.count_distinct(col).alias(name))
 
 
 def seeded_sample(df: DataFrame, group: str, key: str, n: int = SAMPLE_PER_MONTH,

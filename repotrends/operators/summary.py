@@ -52,12 +52,12 @@ def monthly_language_summary(enriched: DataFrame, buckets=TASK_BUCKETS, default=
     )
 
 
-def metadata_weights(meta: DataFrame, buckets=TASK_BUCKETS, default=DEFAULT_TASK,
+def metadata_weights(meta: DataFrame, buckets=TASK_BUCKETS, default=DEFAULT_TASK, keys=("repo_name",),
                      **rules) -> DataFrame:
-    """Per repository and language: metadata rows, and how many of them count as AI work,
-    in all and by task. Texts are classified once per metadata row, not once per push."""
+    """Per key and language: metadata rows, and how many of them count as AI work, in all and
+    by task. Texts are classified once per metadata row, not once per push."""
     return classify(meta, buckets=buckets, default=default, **rules).groupBy(
-        "repo_name", "primary_language"
+        *keys, "primary_language"
     ).agg(
         F.count(F.lit(1)).alias("total_commits"),
         F.sum("is_ai").alias("ai_commits"),
@@ -65,35 +65,31 @@ def metadata_weights(meta: DataFrame, buckets=TASK_BUCKETS, default=DEFAULT_TASK
     )
 
 
-def summary_from_parts(pushes: DataFrame, meta: DataFrame, small_metadata=None,
-                       buckets=TASK_BUCKETS, default=DEFAULT_TASK, **rules) -> DataFrame:
+def summary_from_parts(pushes: DataFrame, meta: DataFrame, buckets=TASK_BUCKETS, default=DEFAULT_TASK,
+                       keys=("repo_name",), **rules) -> DataFrame:
     """The same summary without building the enriched rows.
 
-    Pushes only bring a repository and a month, metadata only a language and flags, so each
-    pair of joined rows counts `pushes x metadata rows`: both sides are added up before they
-    meet and no repository's pairs are ever written out. What is shuffled is one row per
-    repository and month; message texts never are.
+    Pushes only bring a key and a month, metadata only a language and flags, so each pair of
+    joined rows counts `pushes x metadata rows`: both sides are added up before they meet and
+    no repository's pairs are ever written out. What is shuffled is one row per key and month;
+    message texts never are. How to join is left to the sizes that Spark measures.
 
-    small_metadata  None: leave the join to Catalyst's size estimates. A predicate such as
-    `fits_broadcast`, asked about the metadata's keys (the reduced metadata has no more
-    rows): where it holds, broadcast, and drop the pushes of unknown repositories in the
-    scan task already.
+    keys  `repo_name`, or with `head_sha` for the exact match.
     """
-    weights = metadata_weights(meta, buckets, default, **rules)
+    weights = metadata_weights(meta, buckets, default, keys, **rules)
     counts = [c for c in _count_columns(buckets, default) if c != "unique_repos"]
     at = F.col("created_at")
     # Year and month as one key; both parts can be cut out of it again without loss.
-    months = pushes.filter(F.col("repo_name").isNotNull()).select(
-        "repo_name", F.concat(year_of(at), month_of(at)).alias("yyyymm")
+    months = pushes.dropna(subset=list(keys)).select(
+        *keys, F.concat(year_of(at), month_of(at)).alias("yyyymm")
     )
-    if small_metadata is not None and small_metadata(meta.select("repo_name", "primary_language")):
-        weights = F.broadcast(weights)
-        months = months.join(F.broadcast(weights.select("repo_name")), "repo_name", "left_semi")
-    pushed = months.groupBy("repo_name", "yyyymm").agg(F.count(F.lit(1)).alias("pushes"))
-    # One row per month, language and repository: counting rows counts repositories.
-    joined = pushed.join(weights, "repo_name").select(
-        "yyyymm", "primary_language", *((F.col("pushes") * F.col(c)).alias(c) for c in counts)
+    pushed = months.groupBy(*keys, "yyyymm").agg(F.count(F.lit(1)).alias("pushes"))
+    joined = pushed.join(weights, list(keys)).select(
+        "repo_name", "yyyymm", "primary_language", *((F.col("pushes") * F.col(c)).alias(c) for c in counts)
     )
+    if len(keys) > 1:
+        joined = joined.groupBy("repo_name", "yyyymm", "primary_language").agg(*(F.sum(c).alias(c) for c in counts))
+    # One row per month, language and repository: counting rows counts repositories.
     summed = joined.groupBy("yyyymm", "primary_language").agg(
         F.sum("total_commits").alias("total_commits"),
         F.count(F.lit(1)).alias("unique_repos"),

@@ -4,7 +4,6 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions import month_start, percent_label, share_of
 from ..schemas import REST_LABEL, TARGET_LANGUAGES, TOP_LANGUAGES
-from .enrich import short_list
 
 
 def target_rows(df: DataFrame, targets=TARGET_LANGUAGES, col: str = "primary_language") -> DataFrame:
@@ -52,7 +51,7 @@ def top_categories(df: DataFrame, n: int = TOP_LANGUAGES, col: str = "primary_la
 def keep_top(df: DataFrame, top: DataFrame, n: int = TOP_LANGUAGES,
              col: str = "primary_language") -> DataFrame:
     """Rows of the categories in `top`, a list cut to n rows by `top_categories`."""
-    return df.join(short_list(top.select(col), n), col, "left_semi").select(*df.columns)
+    return df.join(top.select(col), col, "left_semi").select(*df.columns)
 
 
 def growth_index(shares: DataFrame, col: str = "primary_language", share: str = "share") -> DataFrame:
@@ -92,7 +91,7 @@ def mix_with_rest(df: DataFrame, n: int = TOP_LANGUAGES, col: str = "primary_lan
     """
     volume = category_volume(df, col, value).filter(F.col(value) > 0)
     top = volume.orderBy(F.desc(value), col).limit(n)
-    tagged = volume.join(short_list(top.select(col, F.lit(False).alias("is_rest")), n), col, "left")
+    tagged = volume.join(top.select(col, F.lit(False).alias("is_rest")), col, "left")
     is_rest = F.coalesce("is_rest", F.lit(True))
     parts = tagged.groupBy(
         is_rest.alias("is_rest"), F.when(is_rest, F.lit(rest)).otherwise(F.col(col)).alias(col)

@@ -2,13 +2,12 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions import file_month_key
 from ..operators import (
-    attach_metadata, fits_broadcast, metadata_targets, monthly_language_summary, one_row_per_key,
-    push_events, push_heads, summary_from_parts,
+    attach_metadata, metadata_targets, one_row_per_key, push_events, push_heads, summary_from_parts,
 )
 from ..schemas import SAMPLE_PER_MONTH
-from ..sources import append_missing_months, read_events, read_metadata, write_once
+from ..sources import append_missing_months, read_events, read_metadata, require_rows, write_once
+from ..streaming import land_new_files, push_stream
 
 
 def enriched_pushes(spark: SparkSession, log_path, meta_path, **options) -> DataFrame:
@@ -20,30 +19,31 @@ def enriched_pushes(spark: SparkSession, log_path, meta_path, **options) -> Data
 
 def monthly_summary(pushes: DataFrame, meta: DataFrame, match: str = "repo", dedupe: bool = False,
                     **rules) -> DataFrame:
-    """Monthly language summary by the cheapest way the matching rule allows."""
-    if match != "repo":
-        return monthly_language_summary(attach_metadata(pushes, meta, match, dedupe), **rules)
+    """Monthly language summary, counted on both sides before they are joined."""
+    keys = ("repo_name", "head_sha") if match == "head" else ("repo_name",)
     if dedupe:
-        meta = one_row_per_key(meta.drop("head_sha"), ["repo_name"])
-    return summary_from_parts(pushes, meta, fits_broadcast, **rules)
+        meta = one_row_per_key(meta if match == "head" else meta.drop("head_sha"), list(keys))
+    return summary_from_parts(pushes, meta, keys=keys, **rules)
 
 
 def run_activity(spark: SparkSession, log_path, meta_path, out: str, match: str = "repo",
-                 dedupe: bool = False, skew: str = "adaptive") -> DataFrame:
-    """Store pushes, enriched pushes and summary under `out`; return the summary.
+                 dedupe: bool = False, skew: str = "adaptive", keep_enriched: bool = True) -> DataFrame:
+    """Store pushes, enriched pushes and summary under `out`; return the summary in order.
 
     The log is parsed once, into Parquet by month: gzip text gives one task per file and no
-    column pruning, Parquet gives both to every later stage. A rerun skips complete stages.
+    column pruning, Parquet gives both to every later stage. A rerun parses new files only; the
+    other stages are redone if files or options differ from what they were made from. No input
+    is an error, and nothing is stored.
     """
-    month = file_month_key(F.col("file_name")).alias("yymm")
-    landed = push_events(read_events(spark, log_path, with_file=True), month)
-    pushes = write_once(landed, f"{out}/pushes", ["yymm"]).drop("yymm")
+    log = require_rows(read_events(spark, log_path), "the event log")
+    land_new_files(push_stream(spark, log_path), f"{out}/pushes", f"{out}/pushes_read", ["yymm"])
+    pushes = spark.read.parquet(f"{out}/pushes").drop("yymm")
     meta = read_metadata(spark, meta_path)
-    write_once(attach_metadata(pushes, meta, match, dedupe, skew), f"{out}/enriched")
-    summary = monthly_summary(pushes, meta, match, dedupe).orderBy(
-        "year", "month", F.desc("ai_commits"), "primary_language"
-    )
-    return write_once(summary, f"{out}/summary")
+    made_from = [sorted(log.inputFiles()), sorted(meta.inputFiles()), match, dedupe]
+    if keep_enriched:
+        write_once(attach_metadata(pushes, meta, match, dedupe, skew), f"{out}/enriched", made_from=made_from)
+    summary = write_once(monthly_summary(pushes, meta, match, dedupe), f"{out}/summary", made_from=made_from)
+    return summary.orderBy("year", "month", F.desc("ai_commits"), "primary_language")
 
 
 def metadata_lookup_list(spark: SparkSession, log_path, out: str, n: int = SAMPLE_PER_MONTH,

@@ -7,7 +7,8 @@ from ..schemas import (
     AI_REPOS, AI_REPOS_WITH_LANGUAGE, ENRICHED, EVENT, LANGUAGE_BYTES, METADATA, PULL_REQUEST_LINE,
 )
 
-# NULL as \N keeps it apart from the empty string; quotes are doubled, as in RFC 4180.
+# NULL as \N keeps it apart from the empty string, which is written as ""; quotes are doubled, as
+# in RFC 4180. A text that is exactly \N comes back as NULL.
 TSV_OPTIONS = {
     "sep": "\t", "header": True, "quote": '"', "escape": '"', "nullValue": "\\N",
     "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,

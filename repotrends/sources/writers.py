@@ -1,5 +1,8 @@
 """Sinks. All of them write from the executors; no result passes through the driver."""
 
+import hashlib
+import json
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -28,35 +31,58 @@ def drop_blank_lines(lines: DataFrame, col: str = "value") -> DataFrame:
     return lines.filter(F.length(col) > 0)
 
 
+def _exists(reader, path: str) -> bool:
+    try:
+        reader(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True
+
+
 def stage_is_complete(spark: SparkSession, path: str) -> bool:
     """True when a write to `path` ran to its end and left its success marker."""
-    jvm = spark.sparkContext._jvm
-    marker = jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + "/_SUCCESS")
-    return marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(marker)
+    return _exists(spark.read.format("binaryFile").load, path.rstrip("/") + "/_SUCCESS")
+
 
+def _made_from(spark: SparkSession, path: str) -> str | None:
+    """What a complete stage says it was made from; None if it says nothing."""
+    note = path.rstrip("/") + "/_made_from"
+    if not stage_is_complete(spark, path) or not _exists(spark.read.text, note):
+        return None
+    row = spark.read.text(note).first()
+    return row and row[0]
 
-def write_once(df: DataFrame, path: str, partition_by=()) -> DataFrame:
+
+def write_once(df: DataFrame, path: str, partition_by=(), made_from=None) -> DataFrame:
     """Write a stage as Parquet unless it is already complete; return the stored table.
 
     Save mode `ignore` asks only whether the folder exists, so it would keep the remains of
     a job that died half-way. Asking for the success marker redoes such a stage.
+
+    made_from  options and input files, as JSON values. They are noted beside the stage after
+    it is written; a stage that was made from anything else is redone.
     """
     spark = df.sparkSession
-    if not stage_is_complete(spark, path):
+    note = None if made_from is None else hashlib.sha256(
+        json.dumps(made_from, sort_keys=True).encode()).hexdigest()
+    if not stage_is_complete(spark, path) or note != (note and _made_from(spark, path)):
         writer = df.write.mode("overwrite")
         (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+        if note:
+            spark.createDataFrame([(note,)], "value string").coalesce(1).write.mode(
+                "overwrite").text(f"{path.rstrip('/')}/_made_from")
     return spark.read.schema(df.schema).parquet(path)
 
 
 def months_held(spark: SparkSession, path: str, month: str = "yymm") -> list[str]:
-    """Months a table already holds, from its folder names; a short list by nature."""
-    try:
-        held = spark.read.schema(f"`{month}` string").parquet(path).distinct()
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
+    """Months that were written to their end, from the list beside the table; short by nature."""
+    listed = f"{path.rstrip('/')}/_months"
+    if not _exists(spark.read.schema(f"`{month}` string").parquet, listed):
         return []
-    return sorted(row[0] for row in held.collect() if row[0] is not None)
+    held = spark.read.schema(f"`{month}` string").parquet(listed).distinct()
+    return sorted(row[0] for row in held.collect())
 
 
 def append_missing_months(df: DataFrame, path: str, month: str = "yymm") -> DataFrame:
@@ -65,11 +91,17 @@ def append_missing_months(df: DataFrame, path: str, month: str = "yymm") -> Data
     One folder per month; rows without a month are left out. The months held become a
     literal filter, which Catalyst pushes through grouping and windows by month down to the
     scan: where the month comes from the file name, files of held months are not opened.
+    A month counts as held once it is listed, which happens after its rows are written; what a
+    killed run left of other months is replaced.
     """
     spark = df.sparkSession
-    new = df.filter(F.col(month).isNotNull() & ~F.col(month).isin(months_held(spark, path, month)))
-    new.write.mode("append").partitionBy(month).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    held = F.col(month).isin(months_held(spark, path, month))
+    new = df.filter(F.col(month).isNotNull() & ~held)
+    new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(month).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.filter(~held).select(F.col(month).cast("string")).distinct().coalesce(1).write.mode("append").parquet(
+        f"{path.rstrip('/')}/_months")
+    return table
 
 
 def write_jdbc_table(summary: DataFrame, url: str, table: str, properties: dict,

@@ -131,6 +131,22 @@ def test_months_are_added_once(spark, tmp_path):
     assert rows(got.select("yymm", "repo_name")) == [("0901", "r1"), ("2602", "r3")]
 
 
+def test_a_stage_made_from_other_things_is_redone(spark, tmp_path):
+    path = str(tmp_path / "stage")
+    assert src.write_once(spark.range(3), path, made_from=["a"]).count() == 3
+    assert src.write_once(spark.range(9), path, made_from=["a"]).count() == 3
+    assert src.write_once(spark.range(9), path, made_from=["a", "b"]).count() == 9
+
+
+def test_a_half_written_month_is_replaced(spark, tmp_path):
+    path = str(tmp_path / "m")
+    df = spark.createDataFrame([("r1", "2601"), ("r2", "2601"), ("r3", "2601")], "repo_name string, yymm string")
+    df.limit(1).write.partitionBy("yymm").parquet(path)
+    assert src.append_missing_months(df, path).count() == 3
+    assert src.append_missing_months(df.limit(1), path).count() == 3
+    assert src.months_held(spark, path) == ["2601"]
+
+
 def test_jdbc_load_stops_on_a_duplicate_key(spark):
     one = ("2026", "01", "Go", *[1] * 8)
     with pytest.raises(ValueError, match="duplicate key"):
@@ -195,6 +211,28 @@ def test_activity_job_options(spark, raw, meta, tmp_path, options, want):
     assert rows(op.monthly_language_summary(stored)) == rows(summary)
 
 
+def test_activity_job_follows_its_inputs(spark, raw, meta, tmp_path):
+    out, log = str(tmp_path / "out"), raw + "/*.json.gz"
+    first = rows(plans.run_activity(spark, log, meta, out))
+    write_gz(raw, "2026-03-02-15.json.gz", [event(41, "a/x", "h41", "2026-03-02T15:00:00Z")])
+    after = rows(plans.run_activity(spark, log, meta, out).select("month", "total_commits"))
+    assert after == [("01", 4), ("02", 2), ("03", 2)] and len(first) == 2
+    by_head = rows(plans.run_activity(spark, log, meta, out, match="head").select("month", "total_commits"))
+    assert by_head == [("01", 1), ("02", 1)]
+    empty = tmp_path / "empty"
+    empty.mkdir()
+    with pytest.raises(src.MissingInputError):
+        plans.run_activity(spark, str(empty), meta, str(tmp_path / "other"))
+    assert not os.path.exists(tmp_path / "other")
+
+
+def test_pull_request_job_follows_its_terms(spark, raw, tmp_path):
+    langs = spark.createDataFrame([("a/x", "Go", 3)], "repo_name string, language string, bytes long")
+    out = str(tmp_path / "out")
+    assert len(rows(plans.run_pull_requests(spark, raw + "/*.json.gz", langs, out))) == 2
+    assert rows(plans.run_pull_requests(spark, raw + "/*.json.gz", langs, out, terms=("no such term",))) == []
+
+
 def test_pull_request_job(spark, raw, tmp_path):
     langs = spark.createDataFrame(
         [("a/x", "HTML", 9), ("a/x", "Go", 3), ("a/x", "Rust", 3), ("zz", "Go", 1)],

@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from repotrends import operators as op
+from repotrends import functions as fn, operators as op
 from repotrends.schemas import ENRICHED, METADATA, PUSH, SUMMARY
 from repotrends.sources import read_pull_request_events
 
@@ -43,7 +43,7 @@ SKEWS = ["adaptive", "salted", "both"]
 def test_left_join_fans_out_and_keeps_unmatched(spark, skew):
     pushes = push(spark, ("a/x", "h1", "2026-01"), ("b/y", "h2", "2026-01"), (None, "h", "2026-01"))
     md = meta(spark, ("a/x", "h1", "m1", None, "Go"), ("a/x", "h9", "m2", None, "Go"))
-    out = op.attach_metadata(pushes, md, skew=skew, hot_rows=1, salts=3)
+    out = op.attach_metadata(pushes, md, skew=skew, hot_rows=1)
     assert out.columns == ENRICHED.fieldNames()
     got = sorted((r.repo_name or "", r.commit_message or "") for r in out.collect())
     assert got == [("", ""), ("a/x", "m1"), ("a/x", "m2"), ("b/y", "")]
@@ -79,25 +79,42 @@ def test_salted_join_equals_the_plain_one_with_a_hot_key(spark):
     md = meta(spark, *[(f"r{i}", "h", f"m{i}-{k}", None, "Go") for i in range(0, 40, 2) for k in range(3)],
               ("hot", "h", "m1", None, "Go"), ("hot", "h", "m2", None, "Go"))
     plain = rows(op.attach_metadata(pushes, md))
-    assert rows(op.attach_metadata(pushes, md, skew="salted", hot_rows=50, salts=7)) == plain
+    assert rows(op.attach_metadata(pushes, md, skew="salted", hot_rows=50)) == plain
     assert rows(op.attach_metadata(pushes, md, skew="both")) == plain
     assert len(plain) > 600
 
 
-def test_hot_keys_are_bounded(spark):
+def test_every_hot_key_is_spread(spark):
     from repotrends.operators.enrich import hot_keys
 
     df = spark.createDataFrame([(k,) for k in "aaaabbbccd"], "k string")
-    assert [r.k for r in hot_keys(df, ["k"], 2).orderBy("k").collect()] == ["a", "b", "c"]
-    assert [r.k for r in hot_keys(df, ["k"], 2, max_keys=1).collect()] == ["a"]
+    assert rows(hot_keys(df, ["k"], 2)) == [("a", 4), ("b", 3), ("c", 2)]
+    pushes = push(spark, *[(f"r{i % 2000}", "h", "2026-01") for i in range(6000)])
+    md = meta(spark, *[(f"r{i}", "h", f"m{i}", None, "Go") for i in range(2000)])
+    assert rows(op.attach_metadata(pushes, md, skew="salted", hot_rows=2)) == rows(op.attach_metadata(pushes, md))
 
 
-def test_broadcast_check(spark):
-    df = spark.createDataFrame([("x" * 100,)] * 10, "a string")
-    assert op.fits_broadcast(df)
-    assert not op.fits_broadcast(df, max_rows=9)
-    assert not op.fits_broadcast(df, max_bytes=1000)
-    assert op.fits_broadcast(df.limit(0))
+def test_dominant_category_ignores_a_missing_weight(spark):
+    df = spark.createDataFrame([("r", "Go", None), ("r", "Rust", 9)], "repo_name string, language string, bytes long")
+    assert rows(op.dominant_category(df)) == [("r", "Rust")]
+
+
+def test_calendar_has_no_day_that_a_month_lacks(spark):
+    days = op.snapshot_calendar(op.calendar_span(spark, "2026-01", "2026-03"), (30, 31))
+    assert [str(r.snapshot_date) for r in days.orderBy("snapshot_date").collect()] == [
+        "2026-01-30", "2026-01-31", "2026-03-30", "2026-03-31"]
+
+
+def test_text_ids_come_in_numeric_order(spark):
+    df = spark.createDataFrame([("10", "t"), ("9", "t")], "id string, type string")
+    assert op.first_event(df, "t").first()["id"] == "9"
+
+
+def test_terms_match_in_any_case(spark):
+    df = spark.createDataFrame([("by CLAUDE",)], "m string")
+    assert df.filter(fn.contains_any(F.col("m"), ("Claude",))).count() == 1
+    with pytest.raises(ValueError):
+        fn.contains_any(F.col("m"), ("",))
 
 
 # --- language choice ---
@@ -240,8 +257,8 @@ def test_three_ways_to_one_summary(spark, seed):
     want = rows(op.monthly_language_summary(op.attach_metadata(pushes, md)))
     assert want
     assert rows(op.summary_from_parts(pushes, md)) == want
-    assert rows(op.summary_from_parts(pushes, md, op.fits_broadcast)) == want
-    assert rows(op.summary_from_parts(pushes, md, lambda _: False)) == want
+    want = rows(op.monthly_language_summary(op.attach_metadata(pushes, md, "head")))
+    assert rows(op.summary_from_parts(pushes, md, keys=("repo_name", "head_sha"))) == want
 
 
 def test_summary_invariants(spark):
