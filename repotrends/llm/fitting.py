@@ -33,7 +33,8 @@ def fit_in_task(sample: DataFrame, fit):
             y += batch.column("y").to_pylist()
         yield pa.RecordBatch.from_pydict({"model": pa.array([pickle.dumps(fit(texts, np.array(y, int)))], pa.binary())})
 
-    return pickle.loads(sample.repartition(1).mapInArrow(run, "model binary").first()["model"])
+    row = sample.repartition(1).mapInArrow(run, "model binary").first()
+    return pickle.loads(row["model"]) if row else fit([], np.zeros(0, int))  # no task without rows
 
 
 class Sparse:

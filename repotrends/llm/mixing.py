@@ -109,6 +109,23 @@ def _row_keys(pattern):
     return F.xxhash64("doc_id", pattern, "tag"), F.hash(F.col("doc_id").isNull(), F.col("tag"))
 
 
+def _marked(dealt: DataFrame, more) -> DataFrame:
+    return dealt.select("pattern", "k1", "k2", "h", "size", "whole", "rest", more.alias("more"))
+
+
+def _prefix(dealt: DataFrame, allowance) -> DataFrame:
+    """Mark, of each pattern, the first rows by (bucket, hash) whose words together are within the
+    allowance. Buckets are added up first, so a large pattern's rows are never one task."""
+    buckets = dealt.groupBy("pattern", "bucket").agg(F.sum("size").alias("words"))
+    earlier = buckets.select("pattern", "bucket", F.coalesce(F.sum("words").over(
+        Window.partitionBy("pattern").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)),
+        F.lit(0)).alias("earlier"))
+    inside = F.sum("size").over(Window.partitionBy("pattern", "bucket").orderBy("h", "k1", "k2").rowsBetween(
+        Window.unboundedPreceding, 0))
+    joined = dealt.withColumn("inside", inside).join(earlier, ["pattern", "bucket"])
+    return _marked(joined, F.col("earlier") + F.col("inside") <= allowance)
+
+
 def _decisions(spark, sized: DataFrame, weights, most: int, seed: int):
     """Copies to take of each different row (k1, k2), and the sources' sizes and targets."""
     pattern = F.to_json(F.array_sort(F.array_distinct("members")), {"ignoreNullFields": "false"})
@@ -133,20 +150,17 @@ def _decisions(spark, sized: DataFrame, weights, most: int, seed: int):
               max(1, -(-r["n"] // BUCKET))) for r in found]
     shares = spark.createDataFrame(parts, "pattern string, whole long, rest long, buckets long")
     order = F.xxhash64("k1", "k2", F.lit(seed))
-    # Words before a row in the order (bucket, hash): those of the buckets before, then of the rows.
     # Tables by pattern are as short as the catalogue above, so they may be broadcast.
     dealt = rows.join(F.broadcast(shares), "pattern").withColumn("h", order).withColumn(
         "bucket", F.pmod(F.shiftrightunsigned("h", 16), F.col("buckets")))
-    buckets = dealt.groupBy("pattern", "bucket").agg(F.sum("size").alias("words"))
-    earlier = buckets.select("pattern", "bucket", F.coalesce(F.sum("words").over(
-        Window.partitionBy("pattern").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)),
-        F.lit(0)).alias("earlier"))
-    inside = F.sum("size").over(Window.partitionBy("pattern", "bucket").orderBy("h", "k1", "k2").rowsBetween(
-        Window.unboundedPreceding, 0))
+    # Rows over a twentieth of the rest come first, so that small rows can fill what they leave.
+    size, rest = F.col("size"), F.col("rest")
+    large = stored(_prefix(dealt.filter((size * 20 > rest) & (size <= rest)), rest), "mix-large")
+    used = large.filter("more").groupBy("pattern").agg(F.sum("size").alias("used"))
+    small = dealt.filter(size * 20 <= rest).join(F.broadcast(used), "pattern", "left")
     chosen = stored(
-        dealt.withColumn("inside", inside).join(earlier, ["pattern", "bucket"])
-        .select("pattern", "k1", "k2", "h", "size", "whole", "rest",
-                (F.col("earlier") + F.col("inside") <= F.col("rest")).alias("more")), "mix-choice")
+        large.union(_prefix(small, rest - F.coalesce("used", F.lit(0))))
+        .union(_marked(dealt.filter(size > rest), F.lit(False))), "mix-choice")
     # What is left of the rest goes to the row that fills it best.
     gaps = chosen.groupBy("pattern").agg(F.max("rest").alias("rest"), F.coalesce(
         F.sum(F.when(F.col("more"), F.col("size"))), F.lit(0)).alias("words")).select(
@@ -167,7 +181,8 @@ def mix(docs: DataFrame, members=None, weights=(5, 2, 1), most: int = 3, seed: i
     `members` is a column of `docs` with the names of the sources that a document belongs to, by
     default its `source` alone; a null is a source of its own. size counts words (runs of other
     than ASCII white space; null and empty texts: 0). source_size and target are added up over the
-    document's sources. taken is size times the copies that the mix takes, at most `most`. Rows that
+    document's sources. taken is size times the copies that the mix takes, at most `most`; whole
+    documents are taken, so what a source misses is less than any left-out document of it. Rows that
     repeat doc_id, text and sources are decided as one. Reruns agree. Other columns are not read.
     """
     spark = docs.sparkSession

@@ -98,11 +98,10 @@ class Forest:
 def _usable(vectors: DataFrame, embedding: str) -> DataFrame:
     """vec_id and vector (doubles) of the rows that take part."""
     v = F.col("vector")
-    whole = vectors.select("vec_id", F.col(embedding).cast("array<double>").alias("vector")).filter(
+    return vectors.select("vec_id", F.col(embedding).cast("array<double>").alias("vector")).filter(
         F.col("vec_id").isNotNull() & v.isNotNull()
         & ~F.exists("vector", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
         & F.exists("vector", lambda x: x != 0))
-    return whole
 
 
 def nearest(vectors: DataFrame, is_query, k: int = 10, embedding: str = "embedding", trees: int = 4,

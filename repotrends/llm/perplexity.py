@@ -151,7 +151,8 @@ def _fit(counts: DataFrame) -> dict:
         yield pa.RecordBatch.from_pydict({"model": pa.array(
             [pickle.dumps(kneser_ney(np.concatenate(codes), np.concatenate(counts)))], pa.binary())})
 
-    return pickle.loads(counts.repartition(1).mapInArrow(run, "model binary").first()["model"])
+    row = counts.repartition(1).mapInArrow(run, "model binary").first()
+    return pickle.loads(row["model"]) if row else kneser_ney(np.zeros(0, np.int64), np.zeros(0, np.int64))
 
 
 def base_counts(text: str):
