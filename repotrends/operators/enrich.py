@@ -33,8 +33,8 @@ def _salted_join(left, right, keys, min_rows):
     drawn = F.xxhash64(*left.columns)
     nulls = reduce(or_, (F.col(k).isNull() for k in keys))
     salt = F.when(nulls, drawn).otherwise(F.pmod(drawn, F.coalesce("salts", F.lit(1))))
-    copies = F.sequence(F.lit(0).cast("long"), (F.coalesce("salts", F.lit(1)) - 1).cast("long"))
-    left = left.join(salts, keys, "left").withColumn("salt", salt.cast("long"))
+    copies = F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1)
+    left = left.join(salts, keys, "left").withColumn("salt", salt.cast("int"))
     right = right.join(salts, keys, "left").withColumn("salt", F.explode(copies))
     return left.drop("salts").join(right.drop("salts"), [*keys, "salt"], "left").drop("salt")
 
