@@ -32,7 +32,7 @@ def _salted_join(left, right, keys, min_rows):
         *keys, F.ceil(F.col("n") / min_rows).cast("int").alias("salts")))
     drawn = F.xxhash64(*left.columns)
     nulls = reduce(or_, (F.col(k).isNull() for k in keys))
-    salt = F.when(nulls, drawn).otherwise(F.pmod(drawn, F.coalesce("salts", F.lit(1))))
+    salt = F.when(nulls, F.pmod(drawn, F.lit(1 << 30))).otherwise(F.pmod(drawn, F.coalesce("salts", F.lit(1))))
     copies = F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1)
     left = left.join(salts, keys, "left").withColumn("salt", salt.cast("int"))
     right = right.join(salts, keys, "left").withColumn("salt", F.explode(copies))
