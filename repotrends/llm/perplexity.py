@@ -2,8 +2,9 @@
 
 The n-grams are over 64 classes of UTF-8 bytes, four at a time, so there are at most 2^24 of them
 whatever the corpus. Spark counts those of all texts; a modified Kneser-Ney model is made of the
-counts and kept in sorted arrays. Languages have bands of their own: a text whose logarithm of
-perplexity lies far outside the quartiles of its language is rejected.
+counts and kept in sorted arrays. Its cost of a text is measured per byte and per word, since marks
+stuck to words make bytes cheap and words dear. Languages have bands of their own: a text is rejected
+if one of the measures lies far outside the quartiles of its language.
 """
 
 import pickle
@@ -173,43 +174,57 @@ def base_counts(text: str):
     return (len(words), len(text) - blanks, sum(map(text.count, _SYMBOLS)), len(lines) - len(set(lines)), repeated)
 
 
-def rate(docs: DataFrame, spread: float = 4.0, least_spread: float = 0.1) -> DataFrame:
+def _kept(rated: DataFrame, measures, spread: float, least_spread: float) -> DataFrame:
+    """`rated` with the column `kept`: base rules passed, and every measure inside its language's band."""
+    bins = rated.filter("NOT base_failed").select("lang", F.inline(F.array(*(
+        F.struct(F.lit(m).alias("measure"), F.floor(F.col(m) * BINS).alias("bin")) for m in measures)))).groupBy(
+        "lang", "measure", "bin").agg(F.count(F.lit(1)).alias("n"))
+    whole = Window.partitionBy("lang", "measure")
+    upto = F.sum("n").over(whole.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0))
+    share = bins.select("lang", "measure", "bin", (upto / F.sum("n").over(whole)).alias("share"))
+
+    def quartile(m, q):
+        return F.min(F.when((F.col("measure") == m) & (F.col("share") >= q), (F.col("bin") + 0.5) / BINS))
+
+    bands = share.groupBy(F.col("lang").alias("of")).agg(*(
+        quartile(m, q).alias(f"{m}_{name}") for m in measures for name, q in (("q1", 0.25), ("q3", 0.75))))
+    inside = ~F.col("base_failed")
+    for m in measures:
+        q1, q3 = F.col(f"{m}_q1"), F.col(f"{m}_q3")
+        reach = F.greatest(spread * (q3 - q1), F.lit(least_spread))
+        inside = inside & F.coalesce((F.col(m) >= q1 - reach) & (F.col(m) <= q3 + reach), F.lit(False))
+    return rated.join(bands, F.col("lang").eqNullSafe(F.col("of")), "left").withColumn("kept", inside)
+
+
+def rate(docs: DataFrame, spread: float = 4.0, least_spread: float = 0.05) -> DataFrame:
     """One row for each row of `docs`: doc_id, n_words, word_chars, n_symbols, n_dup_lines,
-    n_repeat_words, base_failed, kept, log_perplexity.
+    n_repeat_words, base_failed, kept, log_perplexity, log_word_cost.
 
     A text fails the base rules with under 50 words, or if over half of its words lie in 3-word
-    windows that it repeats. Others are kept if log_perplexity is within `spread` times the
-    distance of the quartiles (at least `least_spread`) from them, where the quartiles are those of
-    the texts of the same lang (null is a language of its own) that pass the base rules. The model
-    counts all texts. Null texts are empty; repeated rows count each; other columns are not read.
+    windows that it repeats. log_perplexity is the model's cost of a byte in nats, log_word_cost the
+    logarithm of its cost of a word. Others are kept if both are within `spread` times the distance
+    of the quartiles (at least `least_spread`) from them, where the quartiles are those of the texts
+    of the same lang (null is a language of its own) that pass the base rules. The model counts all
+    texts. Null texts are empty; repeated rows count each; other columns are not read.
     """
     model = _fit(stored(count_ngrams(docs), "ngrams"))
 
     def rows(ids, langs, texts):
         encoded = [(t or "").encode() for t in texts]
-        log_ppl = np.zeros(len(texts))
+        cost, size = np.zeros(len(texts)), np.array([len(t) + 1 for t in encoded])
         for own in _chunks(encoded):
             code, starts, ends = _codes([encoded[n] for n in own])
             sums = np.concatenate([[0.0], np.cumsum(log_probabilities(model, code), dtype=np.float64)])
-            log_ppl[own] = (sums[starts] - sums[ends]) / (ends - starts)
+            cost[own] = sums[starts] - sums[ends]
         counts = [base_counts(t or "") for t in texts]
         failed = [n < 50 or 100 * again > 50 * n for n, *_, again in counts]
-        yield ids, langs, *zip(*counts), failed, log_ppl
+        words = np.array([max(1, n) for n, *_ in counts])
+        yield ids, langs, *zip(*counts), failed, cost / size, np.log(np.maximum(cost / words, 1e-9))
 
     rated = stored(map_rows(
         docs.select("doc_id", "lang", "text"), rows,
         "doc_id long, lang string, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
-        "n_repeat_words long, base_failed boolean, log_perplexity double"), "rated")
-    bins = rated.filter("NOT base_failed").groupBy(
-        "lang", F.floor(F.col("log_perplexity") * BINS).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-    by_lang = Window.partitionBy("lang")
-    upto = F.sum("n").over(by_lang.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0))
-    share = bins.select("lang", "bin", (upto / F.sum("n").over(by_lang)).alias("share"))
-    def quartile(q):
-        return F.min(F.when(F.col("share") >= q, (F.col("bin") + 0.5) / BINS))
-    bands = share.groupBy(F.col("lang").alias("of")).agg(quartile(0.25).alias("q1"), quartile(0.75).alias("q3"))
-    reach = F.greatest(spread * (F.col("q3") - F.col("q1")), F.lit(least_spread))
-    inside = (F.col("log_perplexity") >= F.col("q1") - reach) & (F.col("log_perplexity") <= F.col("q3") + reach)
-    return rated.join(bands, F.col("lang").eqNullSafe(F.col("of")), "left").select(
+        "n_repeat_words long, base_failed boolean, log_perplexity double, log_word_cost double"), "rated")
+    return _kept(rated, ("log_perplexity", "log_word_cost"), spread, least_spread).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-        (~F.col("base_failed") & F.coalesce(inside, F.lit(False))).alias("kept"), "log_perplexity")
+        "kept", "log_perplexity", "log_word_cost")

@@ -277,6 +277,7 @@ def test_perplexity_rules(spark):
     assert len(rows) == 3 + len(corpus(3)) and all(not (r.base_failed and r.kept) for r in rows)
     rows = queries.op5(spark, SF).join(spark.read.parquet(f"{SF}/labels.parquet"), "doc_id").collect()
     assert np.mean([r.kept for r in rows if r.quality == 1 and not r.base_failed]) > 0.99
+    assert np.mean([r.kept for r in rows if r.quality == 0 and not r.base_failed]) < 0.5
 
 
 def test_license_templates(spark):
