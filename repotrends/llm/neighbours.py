@@ -2,7 +2,8 @@
 
 The trees are fitted on a bounded sample; every vector is filed in one leaf of each tree. A query
 walks all trees through one priority queue, the nearest splitting planes first, until it has named
-enough leaves. Candidates of those leaves are ranked by exact distance.
+enough leaves. Candidates of those leaves are ranked by exact distance. Leaves are searched in blocks,
+so that neither the vectors nor the queries of one leaf have to fit in a task.
 """
 
 import heapq
@@ -17,6 +18,7 @@ from .common import stored
 
 SAMPLE = 1 << 16      # vectors that the trees are fitted on, at most
 LEAST_IN_LEAF = 8     # sample vectors in a leaf, at least
+BLOCK = 8192          # vectors, or queries, of a leaf that meet in one group, about
 
 
 def _split(x: np.ndarray, rng, tries: int = 16, most: int = 2000):
@@ -168,10 +170,25 @@ def nearest(vectors: DataFrame, is_query, k: int = 10, embedding: str = "embeddi
                 out += [(q, int(ids[n]), float(score[n])) for n in best if score[n] < np.inf]
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
 
-    filed = some.select("vec_id", "vector").mapInArrow(file, "tree int, leaf long, vec_id long, vector array<double>")
-    walked = queries.select("vec_id", "vector").mapInArrow(
-        walk, "tree int, leaf long, query_id long, vector array<double>")
-    near = filed.groupBy("tree", "leaf").cogroup(walked.groupBy("tree", "leaf")).applyInPandas(
+    filed = stored(some.select("vec_id", "vector").mapInArrow(
+        file, "tree int, leaf long, vec_id long, vector array<double>"), "filed")
+    walked = stored(queries.select("vec_id", "vector").mapInArrow(
+        walk, "tree int, leaf long, query_id long, vector array<double>"), "walked")
+
+    def blocks(df, name):
+        return df.groupBy("tree", "leaf").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias(name))
+
+    def dealt(df, own, own_id, others):
+        """Every row in one block of its own side, and once for each block of the other side."""
+        return df.join(F.broadcast(leaves), ["tree", "leaf"]).select(
+            *df.columns, F.pmod(F.xxhash64(own_id), own).alias(own),
+            F.explode(F.sequence(F.lit(0).cast("long"), F.col(others) - 1)).alias(others))
+
+    # One row for each leaf that a query visits: at most trees * SAMPLE / LEAST_IN_LEAF.
+    leaves = stored(blocks(filed, "rows").join(blocks(walked, "asked"), ["tree", "leaf"]), "leaves")
+    key = ["tree", "leaf", "rows", "asked"]
+    near = dealt(filed, "rows", "vec_id", "asked").groupBy(*key).cogroup(
+        dealt(walked, "asked", "query_id", "rows").groupBy(*key)).applyInPandas(
         rank, "query_id long, vec_id long, score double")
     best = near.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")

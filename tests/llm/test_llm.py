@@ -328,7 +328,9 @@ def test_tree_matching():
     assert sorted(a[x][1] for x, _ in html.match(a, b)) == ["#root", "div", "li", "p", "ul"]
 
 
-def test_nearest_vectors(spark):
+@pytest.mark.parametrize("block", [20, 8192])
+def test_nearest_vectors(spark, block, monkeypatch):
+    monkeypatch.setattr(neighbours, "BLOCK", block)
     rng = np.random.default_rng(1)
     x = rng.normal(size=(3000, 16)).astype(np.float32)
     x[50:120] = x[0]
