@@ -170,8 +170,8 @@ def nearest(vectors: DataFrame, is_query, k: int = 10, embedding: str = "embeddi
                 out += [(q, int(ids[n]), float(score[n])) for n in best if score[n] < np.inf]
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
 
-    filed = stored(some.select("vec_id", "vector").mapInArrow(
-        file, "tree int, leaf long, vec_id long, vector array<double>"), "filed")
+    # Filing is cheap, so it is done once to count and once to deal, and only the latter is shuffled.
+    filed = some.select("vec_id", "vector").mapInArrow(file, "tree int, leaf long, vec_id long, vector array<double>")
     walked = stored(queries.select("vec_id", "vector").mapInArrow(
         walk, "tree int, leaf long, query_id long, vector array<double>"), "walked")
 
