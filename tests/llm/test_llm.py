@@ -1,7 +1,9 @@
 """Operators for training data, beside brute force, round trips and held-out rows."""
 
 import hashlib
+import math
 import random
+from collections import Counter
 from zlib import crc32
 
 import numpy as np
@@ -261,15 +263,42 @@ def test_base_counts():
     assert perplexity.base_counts("é# <x> |") == (2, 7, 4, 0, 0)
 
 
-def test_kneser_ney_is_a_distribution():
-    texts = [b"the cat sat on the mat", b"a cat and a hat", b"", b"the hat sat"]
-    code, starts, ends = perplexity._codes(texts)
-    inside = np.concatenate([code[a:b] for a, b in zip(starts, ends)])
-    codes, counts = np.unique(inside, return_counts=True)
-    model = perplexity.kneser_ney(codes, counts)
-    for context in [codes[0] // 64, codes[5] // 64, 12345]:
-        p = np.exp(perplexity.log_probabilities(model, context * 64 + np.arange(64)))
-        assert abs(p.sum() - 1) < 1e-4
+def slow_costs(texts, order):
+    """Costs under interpolated modified Kneser-Ney, from dicts."""
+    edge = bytes(order - 1)
+    grams = [[(edge + t + edge)[i:i + order] for i in range(len(t) + 1)] for t in texts]
+    levels = {order: Counter(g for own in grams for g in own)}
+    for size in range(order - 1, 0, -1):
+        levels[size] = Counter(g[1:] for g in levels[size + 1])
+    cut = {size: [0, *perplexity.discounts(*(sum(n == k for n in c.values()) for k in (1, 2, 3, 4)))]
+           for size, c in levels.items()}
+    followers = {size: {} for size in levels}
+    for size, c in levels.items():
+        for g, n in c.items():
+            followers[size].setdefault(g[:-1], []).append(n)
+
+    def p(g):
+        if not g:
+            return 1 / 256
+        own, d, n = followers[len(g)][g[:-1]], cut[len(g)], levels[len(g)][g]
+        return (n - d[min(n, 3)] + sum(d[min(k, 3)] for k in own) * p(g[1:])) / sum(own)
+
+    return [-sum(math.log(p(g)) for g in own) for own in grams]
+
+
+@pytest.mark.parametrize("chunk, slices", [(1 << 21, 1 << 22), (50, 100)])
+def test_costs_of_texts(spark, chunk, slices, monkeypatch):
+    """Also with texts that run over several chunks, and with a model in several slices."""
+    monkeypatch.setattr(perplexity, "CHUNK", chunk)
+    monkeypatch.setattr(perplexity, "HELD", chunk)
+    monkeypatch.setattr(perplexity, "SLICE", slices)
+    texts = ["the cat sat on the mat", "a cat and a hat", "", None, "the hat sat", "the hat sat", "É\0é " * 30]
+    rows = perplexity.rate(table(spark, [*texts, texts[0]], [*range(len(texts)), 0])).collect()
+    want = slow_costs([(t or "").encode() for t in [*texts, texts[0]]], perplexity.ORDER)
+    assert len(rows) == len(want)
+    for r in rows:
+        size = len((texts[r.doc_id] or "").encode()) + 1
+        assert abs(r.log_perplexity * size - want[r.doc_id]) < 1e-4 * size
 
 
 def test_perplexity_rules(spark):
