@@ -148,8 +148,9 @@ def costs(keyed: DataFrame) -> DataFrame:
     slices = max(1, -(-model.count() // SLICE))
     of = F.pmod(F.xxhash64("gram"), F.lit(slices))
     shares = [stored(_costs(keyed, model.filter(of == s)), "costs") for s in range(slices)]
-    # Copies of a text have the same share each, so the mean is that of one of them.
-    return reduce(DataFrame.unionAll, shares).groupBy(*_KEY).agg((F.avg("cost") * slices).alias("cost"))
+    # Copies of a text have the same share each, so the mean is that of one of them. Stored, so that the
+    # join with the rows can split those of a text with many copies.
+    return stored(reduce(DataFrame.unionAll, shares).groupBy(*_KEY).agg((F.avg("cost") * slices).alias("cost")), "costs")
 
 
 def base_counts(text: str):
