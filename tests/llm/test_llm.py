@@ -408,3 +408,34 @@ def test_pipeline(spark):
         if number == 1:
             assert docs.count() == docs.select("doc_id").distinct().count()
     assert sorted(map(str, corpus_pipeline.run(spark, SMALL).collect())) == sorted(map(str, docs.collect()))
+
+
+def texts_of(spark, pages):
+    rows = html.main_text(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()
+    return {r.page_id: r.text for r in rows}
+
+
+def test_main_text_keeps_what_stands_beside_the_longest_part(spark):
+    long = "long text of page %d " * 60
+    page = ("<body><article><h1>Head %d</h1><p>lead %d</p><div class=body><p>" + long + "</p></div></article></body>")
+    odd = "<body><div><h1>Head %d</h1><div><p>" + long + "</p></div></div></body>"
+    pages = [(n, f"http://h/{n}", page % (n, n, *[n] * 60)) for n in range(6)]
+    pages += [(10 + n, f"http://g/{n}", odd % (n, *[n] * 60)) for n in range(6)]
+    got = texts_of(spark, pages)
+    for n in range(6):
+        body = " ".join((long % (*[n] * 60,)).split())
+        assert got[n] == f"Head {n}\nlead {n}\n{body}" and got[10 + n] == f"Head {n}\n{body}"
+
+
+def test_main_text_without_template_texts(spark):
+    def page(n):
+        own = "".join(f"<p>own text {n} {m}</p>" for m in range(3 + n % 3))
+        return f"<article><h2>Note</h2><h1>Head {n}</h1>{own}<p>Share <b>this</b> article</p></article>"
+
+    pages = [(n, f"http://h/{n}", page(n)) for n in range(9)]
+    copies = "".join(f"<p>text that all copies share {m}</p>" for m in range(9))
+    pages += [(20 + n, f"http://g/{n}", f"<article>{copies}<p>number {n}</p></article>") for n in range(9)]
+    got = texts_of(spark, pages)
+    for n in range(9):
+        assert got[n] == "\n".join([f"Head {n}", *(f"own text {n} {m}" for m in range(3 + n % 3))])
+        assert got[20 + n].count("copies") == 9 and got[20 + n].endswith(f"number {n}")
