@@ -439,3 +439,18 @@ def test_main_text_without_template_texts(spark):
     for n in range(9):
         assert got[n] == "\n".join([f"Head {n}", *(f"own text {n} {m}" for m in range(3 + n % 3))])
         assert got[20 + n].count("copies") == 9 and got[20 + n].endswith(f"number {n}")
+
+
+@pytest.mark.parametrize("page", [
+    "<body class='no-sidebar'><article><p>own text %d</article>",
+    "<body class=header><div class='has-header'><main class='with-sidebar'><p>own text %d</main></div>",
+    "<body><div class=widget><article class='post'><p>own text %d</article></div>",
+    "<body><div data-role=search data-id='menu' title='a class=nav b'><p>own text %d</div>",
+    "<body><div class=menu>Menu</div><div class=banner><p>own text %d<div class=share>Share %d</div></div>",
+])
+def test_main_text_of_hosts_with_marked_layouts(spark, page):
+    page += "<div class='cookie-notice'>We use cookies %d</div><div class='site-footer'>Foot</div>"
+    long = "and more " * 20
+    pages = [(n, f"http://h/{n}", page.replace("text %d", f"text {n} {long}").replace("%d", str(n))) for n in range(6)]
+    got = texts_of(spark, pages)
+    assert got == {n: f"own text {n} {long}".strip() for n in range(6)}
