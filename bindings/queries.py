@@ -17,6 +17,20 @@ SELECT CAST(event_id AS VARCHAR) AS event_id, 'PushEvent' AS event_type,
 FROM events WHERE event_type IN ('click', 'purchase')"""
 
 
+IN_ARRAY = 10_000  # rows of a metadata file, about
+
+
+def _write_metadata(rows, fields, path):
+    """Metadata files, each one JSON array: as many to a month (`yymm`) as its rows ask for, dealt by
+    repository."""
+    months = rows.groupBy("yymm").agg(F.ceil(F.count(F.lit(1)) / IN_ARRAY).alias("parts"))
+    part = F.pmod(F.xxhash64("repo_name"), F.col("parts")).alias("part")
+    # A reader of whole files takes the first value of each only, so every array gets its own.
+    rows.join(F.broadcast(months), "yymm").select("yymm", part, F.struct(*fields).alias("row")).groupBy(
+        "yymm", "part").agg(F.to_json(F.collect_list("row")).alias("value")).drop("part").write.option(
+        "maxRecordsPerFile", 1).partitionBy("yymm").text(path)
+
+
 def _summary(spark, sf):
     return plans.monthly_summary(r.pushes(spark, sf), r.metadata(spark, sf), **r.RULES)
 
@@ -93,7 +107,7 @@ def incremental_landing(spark, sf):
 SELECT CAST(repo_name AS VARCHAR) AS repo_name, head_sha, CAST(NULL AS VARCHAR) AS commit_message,
        CAST(NULL AS VARCHAR) AS author_email, 'Unknown' AS primary_language FROM latest""")
 def metadata_scan(spark, sf):
-    """Monthly metadata as one JSON array per month, written and read."""
+    """Monthly metadata as JSON arrays, written and read."""
     latest = op.latest_per_key(
         r.heads(spark, sf), ["yymm", "repo_name"], ["head_sha"], ["created_at", *op.id_order("event_id")])
     rows = latest.select(
@@ -102,9 +116,7 @@ def metadata_scan(spark, sf):
         F.lit("Unknown").alias("primary_language"),
     )
     path = src.scratch_path(spark, "metadata")
-    rows.groupBy("yymm").agg(
-        F.to_json(F.collect_list(F.struct(*METADATA.fieldNames()))).alias("value")
-    ).write.partitionBy("yymm").text(path)
+    _write_metadata(rows, METADATA.fieldNames(), path)
     return src.read_metadata(spark, path + "/*")
 
 
@@ -631,21 +643,19 @@ users AS (
 
 
 def _stored_metadata(spark, sf):
-    """Monthly metadata files, each one JSON array of all repositories first seen in the month."""
+    """Monthly metadata files, JSON arrays that together hold all repositories first seen in the month."""
     path = src.scratch_path(spark, "metadata")
     users = r.table(spark, sf, "events").groupBy("user_id").agg(F.date_format(F.min("ts"), "yyMM").alias("yymm"))
     task = F.element_at(F.array(*map(F.lit, ("add ", "fix ", "refactor ", "docs ", "chore "))),
                         (F.col("user_id") % 5 + 1).cast("int"))
     by = F.when(F.col("user_id") % 2 == 0, "by Claude ").otherwise("")
-    entry = F.struct(
-        F.concat(F.lit("org/r"), F.col("user_id")).alias("repo_name"),
+    rows = users.select(
+        "yymm", F.concat(F.lit("org/r"), F.col("user_id")).alias("repo_name"),
         F.concat(task, by, F.col("user_id")).alias("commit_message"),
         F.element_at(F.array(*map(F.lit, ("Go", "Rust", "Python"))),
                      (F.col("user_id") % 3 + 1).cast("int")).alias("primary_language"),
     )
-    users.groupBy("yymm").agg(
-        F.to_json(F.collect_list(entry)).alias("value")
-    ).write.partitionBy("yymm").text(path)
+    _write_metadata(rows, ("repo_name", "commit_message", "primary_language"), path)
     return path + "/*"
 
 

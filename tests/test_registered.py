@@ -1,6 +1,7 @@
 """Every registered query against its SQL on the smallest tables."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from __spark_entry__ import entry, oracle_sql, queries
 from bindings.registry import QUERIES
@@ -27,3 +28,15 @@ def test_entry(spark):
     df = entry(spark)
     assert df.columns == ["date", "primary_language", "total_commits", "month_total", "share"]
     assert df.count() > 0
+
+
+def test_metadata_files_are_bounded(spark, monkeypatch):
+    from bindings import queries as bound
+    from repotrends.sources import read_metadata
+
+    monkeypatch.setattr(bound, "IN_ARRAY", 10)
+    path = bound._stored_metadata(spark, SF)
+    sizes = [r.n for r in read_metadata(spark, path).groupBy("_metadata.file_path").agg(
+        F.count(F.lit(1)).alias("n")).collect()]
+    users = spark.read.parquet(f"{SF}/events.parquet").select("user_id").distinct().count()
+    assert sum(sizes) == users and len(sizes) >= users / 10 and max(sizes) <= 40
