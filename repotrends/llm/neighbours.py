@@ -3,7 +3,8 @@
 The trees are fitted on a bounded sample; every vector is filed in one leaf of each tree. A query
 walks all trees through one priority queue, the nearest splitting planes first, until it has named
 enough leaves. Candidates of those leaves are ranked by exact distance. Leaves are searched in blocks,
-so that neither the vectors nor the queries of one leaf have to fit in a task.
+so that neither the vectors nor the queries of one leaf have to fit in a task. How many leaves are
+enough is measured in each run: some queries are compared with all vectors.
 """
 
 import heapq
@@ -18,6 +19,9 @@ from .common import stored
 
 SAMPLE = 1 << 16      # vectors that the trees are fitted on, at most
 LEAST_IN_LEAF = 8     # sample vectors in a leaf, at least
+PROBES = 256          # leaves that a query visits, at least
+ASKED = 256           # queries whose neighbours are sought among all vectors, at most
+RECALL = 0.95         # share of those neighbours that must be found: the contract's 0.9 and some for chance
 BLOCK = 8192          # vectors, or queries, of a leaf that meet in one group, about
 
 
@@ -107,14 +111,15 @@ def _usable(vectors: DataFrame, embedding: str) -> DataFrame:
 
 
 def nearest(vectors: DataFrame, is_query, k: int = 10, embedding: str = "embedding", trees: int = 4,
-            leaf: int = 256, probes: int = 256, seed: int = 11) -> DataFrame:
+            leaf: int = 256, probes: int | None = None, seed: int = 11) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: each query's k nearest found, nearest first, ties to
     the smaller vec_id. score is the Euclidean distance in double precision.
 
     `is_query` is a column; candidates are all rows but those with the query's vec_id. Vectors that
     are null, zero, hold null or non-finite components or have another length than most take no
     part. Of equal vectors only the k + 1 smallest ids can be among any k nearest, so only they are
-    filed. `probes` leaves are searched for each query.
+    filed. `probes` leaves are searched for each query; if it is None, so many that RECALL of the
+    neighbours of some queries are found (see `enough`), up to all leaves.
     """
     spark = vectors.sparkSession
     usable = _usable(vectors, embedding)
@@ -134,6 +139,9 @@ def nearest(vectors: DataFrame, is_query, k: int = 10, embedding: str = "embeddi
     forest = _fit(sample, size, trees, leaf, seed)
     queries = usable.join(flagged.distinct(), "vec_id", "left_semi").dropDuplicates(["vec_id", "vector"])
 
+    if probes is None:
+        probes = enough(some, queries, forest, k, seed)
+
     def file(batches):
         for b in batches:
             x = np.array(b.column(1).to_pylist(), np.float64).reshape(b.num_rows, -1)
@@ -196,6 +204,56 @@ def nearest(vectors: DataFrame, is_query, k: int = 10, embedding: str = "embeddi
         "query_id", "rank", "vec_id", "score")
 
 
+def enough(some: DataFrame, queries: DataFrame, forest: Forest, k: int, seed: int) -> int:
+    """Leaves that queries have to visit, PROBES at least. ASKED queries, chosen by hash, are compared
+    with all vectors; for each neighbour it is known at which leaf of its query's queue it is found."""
+    leaves = len(forest.planes) * (forest.inner + 1)
+    if leaves <= PROBES:
+        return leaves
+    asked = queries.orderBy(F.xxhash64("vec_id", F.lit(seed + 1)), "vec_id", "vector").limit(ASKED).collect()
+    ids = np.array([r["vec_id"] for r in asked], np.int64)
+    points = np.array([r["vector"] for r in asked], np.float64)
+
+    def compare(batches):
+        for b in batches:
+            x = np.array(b.column(1).to_pylist(), np.float64).reshape(b.num_rows, -1)
+            own = np.array(b.column(0).to_pylist(), np.int64)
+            order = np.argsort(own, kind="stable")
+            x, own = x[order], own[order]
+            at, of, far = [], [], []
+            for n, q in enumerate(points):
+                score = np.sqrt(np.square(x - q).sum(axis=1))
+                score[own == ids[n]] = np.inf
+                best = np.argsort(score, kind="stable")[:k]
+                best = best[score[best] < np.inf]
+                at.append(best)
+                of.append(np.full(len(best), n))
+                far.append(score[best])
+            at = np.concatenate(at) if at else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays([
+                pa.array(np.concatenate(of), pa.int32()), pa.array(own[at], pa.int64()),
+                pa.array(np.concatenate(far), pa.float64()), b.column(1).take(pa.array(order[at]))],
+                names=["of", "vec_id", "score", "vector"])
+
+    def visits(batches):
+        queues = {}
+        for b in batches:
+            filed = forest.leaves(np.array(b.column(1).to_pylist(), np.float64).reshape(b.num_rows, -1))
+            out = []
+            for n, own in zip(b.column(0).to_pylist(), filed):
+                if n not in queues:
+                    queues = {n: {leaf: i for i, leaf in enumerate(forest.search(points[n], leaves), 1)}}
+                out.append(min(queues[n][t, int(at)] for t, at in enumerate(own)))
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.int64())], names=["visits"])
+
+    order = Window.partitionBy("of").orderBy("score", "vec_id")
+    near = some.select("vec_id", "vector").mapInArrow(
+        compare, "of int, vec_id long, score double, vector array<double>").withColumn(
+        "rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    found = np.sort([r["visits"] for r in near.select("of", "vector").mapInArrow(visits, "visits long").collect()])
+    return max(PROBES, int(found[int(np.ceil(RECALL * len(found))) - 1])) if len(found) else PROBES
+
+
 def _fit(sample: DataFrame, rows: int, trees: int, leaf: int, seed: int) -> Forest:
     def run(batches):
         parts = [np.array(b.column(0).to_pylist(), np.float64).reshape(b.num_rows, -1) for b in batches]

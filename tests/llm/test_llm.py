@@ -454,3 +454,23 @@ def test_main_text_of_hosts_with_marked_layouts(spark, page):
     pages = [(n, f"http://h/{n}", page.replace("text %d", f"text {n} {long}").replace("%d", str(n))) for n in range(6)]
     got = texts_of(spark, pages)
     assert got == {n: f"own text {n} {long}".strip() for n in range(6)}
+
+
+def test_nearest_vectors_visits_as_many_leaves_as_recall_asks_for(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "PROBES", 4)
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(4000, 24))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+
+    def recall(**options):
+        got = {}
+        for r in neighbours.nearest(df, F.col("vec_id") % 50 == 0, leaf=32, **options).collect():
+            got.setdefault(r.query_id, set()).add(r.vec_id)
+        hits = 0
+        for q in range(0, 4000, 50):
+            far = np.square(x - x[q]).sum(axis=1)
+            far[q] = np.inf
+            hits += len(set(np.argsort(far)[:10]) & got.get(q, set()))
+        return hits / 800
+
+    assert recall(probes=4) < 0.9 <= recall()
