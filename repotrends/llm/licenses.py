@@ -28,15 +28,60 @@ TEMPLATES = {
                 "associated documentation files {0-4} to deal in {1-4} without restriction including without "
                 "limitation the rights to use copy modify merge publish distribute sublicense and or sell copies "
                 "of the software and to permit persons to whom the software is furnished to do so subject to the "
-                "following conditions",
-    "isc-text": "permission to use copy modify and or distribute this software for any purpose with or without "
+                "following conditions the above copyright notice and this permission notice [including the next "
+                "paragraph] shall be included in all copies or substantial portions of the software the software is "
+                "provided as is without warranty of any kind express or implied including but not limited to the "
+                "warranties of merchantability fitness for a particular purpose and noninfringement in no event "
+                "shall {1-12} be liable for any claim damages or other liability whether in an action of contract "
+                "tort or otherwise arising from out of or in connection with the software or the use or other "
+                "dealings in the software",
+    "isc-text": "permission to use copy modify and [or] distribute this software for any purpose with or without "
                 "fee is hereby granted provided that the above copyright notice and this permission notice appear "
-                "in all copies",
+                "in all copies the software is provided as is and {1-12} disclaims all warranties with regard to "
+                "this software including all implied warranties of merchantability and fitness in no event shall "
+                "{1-12} be liable for any special direct indirect or consequential damages or any damages "
+                "whatsoever resulting from loss of use data or profits whether in an action of contract negligence "
+                "or other tortious action arising out of or in connection with the use or performance of this "
+                "software",
+    "apache-2-header": "licensed under the apache license version 2 0 the license you may not use {2-3} except in "
+                       "compliance with the license you may obtain a copy of the license at [http] [https] [www] "
+                       "apache org licenses license 2 0 [txt] [html] unless required by applicable law or agreed to "
+                       "in writing software distributed under the license is distributed on an as is basis without "
+                       "warranties or conditions of any kind either express or implied see the license for the "
+                       "specific language governing permissions and limitations under the license",
+    "mpl-2-header": "this source code form is subject to the terms of the mozilla public license v 2 0 if a copy of "
+                    "the mpl was not distributed with this file you can obtain one at [http] [https] [www] mozilla "
+                    "org mpl 2 0",
+}
+_BSD = ("redistribution and use in source and binary forms with or without modification are permitted provided that "
+        "the following conditions are met [1] [a] redistributions of source code must retain the above copyright "
+        "notice this list of conditions and the following disclaimer [2] [b] redistributions in binary form must "
+        "reproduce the above copyright notice this list of conditions and the following disclaimer in the "
+        "documentation and or other materials provided with the distribution %sthis software is provided by {1-12} "
+        "as is and any express or implied warranties including but not limited to the implied warranties of "
+        "merchantability and fitness for a particular purpose are disclaimed in no event shall {1-12} be liable for "
+        "any direct indirect incidental special exemplary or consequential damages including but not limited to "
+        "procurement of substitute goods or services loss of use data or profits or business interruption however "
+        "caused and on any theory of liability whether in contract strict liability or tort including negligence or "
+        "otherwise arising in any way out of the use of this software even if advised of the possibility of such "
+        "damage")
+_GNU = ("is free software you can redistribute it and or modify it under the terms of the gnu %s as published by the "
+        "free software foundation [either] version {1-2} of the license [or at your option any later version] {1-4} "
+        "is distributed in the hope that it will be useful but without any warranty without even the implied "
+        "warranty of merchantability or fitness for a particular purpose see the gnu %s for more details")
+TEMPLATES |= {
+    "bsd-2-text": _BSD % "",
+    "bsd-3-text": _BSD % "[3] [c] neither the name of {1-12} nor the names of [its] contributors may be used to endorse "
+                         "or promote products derived from this software without specific prior written permission ",
+    **{label: _GNU % (name, name) for label, name in (
+        ("gpl-header", "general public license"), ("lgpl-header", "lesser general public license"),
+        ("lgpl-2-header", "library general public license"), ("agpl-header", "affero general public license"))},
 }
 
 _WORDS = bytes(
     c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32
     for c in range(256))
+_QUOTES = "\u201c\u201d\u2018\u2019".encode()  # bytes of curly quotes, which are parts of words
 
 
 def words(text: bytes) -> list:
@@ -139,8 +184,9 @@ def scan(docs: DataFrame, phrases=PHRASES, templates=TEMPLATES) -> DataFrame:
         tokens = words(text)
         joined = b" " + b" ".join(tokens) + b" "
         found = {label: at for label, phrase in fixed.items() if (at := places(joined, phrase))}
+        plain = [t.strip(_QUOTES) for t in tokens]
         spans = [(label, at, end) for label, a in automata.items() for at in places(joined, a.anchor)
-                 if (end := a.accepts(tokens, at)) >= 0]
+                 if (end := a.accepts(plain, at)) >= 0]
         starts = [at for own in found.values() for at in own]
         covered = set()
         for label, own in found.items():

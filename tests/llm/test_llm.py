@@ -474,3 +474,28 @@ def test_nearest_vectors_visits_as_many_leaves_as_recall_asks_for(spark, monkeyp
         return hits / 800
 
     assert recall(probes=4) < 0.9 <= recall()
+
+
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
+documentation files (the "Software"), to deal in the Software without restriction, including without limitation the
+rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit
+persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and
+this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED
+"AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF
+MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT
+HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE,
+ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+MPL = """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was
+not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."""
+LGPL = """This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser
+General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your
+option) any later version. This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY;
+without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Lesser General
+Public License for more details."""
+
+
+def test_license_templates_in_full(spark):
+    texts = [MIT, MIT[:MIT.index("The above")], MIT.replace("shall be included", "may be included"),
+             MIT.replace("WITHOUT WARRANTY", "WITH WARRANTY"), MPL, LGPL, MIT.replace('"AS IS"', "“AS IS”")]
+    got = {r.doc_id: r.labels for r in licenses.scan(table(spark, texts)).collect()}
+    assert got == {0: "mit-text", 1: "", 2: "", 3: "", 4: "mpl-2-header", 5: "lgpl-header", 6: "mit-text"}
