@@ -23,16 +23,50 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+BATCH_BYTES = 4 << 20
+
+
+def small_batches(batches):
+    """Arrow batches cut to about BATCH_BYTES, one row at least, so that rows turned into Python
+    objects stay few however long they are."""
+    for batch in batches:
+        step = max(1, batch.num_rows * BATCH_BYTES // max(1, batch.nbytes))
+        for at in range(0, batch.num_rows, step):
+            yield batch.slice(at, step)
+
+
+def text_blocks(batches, size: int):
+    """(ids, texts) of batches with these two columns, in lists of about `size` bytes of text; a
+    longer text is one by itself."""
+    ids, texts, held = [], [], 0
+    for batch in small_batches(batches):
+        for id_, text in zip(*(c.to_pylist() for c in batch.columns)):
+            ids.append(id_), texts.append(text)
+            held += len(text)
+            if held >= size:
+                yield ids, texts
+                ids, texts, held = [], [], 0
+    if ids:
+        yield ids, texts
+
+
+def records_of(schema: str):
+    """A function that makes an Arrow batch of columns (lists or arrays) in the order of a schema.
+    Call this on the driver; the function works in tasks."""
+    arrow = to_arrow_schema(StructType.fromDDL(schema))
+    return lambda columns: pa.RecordBatch.from_arrays(
+        [pa.array(v, type=f.type) for v, f in zip(columns, arrow, strict=True)], schema=arrow)
+
+
 def map_rows(df: DataFrame, rows, schema: str) -> DataFrame:
     """Apply `rows` in Arrow batches. It takes the columns of a batch as lists, in the order of
     `df`, and yields or returns tuples of lists (or arrays), one for each output column."""
-    arrow = to_arrow_schema(StructType.fromDDL(schema))
+    record = records_of(schema)
 
     def run(batches):
-        for batch in batches:
-            for out in rows(*(c.to_pylist() for c in batch.columns)):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(v, type=f.type) for v, f in zip(out, arrow, strict=True)], schema=arrow)
+        for part in small_batches(batches):
+            for out in rows(*(c.to_pylist() for c in part.columns)):
+                yield record(out)
 
     return df.mapInArrow(run, schema)
 

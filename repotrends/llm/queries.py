@@ -3,11 +3,12 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import html, licenses, mixing, neighbours, packing, perplexity, quality, simhash, substrings, toxicity
+from . import alignment, html, licenses, mixing, neighbours, packing, perplexity, quality, simhash, substrings, toxicity
 from .common import table
 from .registry import ORACLES, QUERIES, query  # noqa: F401
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+BYTE_TOKENIZER, PIECE_TOKENIZER = map(public_tokenizers.path, ("byte_bpe_50k.json", "piece_bpe_32k.model"))
 
 
 @query("op9_simhash_near_duplicates")
@@ -60,3 +61,8 @@ def op7(spark, sf):
 @query("op4_main_text")
 def op4(spark, sf):
     return html.main_text(table(spark, sf, "pages"))
+
+
+@query("op12_tokenizer_alignment")
+def op12(spark, sf):
+    return alignment.align(table(spark, sf, "documents"), BYTE_TOKENIZER, PIECE_TOKENIZER)
