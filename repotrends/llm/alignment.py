@@ -5,13 +5,15 @@ overlap are linked. An array that gives for each id of A the id of B with the sa
 first. Links of such pairs, so those of all plain one-to-one groups, are counted in vectors as long
 as A's vocabulary; only the other pairs are shuffled.
 
-Texts are taken in blocks. A block keeps its different pairs and, for each text, which of them it
+Both tokenizers start anew at a single space between words, so a word is aligned once and its groups
+and links serve wherever it comes again. Texts are taken in blocks. A block keeps its different pairs and, for each text, which of them it
 links how often; the pairs of irregular groups go to groups by hash with their counts, are added up
 there, and the sums come back to the block.
 """
 
 import hashlib
 import os
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -20,8 +22,11 @@ from pyspark.sql import DataFrame, functions as F
 from .common import records_of, stored, text_blocks, wide_partitions, worker_cache
 
 BLOCK = 4 << 20       # bytes of text in a block, about; a longer text is one by itself
-BATCH = 256 << 10     # bytes that are tokenized at once
+BATCH = 256 << 10     # characters that are tokenized at once
+KEPT = 300_000        # different units that a task keeps, about 200 bytes each
+LONG = 64             # characters of a unit that is kept for the next block
 GROUP = 4_000_000     # pairs of a group, about 40 bytes each in memory
+_BLANKS, _SINGLE_SPACE = re.compile(r" \s|\s |^ | $"), re.compile(r"(?<=\S) (?=\S)")
 _MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -50,6 +55,7 @@ class Vocabularies:
             known = all(c in byte for c in token)
             self.bytes_a[id_] = bytes(byte[c] for c in token) if known else token.encode()
         self.bytes_b = [self._piece(i) for i in range(self.b.get_piece_size())]
+        self.cuts_at_spaces = not any(re.search("[^▁]▁", self.b.id_to_piece(i)) for i in range(len(self.bytes_b)))
         self.size_a, self.size_b = (np.array([len(t) for t in side], np.int64)
                                     for side in (self.bytes_a, self.bytes_b))
         # Where two ids of B have the same bytes, the piece goes before the byte.
@@ -68,16 +74,31 @@ class Vocabularies:
         """Whether pairs, as codes, have the same bytes by the identity map."""
         return self.same[codes // len(self.bytes_b)] == codes % len(self.bytes_b)
 
-    def tokens(self, texts):
-        """Ids of A and of B for each text; both empty where their bytes are not the text's."""
-        for at_a, at_b, text in zip(self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False),
-                                    self.b.encode(texts, num_threads=1), texts):
-            at_a, whole = at_a.ids, b" " + text.encode()
-            if text and (b"".join([self.bytes_a[i] for i in at_a]) == whole
-                         and b"".join([self.bytes_b[i] for i in at_b]) == whole):
-                yield np.array(at_a, np.int64), np.array(at_b, np.int64)
+    def units(self, text: str) -> list[str]:
+        """A text cut at single spaces between other characters. Both sides start a token at such a
+        space (A by its rule, B if none of its pieces goes on after a word), so what follows up to the
+        next one is cut alike in every text; the space itself is left out."""
+        if not self.cuts_at_spaces:
+            return [text] if text else []
+        if _BLANKS.search(text):
+            return _SINGLE_SPACE.split(text)
+        return text.split(" ") if text else []
+
+    def tokens(self, units):
+        """Of all units: ids of A, ids of B, both in one list, and how many each unit has. A unit has
+        none where the ids' bytes are not a space and the unit."""
+        all_a, all_b, n_a, n_b = [], [], [], []
+        for at_a, at_b, unit in zip(self.a.encode_batch_fast([" " + u for u in units], add_special_tokens=False),
+                                    self.b.encode(units, num_threads=1), units):
+            at_a, whole = at_a.ids, b" " + unit.encode()
+            if (b"".join([self.bytes_a[i] for i in at_a]) == whole
+                    and b"".join([self.bytes_b[i] for i in at_b]) == whole):
+                all_a += at_a
+                all_b += at_b
+                n_a.append(len(at_a)), n_b.append(len(at_b))
             else:
-                yield np.zeros(0, np.int64), np.zeros(0, np.int64)
+                n_a.append(0), n_b.append(0)
+        return (np.array(v, np.int64) for v in (all_a, all_b, n_a, n_b))
 
 
 def vocabularies(path_a: str, path_b: str) -> Vocabularies:
@@ -88,15 +109,14 @@ def vocabularies(path_a: str, path_b: str) -> Vocabularies:
     return cache[path_a, path_b]
 
 
-def _align(vocabulary: Vocabularies, texts):
-    """Of texts that fit in memory together: n_a, n_b, n_groups, n_links, digest for each, and all
-    links as (text number, pair code)."""
-    both = list(vocabulary.tokens(texts))
-    n_a, n_b = (np.array([len(t[side]) for t in both], np.int64) for side in (0, 1))
-    a, b = (np.concatenate([t[side] for t in both]) for side in (0, 1))
+def _align(vocabulary: Vocabularies, units):
+    """For each unit: its numbers (n_a, n_b, n_groups, n_links, 1 if it isn't spelled) as 32-bit
+    bytes, its groups in print, and its links' pair codes as 32-bit bytes."""
+    a, b, n_a, n_b = vocabulary.tokens(units)
+    numbers = np.zeros((len(units), 5), "<u4")
+    numbers[:, 0], numbers[:, 1], numbers[:, 4] = n_a, n_b, n_a == 0
     if not len(a):
-        none = np.zeros(0, np.int64)
-        return n_a, n_b, n_a, n_a, [""] * len(texts), none, none
+        return [(row.tobytes(), b"", b"") for row in numbers]
     end_a, end_b = np.cumsum(vocabulary.size_a[a]), np.cumsum(vocabulary.size_b[b])
     ends_a, ends_b = np.zeros(end_a[-1] + 1, bool), np.zeros(end_a[-1] + 1, bool)
     ends_a[end_a], ends_b[end_b] = True, True
@@ -104,22 +124,50 @@ def _align(vocabulary: Vocabularies, texts):
     link_ends = np.flatnonzero(ends_a | ends_b)
     of_a = np.cumsum(ends_a, dtype=np.int32)[link_ends - 1]
     of_b = np.cumsum(ends_b, dtype=np.int32)[link_ends - 1]
-    codes = a[of_a] * len(vocabulary.bytes_b) + b[of_b]
-    text_of_a = np.repeat(np.arange(len(texts)), n_a)
-    number = text_of_a[of_a]
+    codes = (a[of_a] * len(vocabulary.bytes_b) + b[of_b]).astype("<u4").tobytes()
+    unit_of_a = np.repeat(np.arange(len(units)), n_a)
     last_a, last_b = ends_b[end_a], ends_a[end_b]
-    n_groups = np.bincount(text_of_a[last_a], minlength=len(texts))
-    n_links = np.bincount(number, minlength=len(texts))
+    numbers[:, 2] = np.bincount(unit_of_a[last_a], minlength=len(units))
+    numbers[:, 3] = np.bincount(unit_of_a[of_a], minlength=len(units))
     # Print each group's ids of A, then its ids of B.
     group_a, group_b = np.cumsum(last_a) - last_a, np.cumsum(last_b) - last_b
     in_a, in_b = np.bincount(group_a), np.bincount(group_b)
-    printed = np.empty(len(a) + len(b), np.int64)
-    printed[np.arange(len(a)) + (np.cumsum(in_b) - in_b)[group_a]] = 2 * a + last_a
-    printed[np.arange(len(b)) + np.cumsum(in_a)[group_b]] = 2 * (len(vocabulary.bytes_a) + b) + last_b
-    stops = np.cumsum(n_a + n_b)
-    digests = [hashlib.sha256(b"".join(vocabulary.printed[printed[lo:hi]].tolist())[:-1]).hexdigest() if hi > lo else ""
-               for lo, hi in zip(stops - n_a - n_b, stops)]
-    return n_a, n_b, n_groups, n_links, digests, number, codes
+    order = np.empty(len(a) + len(b), np.int64)
+    order[np.arange(len(a)) + (np.cumsum(in_b) - in_b)[group_a]] = 2 * a + last_a
+    order[np.arange(len(b)) + np.cumsum(in_a)[group_b]] = 2 * (len(vocabulary.bytes_a) + b) + last_b
+    printed = vocabulary.printed[order].tolist()
+    prints = np.append(0, np.cumsum(n_a + n_b)).tolist()
+    links = np.append(0, 4 * np.cumsum(numbers[:, 3], dtype=np.int64)).tolist()
+    rows = numbers.tobytes()
+    return [(rows[20 * n:20 * n + 20], b"".join(printed[prints[n]:prints[n + 1]]), codes[links[n]:links[n + 1]])
+            for n in range(len(units))]
+
+
+class Aligner:
+    """Alignments of texts, put together from those of their units, of which the latest are kept."""
+
+    def __init__(self, vocabulary: Vocabularies):
+        self.vocabulary, self.known = vocabulary, {}
+
+    def __call__(self, texts):
+        """For each text n_a, n_b, n_groups, n_links, the digest and the links' pair codes."""
+        cut = [self.vocabulary.units(text) for text in texts]
+        if len(self.known) > KEPT:
+            self.known = {}
+        known = self.known
+        new = list({u for units in cut for u in units if u not in known})
+        for part in _batches(new, BATCH):
+            known.update(zip(part, _align(self.vocabulary, part)))
+        for units in cut:
+            found = [known[u] for u in units]
+            numbers = np.frombuffer(b"".join([f[0] for f in found]), "<u4").reshape(-1, 5).sum(0, np.int64).tolist()
+            if numbers[4] or not units:
+                yield 0, 0, 0, 0, "", b""
+            else:
+                digest = hashlib.sha256(b"".join([f[1] for f in found])[:-1]).hexdigest()
+                yield *numbers[:4], digest, b"".join([f[2] for f in found])
+        if any(len(u) > LONG for u in new):
+            self.known = {u: f for u, f in known.items() if len(u) <= LONG}
 
 
 def _planes(values) -> bytes:
@@ -154,16 +202,11 @@ def blocks(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     record = records_of(_BLOCK_SCHEMA)
 
     def run(batches):
-        vocabulary = vocabularies(path_a, path_b)
+        aligned = Aligner(vocabularies(path_a, path_b))
         for ids, texts in text_blocks(batches, BLOCK):
-            columns, numbers, codes, at = [[] for _ in range(5)], [], [], 0
-            for part in _batches(texts, BATCH):
-                *own, number, code = _align(vocabulary, part)
-                for column, values in zip(columns, own):
-                    column.extend(values if isinstance(values, list) else values.tolist())
-                numbers.append(number + at), codes.append(code)
-                at += len(part)
-            number, code = np.concatenate(numbers), np.concatenate(codes)
+            *columns, linked = zip(*aligned(texts))
+            number = np.repeat(np.arange(len(texts)), [len(codes) // 4 for codes in linked])
+            code = np.frombuffer(b"".join(linked), "<u4").astype(np.int64)
             found, inverse, counts = np.unique(code, return_inverse=True, return_counts=True)
             order = np.argsort(-counts, kind="stable")
             place = np.empty(len(found), np.int64)
