@@ -14,6 +14,7 @@ there, and the sums come back to the block.
 import hashlib
 import os
 import re
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +24,7 @@ from .common import records_of, stored, text_blocks, wide_partitions, worker_cac
 
 BLOCK = 4 << 20       # bytes of text in a block, about; a longer text is one by itself
 BATCH = 256 << 10     # characters that are tokenized at once
-KEPT = 300_000        # different units that a task keeps, about 200 bytes each
+KEPT = 100_000        # different units that a task keeps for the next block, about 300 bytes each
 LONG = 64             # characters of a unit that is kept for the next block
 GROUP = 4_000_000     # pairs of a group, about 40 bytes each in memory
 _BLANKS, _SINGLE_SPACE = re.compile(r" \s|\s |^ | $"), re.compile(r"(?<=\S) (?=\S)")
@@ -87,18 +88,23 @@ class Vocabularies:
     def tokens(self, units):
         """Of all units: ids of A, ids of B, both in one list, and how many each unit has. A unit has
         none where the ids' bytes are not a space and the unit."""
-        all_a, all_b, n_a, n_b = [], [], [], []
-        for at_a, at_b, unit in zip(self.a.encode_batch_fast([" " + u for u in units], add_special_tokens=False),
-                                    self.b.encode(units, num_threads=1), units):
-            at_a, whole = at_a.ids, b" " + unit.encode()
-            if (b"".join([self.bytes_a[i] for i in at_a]) == whole
-                    and b"".join([self.bytes_b[i] for i in at_b]) == whole):
-                all_a += at_a
-                all_b += at_b
-                n_a.append(len(at_a)), n_b.append(len(at_b))
-            else:
-                n_a.append(0), n_b.append(0)
-        return (np.array(v, np.int64) for v in (all_a, all_b, n_a, n_b))
+        cut_a = [e.ids for e in self.a.encode_batch_fast([" " + u for u in units], add_special_tokens=False)]
+        cut_b = self.b.encode(units, num_threads=1)
+        whole = [b" " + u.encode() for u in units]
+        if not (self._spell(0, cut_a, whole) and self._spell(1, cut_b, whole)):
+            spelled = [self._spell(0, [x], [t]) and self._spell(1, [y], [t]) for x, y, t in zip(cut_a, cut_b, whole)]
+            cut_a, cut_b = ([x if ok else [] for x, ok in zip(cut, spelled)] for cut in (cut_a, cut_b))
+        return (*(np.fromiter(chain.from_iterable(cut), np.int64) for cut in (cut_a, cut_b)),
+                *(np.fromiter(map(len, cut), np.int64, len(units)) for cut in (cut_a, cut_b)))
+
+    def _spell(self, side: int, cut, whole) -> bool:
+        """Whether the ids of each unit spell its bytes."""
+        of_id, size = ((self.bytes_a, self.size_a), (self.bytes_b, self.size_b))[side]
+        ids = list(chain.from_iterable(cut))
+        if b"".join(map(of_id.__getitem__, ids)) != b"".join(whole):
+            return False
+        ends = np.append(0, np.cumsum(size[ids]))[np.cumsum(np.fromiter(map(len, cut), np.int64))]
+        return bool((ends == np.cumsum(np.fromiter(map(len, whole), np.int64))).all())
 
 
 def vocabularies(path_a: str, path_b: str) -> Vocabularies:

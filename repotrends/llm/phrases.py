@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from .common import records_of, stored, wide_partitions
 
 LONGEST = 4            # words of a phrase
-BUCKET = 8 << 20       # bytes of text in a bucket, about
+BUCKET = 5 << 20       # bytes of text in a bucket, about
 MASS = 100_000_000     # n-grams of a part, about: 16 bytes for every `least` of them in memory
 _SEPARATORS = b".,;:!?\x0a\x0b\x0c\x0d"
 _TO_PIECES = bytes.maketrans(_SEPARATORS, b"\n" * len(_SEPARATORS))
