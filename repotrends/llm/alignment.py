@@ -11,6 +11,7 @@ links how often; the pairs of irregular groups go to groups by hash with their c
 there, and the sums come back to the block.
 """
 
+import gc
 import hashlib
 import os
 import re
@@ -210,9 +211,11 @@ def blocks(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     def run(batches):
         aligned = Aligner(vocabularies(path_a, path_b))
         for ids, texts in text_blocks(batches, BLOCK):
+            gc.disable()   # units are many small objects without cycles
             *columns, linked = zip(*aligned(texts))
             number = np.repeat(np.arange(len(texts)), [len(codes) // 4 for codes in linked])
             code = np.frombuffer(b"".join(linked), "<u4").astype(np.int64)
+            gc.enable()
             found, inverse, counts = np.unique(code, return_inverse=True, return_counts=True)
             order = np.argsort(-counts, kind="stable")
             place = np.empty(len(found), np.int64)

@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import alignment, html, licenses, mixing, neighbours, packing, perplexity, phrases, quality, simhash, substrings, toxicity
+from . import alignment, factors, html, licenses, mixing, neighbours, packing, perplexity, phrases, quality, simhash, substrings, toxicity
 from .common import table
 from .registry import ORACLES, QUERIES, query  # noqa: F401
 
@@ -106,3 +106,8 @@ SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM ranke
 WHERE rank <= 2000""")
 def op11(spark, sf):
     return phrases.collocations(table(spark, sf, "documents"))
+
+
+@query("op13_earlier_bytes")
+def op13(spark, sf):
+    return factors.deduplicate(table(spark, sf, "documents"), window=100, keep=False)
