@@ -3,6 +3,7 @@
 import sys
 import types
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -71,6 +72,32 @@ def map_rows(df: DataFrame, rows, schema: str) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
+def pack(values) -> bytes:
+    """Non-negative numbers as planes of bytes, lowest first, as many as the largest needs: small
+    numbers, such as the steps of rising ones, are then easily compressed."""
+    values = np.ascontiguousarray(values, "<u8")
+    wide = max(1, -(-int(values.max(initial=0)).bit_length() // 8))
+    return bytes([wide]) + values.view(np.uint8).reshape(-1, 8)[:, :wide].T.tobytes()
+
+
+def unpack(data: bytes):
+    """What `pack` was given, as unsigned 64-bit numbers."""
+    wide = data[0]
+    size = (len(data) - 1) // wide
+    out = np.zeros((size, 8), np.uint8)
+    out[:, :wide] = np.frombuffer(data, np.uint8, offset=1).reshape(wide, size).T
+    return out.view("<u8")[:, 0]
+
+
+def pack_rising(values) -> bytes:
+    """Rising 64-bit numbers, by their steps."""
+    return pack(np.diff(np.asarray(values, np.int64), prepend=0).view(np.uint64))
+
+
+def unpack_rising(data: bytes):
+    return np.cumsum(unpack(data)).view(np.int64)
+
+
 def worker_cache(name: str) -> dict:
     """A dict that outlives a task, because Python workers are reused. It only saves time."""
     holder = sys.modules.setdefault("repotrends_worker_cache", types.ModuleType("cache"))

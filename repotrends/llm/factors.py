@@ -15,7 +15,7 @@ import hashlib
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from .common import as_bytes, map_rows, records_of, small_batches, stored, wide_partitions
+from .common import as_bytes, map_rows, pack, pack_rising, records_of, small_batches, stored, unpack, unpack_rising, wide_partitions
 
 GRAM = 24
 BLOCK = 4 << 20        # bytes of text that a map task cuts at once, about
@@ -102,6 +102,26 @@ def _blocks(batches):
         yield held
 
 
+def _tags(data):
+    return np.frombuffer(data, "<i4")
+
+
+def _rows_by_group(anchors, sent, groups: int):
+    """(group, chunks) of the chunks `sent`, by their anchor hash."""
+    group = (_mix(anchors[sent] >> np.uint64(16)) % np.uint64(groups)).astype(np.int64)
+    order = np.argsort(group, kind="stable")
+    edges = np.flatnonzero(np.diff(group[order], prepend=-1))
+    return [(int(group[order[lo]]), sent[order[lo:hi]]) for lo, hi in zip(edges, np.append(edges[1:], len(order)))]
+
+
+def _sorted_blocks(batches):
+    """The same with rows in the order of ids and tags, which are arrays."""
+    for ids, tags, *more in _blocks(batches):
+        ids, tags = np.array(ids, np.int64), np.array(tags, "<i4")
+        order = np.lexsort((tags, ids))
+        yield ids[order], tags[order], *([c[n] for n in order] for c in more)
+
+
 def _repeated_anchors(docs: DataFrame, window: int, groups: int, crowd: int) -> DataFrame:
     """Rows (doc_id, tag, starts): chunks, by first window, whose anchor hash comes again somewhere.
     Rows (hash): those of anchors with `crowd` occurrences, without doc_id. `docs` has doc_id, tag, text.
@@ -113,34 +133,30 @@ def _repeated_anchors(docs: DataFrame, window: int, groups: int, crowd: int) ->
     out_record = records_of("doc_id long, tag int, starts binary, hash long")
 
     def file(batches):
-        for ids, tags, texts in _blocks(batches):
+        for ids, tags, texts in _sorted_blocks(batches):
             _, number, at, _, anchors = _chunks(texts, window)
             if not len(at):
                 continue
             sizes = np.array([len(t) for t in texts], np.int64)
-            start = (at - (np.cumsum(sizes) - sizes)[number]).astype("<i4")
-            ids, tags = np.array(ids, np.int64)[number], np.array(tags, "<i4")[number]
+            start = at - (np.cumsum(sizes) - sizes)[number]
+            ids, tags = ids[number], tags[number]
             order = np.argsort(anchors, kind="stable")
             hashes = anchors[order]
             first = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1]))
             times = np.diff(np.append(first, len(order)))
-            sent = order[first]
-            group = (_mix(anchors[sent]) % np.uint64(groups)).astype(np.int64)
-            by_group = np.argsort(group, kind="stable")
-            edges = np.flatnonzero(np.diff(group[by_group], prepend=-1))
-            rows = [by_group[lo:hi] for lo, hi in zip(edges, np.append(edges[1:], len(by_group)))]
-            columns = ([int(group[r[0]]) for r in rows], [anchors[sent[r]].tobytes() for r in rows],
-                       [ids[sent[r]].tobytes() for r in rows], [tags[sent[r]].tobytes() for r in rows],
-                       [start[sent[r]].tobytes() for r in rows],
-                       [np.minimum(times[r], 1 << 30).astype("<i4").tobytes() for r in rows])
+            often = np.zeros(len(anchors), np.int64)
+            often[order[first]] = times
+            sent = np.flatnonzero(often)
+            rows = _rows_by_group(anchors, sent, groups)
             again = np.repeat(times > 1, times)
             again[first] = False
-            again = order[again]
+            again = np.sort(order[again])
             if len(again):   # known to come again already: they pass by the groups
-                some = int(_mix(anchors[again[:1]])[0] % np.uint64(groups))
-                for column, value in zip(columns, (-1 - some, b"", ids[again].tobytes(), tags[again].tobytes(),
-                                                   start[again].tobytes(), b"")):
-                    column.append(value)
+                rows.append((-1 - int(_mix(anchors[again[:1]])[0] % np.uint64(groups)), again))
+            # Six bytes of a hash are enough to tell that an anchor may come again.
+            columns = ([g for g, _ in rows], [pack(anchors[r] >> np.uint64(16)) for _, r in rows],
+                       [pack_rising(ids[r]) for _, r in rows], [tags[r].tobytes() for _, r in rows],
+                       [pack(start[r]) for _, r in rows], [pack(often[r]) for _, r in rows])
             yield record(columns)
 
     def listed(ids, tags, starts, hashes=()):
@@ -153,12 +169,12 @@ def _repeated_anchors(docs: DataFrame, window: int, groups: int, crowd: int) ->
         return out_record((
             [*ids[edges].tolist(), *[None] * m] if n else [None] * m,
             [*tags[edges].tolist(), *[None] * m] if n else [None] * m,
-            [*(starts[lo:hi].astype("<i4").tobytes() for lo, hi in zip(edges, stops)), *[None] * m],
+            [*(pack_rising(starts[lo:hi]) for lo, hi in zip(edges, stops)), *[None] * m],
             [*[None] * n, *hashes]))
 
     def find(now, parts):
-        hashes, ids, tags, starts, times = (np.concatenate([np.frombuffer(p[n], kind) for p in parts])
-                                            for n, kind in enumerate(("<u8", "<i8", "<i4", "<i4", "<i4")))
+        hashes, ids, tags, starts, times = (np.concatenate([read(p[n]) for p in parts]) for n, read in enumerate(
+            (unpack, unpack_rising, _tags, unpack, unpack)))
         if now < 0:
             return listed(ids, tags, starts)
         found, place = np.unique(hashes, return_inverse=True)
@@ -191,38 +207,46 @@ def _by_group(batches, run):
 def suffix_order(data, at, depth: int):
     """Suffixes of `data` that start at `at`, sorted by their first `depth` bytes: their places in
     `at`, and whether each is alike, to that depth, with the one before. Suffixes that differ from all
-    others are left out. `data` goes on for `depth` + 8 bytes after each."""
+    others are left out. `data` goes on for `depth` + 8 bytes after each.
+
+    Eight bytes are compared at a time; only where the suffixes of a node differ are they sorted.
+    """
     words = np.lib.stride_tricks.as_strided(data, (len(data) - 7, 8), (1, 1))
-    order, rank, same = np.arange(len(at)), np.zeros(len(at), np.uint64), np.zeros(0, bool)
-    take, step = (64 - len(at).bit_length()) // 8, 0   # bytes that fit beside a rank
-    while step < depth and len(order):
-        size = min(take, depth - step)
+    order, same = np.arange(len(at)), np.arange(len(at)) > 0
+    for step in range(0, depth, 8):
+        if not len(order):
+            break
         word = np.ascontiguousarray(words[at[order] + step]).view(">u8")[:, 0].astype(np.uint64)
-        key = (rank << np.uint64(8 * size)) | (word >> np.uint64(64 - 8 * size))
-        step += size
-        sort = np.argsort(key)
-        order, key = order[sort], key[sort]
-        same = np.append(False, key[1:] == key[:-1])
+        word >>= np.uint64(8 * max(0, step + 8 - depth))
+        node = np.cumsum(~same) - 1
+        head = word[np.flatnonzero(~same)]
+        split = np.zeros(len(head), bool)
+        split[node[word != head[node]]] = True
+        if not split.any():
+            continue
+        moved = np.flatnonzero(split[node])
+        sort = moved[np.lexsort((word[moved], node[moved])) if step else np.argsort(word)]
+        order[moved], word[moved] = order[sort], word[sort]
+        same[1:] &= word[1:] == word[:-1]
         shared = same | np.append(same[1:], False)
         order, same = order[shared], same[shared]
-        rank = np.cumsum(~same).astype(np.uint64)
     return order, same
 
 
-def previous_smaller(values):
-    """For each value the place of the nearest smaller one before it, or -1. Minima of runs of 1, 2,
-    4, ... values are kept, and a place goes back by the longest run that has no smaller value."""
+def previous_smaller(values, reach: int):
+    """For each value the place of the nearest smaller one before it, if it is at most `reach` places
+    back; else a place farther back or -1. Minima of runs of 1, 2, 4, ... values are kept, and a place
+    goes back by the longest run that has no smaller value."""
     n = len(values)
     levels, width = [values], 1
-    while 2 * width <= n:
+    while 2 * width <= min(n, 2 * reach):
         low = levels[-1].copy()
         low[width:] = np.minimum(low[width:], levels[-1][:-width])
         levels.append(low)
         width *= 2
     place = np.arange(n) - 1
     for level in reversed(range(len(levels))):
-        reach = np.maximum(place, 0)
-        skip = (place >= 0) & (levels[level][reach] >= values) & (place - (1 << level) + 1 >= 0)
+        skip = (place >= 0) & (levels[level][np.maximum(place, 0)] >= values) & (place - (1 << level) + 1 >= 0)
         place = np.where(skip, place - (1 << level), place)
     return place
 
@@ -233,8 +257,9 @@ def earlier_matches(order, same, position):
     if not len(order):
         return order
     node, value, n = np.cumsum(~same), position[order].astype(np.int32), len(order)
-    before = previous_smaller(value)
-    after = n - 1 - previous_smaller(value[::-1])[::-1]
+    reach = int(np.bincount(node).max())
+    before = previous_smaller(value, reach)
+    after = n - 1 - previous_smaller(value[::-1], reach)[::-1]
     in_node = lambda place: (place >= 0) & (place < n) & (node[np.clip(place, 0, n - 1)] == node)
     return order[in_node(before) | in_node(after)]
 
@@ -259,20 +284,18 @@ def repeated_spans(docs: DataFrame, texts: DataFrame, window: int, size: int) ->
     record, span_record = records_of(schema), records_of(_SPAN_SCHEMA)
 
     def file(batches):
-        for ids, tags, texts, asked in _blocks(batches):
-            order = np.lexsort((tags, ids))
-            ids, tags, texts, asked = ([c[i] for i in order] for c in (ids, tags, texts, asked))
+        for ids, tags, texts, asked in _sorted_blocks(batches):
             data, number, at, length, anchors = _chunks(texts, window)
             sizes = np.array([len(t) for t in texts], np.int64)
             offset = np.cumsum(sizes) - sizes
             wanted = np.zeros(len(data) + 1, bool)
             for n, parts in enumerate(asked):
                 for part in parts:
-                    wanted[offset[n] + np.frombuffer(part, "<i4")] = True
+                    wanted[offset[n] + unpack_rising(part)] = True
             keep = wanted[at] if len(at) else np.zeros(0, bool)
             number, at, length, anchors = number[keep], at[keep], length[keep], anchors[keep]
             # Windows of a crowded anchor are filed each by itself.
-            split = np.isin(anchors, crowded)
+            split = np.isin(anchors >> np.uint64(16), crowded)
             times = np.where(split, length, 1)
             step = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
             number, at, anchors, length, split = (np.repeat(v, times) for v in (number, at, anchors, length, split))
@@ -282,23 +305,19 @@ def repeated_spans(docs: DataFrame, texts: DataFrame, window: int, size: int) ->
             raw, first_of = data.tobytes(), {}
             earliest = np.array([first_of.setdefault(raw[lo:lo + size], n) for n, (lo, size) in enumerate(zip(
                 at.tolist(), (length + window - 1).tolist()))], np.int64)
-            ids, tags = np.array(ids, np.int64)[number], np.array(tags, "<i4")[number]
-            first = (at - offset[number]).astype("<i4")
+            ids, tags = ids[number], tags[number]
+            first = at - offset[number]
             # The same text twice under one doc_id starts no earlier than itself.
             known = ((ids != ids[earliest]) | (tags != tags[earliest]) | (first != first[earliest]))
             sent = np.flatnonzero(earliest == np.arange(len(at)))
-            group = (_mix(anchors[sent]) % np.uint64(groups)).astype(np.int64)
-            by_group = np.argsort(group, kind="stable")
-            edges = np.flatnonzero(np.diff(group[by_group], prepend=-1))
-            rows = [sent[by_group[lo:hi]] for lo, hi in zip(edges, np.append(edges[1:], len(by_group)))]
-            group = group[by_group[edges]].tolist() if len(edges) else []
-            contents = [b"".join([raw[at[n]:at[n] + length[n] + window - 1] for n in row]) for row in rows]
+            rows = _rows_by_group(anchors, sent, groups)
+            contents = [b"".join([raw[at[n]:at[n] + length[n] + window - 1] for n in r]) for _, r in rows]
             if known.any():
-                rows.append(np.flatnonzero(known))
-                group.append(-1 - int(ids[rows[-1][0]] % groups))
+                rows.append((-1 - int(ids[known][0] % groups), np.flatnonzero(known)))
                 contents.append(b"")
-            yield record((group, contents, *([c[row].astype(kind).tobytes() for row in rows] for c, kind in (
-                (ids, "<i8"), (tags, "<i4"), (first, "<i4"), (length, "<i4")))))
+            yield record(([g for g, _ in rows], contents, [pack_rising(ids[r]) for _, r in rows],
+                          [tags[r].tobytes() for _, r in rows], [pack(first[r]) for _, r in rows],
+                          [pack(length[r]) for _, r in rows]))
 
     def spans(ids, tags, first, length=None):
         if length is None and len(ids):
@@ -314,8 +333,8 @@ def repeated_spans(docs: DataFrame, texts: DataFrame, window: int, size: int) ->
 
     def match(now, parts):
         data = b"".join([p[0] for p in parts]) + bytes(window + 16)
-        ids, tags, first, length = (np.concatenate([np.frombuffer(p[n], kind) for p in parts])
-                                    for n, kind in ((1, "<i8"), (2, "<i4"), (3, "<i4"), (4, "<i4")))
+        ids, tags, first, length = (np.concatenate([read(p[n]) for p in parts]).astype(np.int64) for n, read in (
+            (1, unpack_rising), (2, _tags), (3, unpack), (4, unpack)))
         if now < 0:
             return spans(ids, tags, first, length)
         begin = np.cumsum(length + window - 1) - (length + window - 1)
