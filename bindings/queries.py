@@ -642,10 +642,11 @@ users AS (
     FROM events)"""
 
 
-def _stored_metadata(spark, sf):
+def _stored_metadata(spark, sf, events=None):
     """Monthly metadata files, JSON arrays that together hold all repositories first seen in the month."""
     path = src.scratch_path(spark, "metadata")
-    users = r.table(spark, sf, "events").groupBy("user_id").agg(F.date_format(F.min("ts"), "yyMM").alias("yymm"))
+    events = events or r.table(spark, sf, "events")
+    users = events.groupBy("user_id").agg(F.date_format(F.min("ts"), "yyMM").alias("yymm"))
     task = F.element_at(F.array(*map(F.lit, ("add ", "fix ", "refactor ", "docs ", "chore "))),
                         (F.col("user_id") % 5 + 1).cast("int"))
     by = F.when(F.col("user_id") % 2 == 0, "by Claude ").otherwise("")
@@ -726,3 +727,88 @@ def ai_repos_with_language_job(spark, sf):
     """The same, with the top repositories' dominant language."""
     repos = plans.ai_pr_repos(spark, r.stored_log(spark, sf), r.TERMS)
     return plans.ai_repos_with_language(repos, r.language_bytes(spark, sf), 12, ("de", "es", "fr"))
+
+
+# --- stages that follow their files ------------------------------------------------------
+
+_ORDER_USERS = _USERS.replace("FROM events)", "FROM (SELECT o_custkey AS user_id FROM orders))")
+_ORDER_LOG = """
+SELECT 'org/r' || CAST(o_custkey AS VARCHAR) AS repo_name, strftime(o_orderdate, '%Y-%m-%d') AS created_at
+FROM orders"""
+
+
+@query("activity_follows_files_job", "WITH log AS (" + _ORDER_LOG + ")," + _ORDER_USERS + _JOB_SQL)
+def activity_follows_files_job(spark, sf):
+    """The job over half the lines of the finished months; then those files are written anew under
+    their old names and the other months' files come."""
+    log, out = src.scratch_path(spark, "log"), src.scratch_path(spark, "activity")
+    lines = r.order_lines(spark, sf)
+    users = r.table(spark, sf, "orders").select(F.col("o_custkey").alias("user_id"), F.col("o_orderdate").alias("ts"))
+    meta = _stored_metadata(spark, sf, users)
+    r.write_named_files(spark, lines.filter("o_orderstatus = 'F' AND o_orderkey % 2 = 0"), log)
+    plans.run_activity(spark, log, meta, out, keep_enriched=False)
+    r.write_named_files(spark, lines, log)
+    return plans.run_activity(spark, log, meta, out, keep_enriched=False)
+
+
+@query("lookup_list_job", ctes("heads", "latest") + """
+SELECT yymm, repo_name, head_sha FROM (
+    SELECT *, row_number() OVER (PARTITION BY yymm ORDER BY md5('7' || repo_name), repo_name) AS r
+    FROM (SELECT yymm, 'org/r' || CAST(repo_name AS VARCHAR) AS repo_name, head_sha FROM latest)) WHERE r <= 100""")
+def lookup_list_job(spark, sf):
+    """Repositories to look up, from event files under their real names: first of the months before 1998,
+    then of the rest, with the remains of a killed run beside them."""
+    log, out = src.scratch_path(spark, "log"), src.scratch_path(spark, "targets")
+    lines = r.order_lines(spark, sf)
+    r.write_named_files(spark, lines.filter("file < '1998'"), log)
+    first = plans.metadata_lookup_list(spark, log, out, seed="7")
+    first.select(F.lit("killed").alias("repo_name"), "head_sha", F.lit("9801").alias("yymm")).write.partitionBy(
+        "yymm").parquet(f"{out}/rows/attempt=killed")
+    r.write_named_files(spark, lines.filter("file >= '1998'"), log)
+    return plans.metadata_lookup_list(spark, log, out, seed="7")
+
+
+@query("folder_gaps", _CALENDAR + """
+SELECT * FROM named WHERE file_name NOT IN (
+    SELECT strftime(o_orderdate, '%Y-%m-02-15.json.gz') FROM orders WHERE o_orderstatus = 'F')""", dates="snapshot_date")
+def folder_gaps(spark, sf):
+    """Expected snapshots that a folder of event files lacks, from a listing of it."""
+    log = src.scratch_path(spark, "log")
+    r.write_named_files(spark, r.order_lines(spark, sf).filter("o_orderstatus = 'F'"), log)
+    return plans.folder_coverage(spark, log, op.span_of(r.table(spark, sf, "orders"), "o_orderdate"), (2, 9, 16, 23))
+
+
+@query("folder_files_per_month", """
+SELECT strftime(o_orderdate, '%y%m') AS yymm, max(strftime(o_orderdate, '%Y-%m-02-15.json.gz')) AS files
+FROM orders GROUP BY 1""")
+def folder_files_per_month(spark, sf):
+    log = src.scratch_path(spark, "log")
+    r.write_named_files(spark, r.order_lines(spark, sf), log)
+    return op.files_per_month(src.list_files(spark, log)).withColumn("files", F.array_join("files", " "))
+
+
+@query("distinct_by_increments", """
+SELECT year(l_shipdate) AS year, month(l_shipdate) AS month, count(DISTINCT l_partkey) AS unique_repos
+FROM lineitem GROUP BY 1, 2""", )
+def distinct_by_increments(spark, sf):
+    """Distinct parts of each month, from bitmaps that two increments left; the second never sees the
+    first one's rows."""
+    lines = r.table(spark, sf, "lineitem").select(
+        F.year("l_shipdate").cast("long").alias("year"), F.month("l_shipdate").cast("long").alias("month"),
+        F.col("l_partkey").cast("string").alias("repo"), (F.col("l_orderkey") % 2).alias("half"))
+    kept, ids = src.scratch_path(spark, "bitmaps"), src.scratch_path(spark, "ids")
+    for half in range(2):
+        own = lines.filter(F.col("half") == half)
+        numbers = src.extend_dictionary(own.select("repo"), ids)
+        op.distinct_bitmaps(own, numbers, "repo", "year", "month").write.mode("append").parquet(kept)
+    return op.distinct_count_of_bitmaps(spark.read.parquet(kept), "year", "month")
+
+
+@query("written_row_counts", """
+SELECT 'pushes' AS name, count(*) AS n_rows FROM lineitem
+UNION ALL SELECT 'metadata', count(*) FROM part""")
+def written_row_counts(spark, sf):
+    """Rows of a job's outputs, counted while they are written."""
+    out = src.scratch_path(spark, "counted")
+    return src.write_counted(pushes=(r.pushes(spark, sf), f"{out}/pushes"),
+                             metadata=(r.metadata(spark, sf), f"{out}/metadata"))

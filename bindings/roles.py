@@ -142,3 +142,30 @@ def stored_log(spark, sf):
     path = scratch_path(spark, "log")
     event_log(spark, sf).write.option("compression", "gzip").text(path)
     return path
+
+
+def write_named_files(spark, lines, path):
+    """Gzip event files under real names: `lines` has value and file, and each file is written whole by
+    one task. Their number is bounded by the calendar."""
+    parts = scratch_path(spark, "named")
+    lines.select("value", "file").repartition("file").write.partitionBy("file").option("compression", "gzip").text(parts)
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(conf)
+    files.mkdirs(target)
+    for row in spark.read.format("binaryFile").option("recursiveFileLookup", True).load(parts).select("path").collect():
+        name = row["path"].split("/file=")[1].split("/")[0]
+        place = jvm.org.apache.hadoop.fs.Path(f"{path}/{name}")
+        files.delete(place, False)   # a file that is written anew
+        files.rename(jvm.org.apache.hadoop.fs.Path(row["path"]), place)
+
+
+def order_lines(spark, sf):
+    """Orders as pushes in the snapshot file of their month."""
+    return table(spark, sf, "orders").select(
+        F.to_json(F.struct(
+            F.col("o_orderkey").cast("string").alias("id"), F.lit(PUSH_EVENT).alias("type"),
+            F.struct(F.concat(F.lit("org/r"), F.col("o_custkey")).alias("name")).alias("repo"),
+            F.struct(F.col("o_orderkey").cast("string").alias("head")).alias("payload"),
+            F.date_format("o_orderdate", "yyyy-MM-dd'T'00:00:00'Z'").alias("created_at"))).alias("value"),
+        F.date_format("o_orderdate", "yyyy-MM-'02-15.json.gz'").alias("file"), "o_orderstatus", "o_orderkey")

@@ -16,7 +16,8 @@ from .sampling import (  # noqa: F401
     top_n_per_group, top_rows,
 )
 from .summary import (  # noqa: F401
-    classify, monthly_language_summary, summary_from_parts,
+    classify, distinct_bitmaps, distinct_count_of_bitmaps, merged_summary, mergeable_summary,
+    monthly_language_summary, repo_month_counts, summary_from_parts,
 )
 from .trends import (  # noqa: F401
     activity_vs_adoption, category_volume, growth_index, keep_top, mix_with_rest, month_share,

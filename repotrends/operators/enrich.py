@@ -40,7 +40,7 @@ def _salted_join(left, right, keys, min_rows):
 
 
 def attach_metadata(pushes: DataFrame, meta: DataFrame, match: str = "repo", dedupe: bool = False,
-                    skew: str = "adaptive", hot_rows: int = 1_000_000) -> DataFrame:
+                    skew: str = "adaptive", hot_rows: int = 1_000_000, keep=()) -> DataFrame:
     """Every push with its repository's metadata; unmatched pushes keep NULL metadata.
 
     match   "repo": by repository name, so a repository sampled in k months gives k rows
@@ -53,6 +53,7 @@ def attach_metadata(pushes: DataFrame, meta: DataFrame, match: str = "repo", ded
             "both": also for metadata with a hot key. A left join cannot split its right
             side, so matches come from an inner join, which may split both, and the
             unmatched pushes from an anti join against the distinct keys.
+    keep    columns of the pushes that come along beside the usual ones.
     """
     keys = ["repo_name", "head_sha"] if match == "head" else ["repo_name"]
     if match == "repo":
@@ -67,7 +68,7 @@ def attach_metadata(pushes: DataFrame, meta: DataFrame, match: str = "repo", ded
         joined = pushes.join(meta, keys).unionByName(unmatched, allowMissingColumns=True)
     else:
         joined = pushes.join(meta, keys, "left")
-    return joined.select(*ENRICHED.fieldNames())
+    return joined.select(*ENRICHED.fieldNames(), *keep)
 
 
 def language_rows(breakdown: DataFrame, col: str = "breakdown") -> DataFrame:

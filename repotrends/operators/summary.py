@@ -65,9 +65,9 @@ def metadata_weights(meta: DataFrame, buckets=TASK_BUCKETS, default=DEFAULT_TASK
     )
 
 
-def summary_from_parts(pushes: DataFrame, meta: DataFrame, buckets=TASK_BUCKETS, default=DEFAULT_TASK,
-                       keys=("repo_name",), **rules) -> DataFrame:
-    """The same summary without building the enriched rows.
+def repo_month_counts(pushes: DataFrame, meta: DataFrame, buckets=TASK_BUCKETS, default=DEFAULT_TASK,
+                      keys=("repo_name",), by=(), **rules) -> DataFrame:
+    """The counts of each repository, month (`yyyymm`) and language, without building enriched rows.
 
     Pushes only bring a key and a month, metadata only a language and flags, so each pair of
     joined rows counts `pushes x metadata rows`: both sides are added up before they meet and
@@ -75,27 +75,74 @@ def summary_from_parts(pushes: DataFrame, meta: DataFrame, buckets=TASK_BUCKETS,
     message texts never are. How to join is left to the sizes that Spark measures.
 
     keys  `repo_name`, or with `head_sha` for the exact match.
+    by    columns of the pushes to count by as well.
     """
     weights = metadata_weights(meta, buckets, default, keys, **rules)
     counts = [c for c in _count_columns(buckets, default) if c != "unique_repos"]
     at = F.col("created_at")
     # Year and month as one key; both parts can be cut out of it again without loss.
     months = pushes.dropna(subset=list(keys)).select(
-        *keys, F.concat(year_of(at), month_of(at)).alias("yyyymm")
+        *keys, *by, F.concat(year_of(at), month_of(at)).alias("yyyymm")
     )
-    pushed = months.groupBy(*keys, "yyyymm").agg(F.count(F.lit(1)).alias("pushes"))
+    pushed = months.groupBy(*keys, *by, "yyyymm").agg(F.count(F.lit(1)).alias("pushes"))
     joined = pushed.join(weights, list(keys)).select(
-        "repo_name", "yyyymm", "primary_language", *((F.col("pushes") * F.col(c)).alias(c) for c in counts)
+        "repo_name", *by, "yyyymm", "primary_language", *((F.col("pushes") * F.col(c)).alias(c) for c in counts)
     )
     if len(keys) > 1:
-        joined = joined.groupBy("repo_name", "yyyymm", "primary_language").agg(*(F.sum(c).alias(c) for c in counts))
-    # One row per month, language and repository: counting rows counts repositories.
-    summed = joined.groupBy("yyyymm", "primary_language").agg(
-        F.sum("total_commits").alias("total_commits"),
-        F.count(F.lit(1)).alias("unique_repos"),
-        *(F.sum(c).alias(c) for c in counts if c != "total_commits"),
-    )
+        joined = joined.groupBy("repo_name", *by, "yyyymm", "primary_language").agg(
+            *(F.sum(c).alias(c) for c in counts))
+    return joined
+
+
+def _in_summary_form(summed: DataFrame, buckets, default) -> DataFrame:
     return summed.select(
         F.substring("yyyymm", 1, 4).alias("year"), F.substring("yyyymm", 5, 2).alias("month"),
         "primary_language", *_count_columns(buckets, default),
     )
+
+
+def summary_from_parts(pushes: DataFrame, meta: DataFrame, buckets=TASK_BUCKETS, default=DEFAULT_TASK,
+                       keys=("repo_name",), **rules) -> DataFrame:
+    """The same summary from counts by repository."""
+    joined = repo_month_counts(pushes, meta, buckets, default, keys, **rules)
+    # One row per month, language and repository: counting rows counts repositories.
+    summed = joined.groupBy("yyyymm", "primary_language").agg(
+        F.count(F.lit(1)).alias("unique_repos"),
+        *(F.sum(c).alias(c) for c in _count_columns(buckets, default) if c != "unique_repos"),
+    )
+    return _in_summary_form(summed, buckets, default)
+
+
+def mergeable_summary(counts: DataFrame, ids: DataFrame, buckets=TASK_BUCKETS, default=DEFAULT_TASK,
+                      by=()) -> DataFrame:
+    """Counts by repository to a summary that can be merged with others: the repositories of a month
+    and language as bitmaps over their numbers (`ids`: name, id), 32,768 to a row."""
+    sums = [c for c in _count_columns(buckets, default) if c != "unique_repos"]
+    numbered = counts.join(ids.withColumnRenamed("name", "repo_name"), "repo_name")
+    return numbered.groupBy(*by, "yyyymm", "primary_language", F.bitmap_bucket_number("id").alias("block")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("id")).alias("repos"), *(F.sum(c).alias(c) for c in sums))
+
+
+def merged_summary(parts: DataFrame, buckets=TASK_BUCKETS, default=DEFAULT_TASK) -> DataFrame:
+    """Mergeable summaries of any number of increments to the summary. Bitmaps are united before they
+    are counted, so a repository that several increments hold counts once."""
+    sums = [c for c in _count_columns(buckets, default) if c != "unique_repos"]
+    united = parts.groupBy("yyyymm", "primary_language", "block").agg(
+        F.bitmap_count(F.bitmap_or_agg("repos")).alias("unique_repos"), *(F.sum(c).alias(c) for c in sums))
+    summed = united.groupBy("yyyymm", "primary_language").agg(
+        *(F.sum(c).alias(c) for c in _count_columns(buckets, default)))
+    return _in_summary_form(summed, buckets, default)
+
+
+def distinct_bitmaps(rows: DataFrame, ids: DataFrame, col: str, *keys) -> DataFrame:
+    """The values of a column, by key, as bitmaps over their numbers (`ids`: name, id)."""
+    named = ids.withColumnRenamed("name", col)
+    return rows.select(*keys, col).distinct().join(named, col).groupBy(
+        *keys, F.bitmap_bucket_number("id").alias("block")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("id")).alias("members"))
+
+
+def distinct_count_of_bitmaps(bitmaps: DataFrame, *keys, name: str = "unique_repos") -> DataFrame:
+    """How many different values the bitmaps of any number of increments hold, by key."""
+    united = bitmaps.groupBy(*keys, "block").agg(F.bitmap_count(F.bitmap_or_agg("members")).alias("n"))
+    return united.groupBy(*keys).agg(F.sum("n").alias(name))

@@ -1,13 +1,19 @@
 """Push activity: event files and metadata in, enriched pushes and monthly summary out."""
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..functions import file_month_key
 from ..operators import (
-    attach_metadata, metadata_targets, one_row_per_key, push_events, push_heads, summary_from_parts,
+    attach_metadata, mergeable_summary, merged_summary, metadata_targets, one_row_per_key, push_events,
+    push_heads, repo_month_counts, summary_from_parts,
+)
+from ..schemas import ENRICHED_BY_MONTH, PUSHES_BY_MONTH, SAMPLE_PER_MONTH, SUMMARY_PARTS
+from ..sources import (
+    NO_MONTH, MonthlyTable, append_missing_months, extend_dictionary, file_stamps, list_files, read_events,
+    read_metadata, require_rows, write_once,
 )
-from ..schemas import SAMPLE_PER_MONTH
-from ..sources import append_missing_months, read_events, read_metadata, require_rows, write_once
-from ..streaming import land_new_files, push_stream
 
 
 def enriched_pushes(spark: SparkSession, log_path, meta_path, **options) -> DataFrame:
@@ -20,29 +26,68 @@ def enriched_pushes(spark: SparkSession, log_path, meta_path, **options) -> Data
 def monthly_summary(pushes: DataFrame, meta: DataFrame, match: str = "repo", dedupe: bool = False,
                     **rules) -> DataFrame:
     """Monthly language summary, counted on both sides before they are joined."""
+    keys, meta = _matching(meta, match, dedupe)
+    return summary_from_parts(pushes, meta, keys=keys, **rules)
+
+
+def _matching(meta: DataFrame, match: str, dedupe: bool):
+    """The keys of a match, and the metadata rows for it."""
     keys = ("repo_name", "head_sha") if match == "head" else ("repo_name",)
     if dedupe:
         meta = one_row_per_key(meta if match == "head" else meta.drop("head_sha"), list(keys))
-    return summary_from_parts(pushes, meta, keys=keys, **rules)
+    return keys, meta
+
+
+def stored_enriched(spark: SparkSession, out: str) -> DataFrame:
+    """The enriched pushes that `run_activity` keeps under `out`."""
+    return MonthlyTable(spark, f"{out}/enriched", ENRICHED_BY_MONTH).read().drop("yymm")
 
 
 def run_activity(spark: SparkSession, log_path, meta_path, out: str, match: str = "repo",
                  dedupe: bool = False, skew: str = "adaptive", keep_enriched: bool = True) -> DataFrame:
     """Store pushes, enriched pushes and summary under `out`; return the summary in order.
 
-    The log is parsed once, into Parquet by month: gzip text gives one task per file and no
-    column pruning, Parquet gives both to every later stage. A rerun parses new files only; the
-    other stages are redone if files or options differ from what they were made from. No input
-    is an error, and nothing is stored.
+    The log is parsed once, into Parquet by month of its files: gzip text gives one task per file and no
+    column pruning, Parquet gives both to every later stage. Every table is kept by that month, each with
+    a record of what it was made from. A listing of the files (path, length, time) tells which months have
+    new, changed or missing files: only their files are opened, and only their months are made
+    anew. A month's part of the summary holds its repositories as bitmaps over their numbers in a
+    dictionary, so parts are merged without going back to rows, and distinct counts stay exact where
+    two months' files hold pushes of the same day. Other metadata files or options make all
+    months' enriched pushes and parts anew, for a repository's metadata belongs to its pushes of any month.
+    No input is an error, and nothing is stored.
     """
-    log = require_rows(read_events(spark, log_path), "the event log")
-    land_new_files(push_stream(spark, log_path), f"{out}/pushes", f"{out}/pushes_read", ["yymm"])
-    pushes = spark.read.parquet(f"{out}/pushes").drop("yymm")
+    listed = list_files(spark, log_path)
+    log = require_rows(read_events(spark, log_path, with_file=True), "the event log")
+    stamps = {r["yymm"]: r["stamp"] for r in file_stamps(listed).collect()}
+    month = F.coalesce(file_month_key(F.col("file_name")), F.lit(NO_MONTH))
+
+    pushes = MonthlyTable(spark, f"{out}/pushes", PUSHES_BY_MONTH)
+    new, gone = pushes.stale(stamps)
+    if new or gone:
+        pushes.write(push_events(log.filter(month.isin(*new)), month.alias("yymm")), new, gone)
+
     meta = read_metadata(spark, meta_path)
-    made_from = [sorted(log.inputFiles()), sorted(meta.inputFiles()), match, dedupe]
-    if keep_enriched:
-        write_once(attach_metadata(pushes, meta, match, dedupe, skew), f"{out}/enriched", made_from=made_from)
-    summary = write_once(monthly_summary(pushes, meta, match, dedupe), f"{out}/summary", made_from=made_from)
+    known = sorted(r["stamp"] for r in file_stamps(list_files(spark, meta_path)).collect()) if meta.inputFiles() else []
+    made_from = {m: json.dumps([r["attempt"], known, match, dedupe]) for m, r in pushes.records().items()}
+
+    enriched = MonthlyTable(spark, f"{out}/enriched", ENRICHED_BY_MONTH)
+    new, gone = enriched.stale(made_from)
+    if keep_enriched and (new or gone):
+        rows = pushes.read().filter(F.col("yymm").isin(*new))
+        joined = attach_metadata(rows, meta, match, dedupe, skew, keep=("yymm",))
+        enriched.write(joined, new, gone)
+
+    parts = MonthlyTable(spark, f"{out}/parts", SUMMARY_PARTS)
+    new, gone = parts.stale(made_from)
+    if new or gone:
+        rows = pushes.read().filter(F.col("yymm").isin(*new))
+        ids = extend_dictionary(rows.select("repo_name"), f"{out}/repositories")
+        keys, weights = _matching(meta, match, dedupe)
+        counts = repo_month_counts(rows, weights, keys=keys, by=("yymm",))
+        parts.write(mergeable_summary(counts, ids, by=("yymm",)), new, gone)
+    held = sorted((m, r["attempt"]) for m, r in parts.records().items())
+    summary = write_once(merged_summary(parts.read()), f"{out}/summary", made_from=held)
     return summary.orderBy("year", "month", F.desc("ai_commits"), "primary_language")
 
 

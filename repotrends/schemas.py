@@ -80,6 +80,14 @@ SUMMARY = T.StructType(
         )
     ]
 )
+# The tables that the activity job keeps by the month of the files (`yymm`).
+PUSHES_BY_MONTH = T.StructType(PUSH.fields + _strings("yymm"))
+ENRICHED_BY_MONTH = T.StructType(ENRICHED.fields + _strings("yymm"))
+SUMMARY_PARTS = T.StructType(
+    _strings("yyyymm", "primary_language")
+    + [T.StructField("block", T.LongType()), T.StructField("repos", T.BinaryType())]
+    + [f for f in SUMMARY.fields[3:] if f.name != "unique_repos"] + _strings("yymm")
+)
 AI_REPOS = T.StructType(_strings("repo_name") + [T.StructField("ai_pr_count", T.LongType())])
 AI_REPOS_WITH_LANGUAGE = T.StructType(AI_REPOS.fields + _strings("primary_language"))
 LANGUAGE_BYTES = T.StructType(

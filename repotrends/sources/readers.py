@@ -3,6 +3,7 @@
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..functions import file_month_key
 from ..schemas import (
     AI_REPOS, AI_REPOS_WITH_LANGUAGE, ENRICHED, EVENT, LANGUAGE_BYTES, METADATA, PULL_REQUEST_LINE,
 )
@@ -15,6 +16,9 @@ TSV_OPTIONS = {
 }
 
 
+NO_MONTH = "none"   # the month of files whose name carries none
+
+
 class MissingInputError(RuntimeError):
     """An input path or table that has to hold data holds none."""
 
@@ -34,6 +38,23 @@ def require_rows(df: DataFrame, what: str) -> DataFrame:
     return df
 
 
+def list_files(spark: SparkSession, path) -> DataFrame:
+    """(path, file_name, length, modified, yymm) of the files under a path. It is a listing: without
+    the column `content` no file is opened. Files whose name carries no month have yymm NULL."""
+    name = F.element_at(F.split("path", "/"), -1)
+    files = _load(spark.read.format("binaryFile").load, path, "files")
+    return files.select("path", name.alias("file_name"), "length", F.col("modificationTime").alias("modified"),
+                        file_month_key(name).alias("yymm"))
+
+
+def file_stamps(files: DataFrame) -> DataFrame:
+    """(yymm, stamp): per month a digest of its files' paths, lengths and times; it changes when a
+    file comes, goes or is written anew. A month has at most 31 x 24 hourly files."""
+    one = F.concat_ws("|", "path", "length", F.unix_micros("modified"))
+    return files.groupBy(F.coalesce("yymm", F.lit(NO_MONTH)).alias("yymm")).agg(
+        F.sha2(F.array_join(F.sort_array(F.collect_list(one)), "\n"), 256).alias("stamp"))
+
+
 def read_events(spark: SparkSession, path, with_file: bool = False) -> DataFrame:
     """Newline-delimited JSON event files (gzip or plain), all files as one table.
 

@@ -4,10 +4,12 @@ import hashlib
 import json
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from ..operators.checks import require_unique
 from ..schemas import SUMMARY, SUMMARY_KEYS
+from .monthly import MonthlyTable
 from .readers import TSV_OPTIONS
 
 
@@ -76,32 +78,34 @@ def write_once(df: DataFrame, path: str, partition_by=(), made_from=None) -> Dat
     return spark.read.schema(df.schema).parquet(path)
 
 
-def months_held(spark: SparkSession, path: str, month: str = "yymm") -> list[str]:
-    """Months that were written to their end, from the list beside the table; short by nature."""
-    listed = f"{path.rstrip('/')}/_months"
-    if not _exists(spark.read.schema(f"`{month}` string").parquet, listed):
-        return []
-    held = spark.read.schema(f"`{month}` string").parquet(listed).distinct()
-    return sorted(row[0] for row in held.collect())
+def months_held(spark: SparkSession, path: str) -> list[str]:
+    """Months that were written to their end, from the table's commit log; short by nature."""
+    return sorted(MonthlyTable(spark, path, StructType()).records())
 
 
 def append_missing_months(df: DataFrame, path: str, month: str = "yymm") -> DataFrame:
     """Add only the months the table does not hold yet; return the whole table.
 
-    One folder per month; rows without a month are left out. The months held become a
-    literal filter, which Catalyst pushes through grouping and windows by month down to the
-    scan: where the month comes from the file name, files of held months are not opened.
-    A month counts as held once it is listed, which happens after its rows are written; what a
-    killed run left of other months is replaced.
+    Rows without a month are left out. The months held become a literal filter, which Catalyst
+    pushes through grouping and windows by month down to the scan: where the month comes from the
+    file name, files of held months are not opened. A month is held once the commit log has a record of
+    it; what a killed run left is not read.
     """
-    spark = df.sparkSession
-    held = F.col(month).isin(months_held(spark, path, month))
-    new = df.filter(F.col(month).isNotNull() & ~held)
-    new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(month).parquet(path)
-    table = spark.read.schema(df.schema).parquet(path)
-    table.filter(~held).select(F.col(month).cast("string")).distinct().coalesce(1).write.mode("append").parquet(
-        f"{path.rstrip('/')}/_months")
-    return table
+    table = MonthlyTable(df.sparkSession, path, df.schema, month)
+    held = sorted(table.records())
+    table.write(df.filter(F.col(month).isNotNull() & ~F.col(month).isin(held)))
+    return table.read()
+
+
+def write_counted(**outputs) -> DataFrame:
+    """Write tables, given as name=(rows, path), and return the number of rows of each: (name,
+    n_rows). They are counted in passing, so nothing is read again."""
+    counts = []
+    for name, (df, path) in outputs.items():
+        seen = Observation(name)
+        df.observe(seen, F.count(F.lit(1)).alias("n_rows")).write.mode("overwrite").parquet(path)
+        counts.append((name, seen.get["n_rows"]))
+    return df.sparkSession.createDataFrame(counts, "name string, n_rows long")
 
 
 def write_jdbc_table(summary: DataFrame, url: str, table: str, properties: dict,

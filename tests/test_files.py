@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from repotrends import operators as op, plans, sources as src, streaming
-from repotrends.schemas import ENRICHED, METADATA, SUMMARY
+from repotrends.schemas import ENRICHED, METADATA, SUMMARY, PUSHES_BY_MONTH
 
 
 def event(i, repo, head, at, kind="PushEvent", **payload):
@@ -191,7 +191,7 @@ def test_activity_job(spark, raw, meta, tmp_path):
     # a/x: 2 January pushes and 1 in February, each with 2 metadata rows
     assert [tuple(r) for r in summary.orderBy("month").collect()] == [
         ("2026", "01", "Go", 4, 1, 4, 2, 2, 0, 0, 0), ("2026", "02", "Go", 2, 1, 2, 1, 1, 0, 0, 0)]
-    enriched = spark.read.parquet(out + "/enriched")
+    enriched = plans.stored_enriched(spark, out)
     assert enriched.columns == ENRICHED.fieldNames()
     assert enriched.count() == 9
     assert rows(op.monthly_language_summary(enriched)) == rows(summary)
@@ -207,7 +207,7 @@ def test_activity_job_options(spark, raw, meta, tmp_path, options, want):
     out = str(tmp_path / "out")
     summary = plans.run_activity(spark, raw + "/*.json.gz", meta, out, **options)
     assert rows(summary.select("month", "total_commits")) == want
-    stored = spark.read.parquet(out + "/enriched")
+    stored = plans.stored_enriched(spark, out)
     assert rows(op.monthly_language_summary(stored)) == rows(summary)
 
 
@@ -275,12 +275,100 @@ def test_files_of_listed_months_are_not_opened(spark, raw, tmp_path):
         f.write(b"not gzip at all")
     write_gz(raw, "2026-03-02-15.json.gz", [event(31, "n/n", "h31", "2026-03-02T15:00:00Z")])
     again = rows(plans.metadata_lookup_list(spark, raw + "/*.json.gz", out))
-    assert again == sorted(first + [("n/n", "h31", "2603")], key=str)
+    assert again == sorted(first + [("2603", "n/n", "h31")], key=str)
 
 
 def test_stored_pushes_lie_by_month(spark, raw, meta, tmp_path):
     plans.run_activity(spark, raw + "/*.json.gz", meta, str(tmp_path / "o"))
-    assert sorted(p for p in os.listdir(tmp_path / "o" / "pushes") if "=" in p) == ["yymm=2601", "yymm=2602"]
+    (attempt,) = os.listdir(tmp_path / "o" / "pushes" / "rows")
+    found = os.listdir(tmp_path / "o" / "pushes" / "rows" / attempt)
+    assert sorted(p for p in found if "=" in p) == ["yymm=2601", "yymm=2602"]
+
+
+def attempts(spark, out, table):
+    return {m: r["attempt"] for m, r in src.MonthlyTable(spark, f"{out}/{table}", PUSHES_BY_MONTH).records().items()}
+
+
+def test_only_changed_months_are_made_anew(spark, raw, meta, tmp_path):
+    out, log = str(tmp_path / "out"), raw + "/*.json.gz"
+    plans.run_activity(spark, log, meta, out)
+    before = {t: attempts(spark, out, t) for t in ("pushes", "enriched", "parts")}
+    write_gz(raw, "2026-02-02-15.json.gz", [event(51, "a/x", "h51", "2026-02-02T15:00:00Z"),
+                                            event(52, "a/x", "h52", "2026-01-31T23:00:00Z")])
+    write_gz(raw, "2026-03-02-15.json.gz", [event(53, "a/x", "h53", "2026-03-02T15:00:00Z")])
+    got = plans.run_activity(spark, log, meta, out)
+    # January: two pushes of its own file and one of February's, all of one repository.
+    assert rows(got.select("month", "total_commits", "unique_repos")) == [("01", 6, 1), ("02", 2, 1), ("03", 2, 1)]
+    for table, held in before.items():
+        after = attempts(spark, out, table)
+        assert after["2601"] == held["2601"] and after["2602"] != held["2602"] and "2603" in after
+    assert rows(op.monthly_language_summary(plans.stored_enriched(spark, out))) == rows(got)
+    os.remove(os.path.join(raw, "2026-02-02-15.json.gz"))
+    got = plans.run_activity(spark, log, meta, out)
+    assert rows(got.select("month", "total_commits")) == [("01", 4), ("03", 2)]
+    assert attempts(spark, out, "parts")["2603"] == after["2603"]
+
+
+def test_changed_metadata_changes_the_summary(spark, raw, tmp_path):
+    meta, out = str(tmp_path / "metadata_master_2601.json"), str(tmp_path / "out")
+    for language in ("Go", "Rust"):
+        with open(meta, "w") as f:
+            json.dump([{"repo_name": "a/x", "head_sha": "h2", "commit_message": "m",
+                        "author_email": "e", "primary_language": language}], f)
+        got = plans.run_activity(spark, raw + "/*.json.gz", meta, out)
+        assert {r.primary_language for r in got.collect()} == {language}
+
+
+def test_what_a_killed_run_left_is_not_read(spark, tmp_path):
+    df = spark.createDataFrame([(n, m) for m in ("2601", "2602") for n in range(3)], "n long, yymm string")
+    table = src.MonthlyTable(spark, str(tmp_path / "t"), df.schema)
+    # The rows of an attempt without a record: half of a month.
+    df.limit(1).write.partitionBy("yymm").parquet(str(tmp_path / "t" / "rows" / "attempt=dead"))
+    assert table.records() == {} and table.read().count() == 0
+    assert src.append_missing_months(df.filter("yymm = '2602'"), table.path).count() == 3
+    assert src.months_held(spark, table.path) == ["2602"]
+    assert src.append_missing_months(df, table.path).count() == 6
+    table.write(df.limit(0), {"2601": "none left"})
+    assert rows(table.read()) == [(0, "2602"), (1, "2602"), (2, "2602")]
+    assert table.stale({"2601": "none left", "2603": "x"}) == ({"2603": "x"}, ["2602"])
+
+
+def test_dictionary_keeps_its_numbers(spark, tmp_path):
+    path = str(tmp_path / "d")
+    names = lambda *n: spark.createDataFrame([(x,) for x in n], "name string")
+    one = dict(rows(src.extend_dictionary(names("a", "b", "b", None), path)))
+    two = dict(rows(src.extend_dictionary(names("b", "c", "d"), path)))
+    assert sorted(one.values()) == [0, 1] and sorted(two.values()) == [0, 1, 2, 3]
+    assert one.items() <= two.items()
+    assert dict(rows(src.extend_dictionary(names("a"), path))) == two
+
+
+def test_bitmaps_of_increments_count_like_distinct(spark, tmp_path):
+    df = spark.range(100_000).selectExpr("concat('r', id * id % 40961) AS repo", "id % 3 AS k", "id % 2 AS half")
+    parts = []
+    for half in range(2):
+        own = df.filter(F.col("half") == half)
+        ids = src.extend_dictionary(own.select("repo"), str(tmp_path / "ids"))
+        parts.append(op.distinct_bitmaps(own, ids, "repo", "k"))
+    got = op.distinct_count_of_bitmaps(parts[0].unionByName(parts[1]), "k")
+    assert rows(got) == rows(op.distinct_count(df, "repo", "k"))
+
+
+def test_listing_opens_no_file(spark, tmp_path):
+    for name in ("2026-01-02-15.json.gz", "notes.txt"):
+        (tmp_path / name).write_bytes(b"x" * 5)
+    listed = src.list_files(spark, str(tmp_path))
+    assert rows(listed.select("file_name", "length", "yymm")) == [("2026-01-02-15.json.gz", 5, "2601"), ("notes.txt", 5, None)]
+    assert "content" not in listed._jdf.queryExecution().executedPlan().toString()
+    stamps = dict(rows(src.file_stamps(listed)))
+    (tmp_path / "notes.txt").write_bytes(b"y" * 6)
+    after = dict(rows(src.file_stamps(src.list_files(spark, str(tmp_path)))))
+    assert after["2601"] == stamps["2601"] and after["none"] != stamps["none"]
+
+
+def test_rows_are_counted_while_they_are_written(spark, tmp_path):
+    got = src.write_counted(a=(spark.range(7), str(tmp_path / "a")), b=(spark.range(0), str(tmp_path / "b")))
+    assert rows(got) == [("a", 7), ("b", 0)] and spark.read.parquet(str(tmp_path / "a")).count() == 7
 
 
 def test_coverage_of_files(spark, raw):
