@@ -4,57 +4,77 @@ The plan depends on the number of pieces of each length only, so it is made from
 `capacity` counts; pieces are then dealt to its places by their rank among those of their length.
 """
 
+import gc
 import os
+from itertools import chain
 from zlib import crc32
 
 import numpy as np
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import as_bytes, map_rows, stored, worker_cache
+from .common import as_bytes, map_rows, records_of, stored, text_blocks, worker_cache
 
-CACHED_WORDS = 600_000
+KEPT_WORDS = 150_000   # different words that a task keeps, about 200 bytes each
+BLOCK = 2 << 20        # bytes of text that are encoded together, about
+LONG = 64              # bytes of a word that is kept
 BUCKET = 4096
 
 
-def token_ids(texts, path: str):
-    """Little-endian 32-bit token ids of each text, then id 0.
-
-    White space separates tokens in every case, so words are encoded alone and remembered.
-    """
-    from tokenizers import Tokenizer
-
-    cache = worker_cache(f"tokens:{path}")
-    if "tokenizer" not in cache:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        cache["tokenizer"], cache["words"] = Tokenizer.from_file(path), {}
-    known = cache["words"]
-    split = [t.split() for t in texts]
-    new = list({w for words in split for w in words if w not in known})
-    encoded = cache["tokenizer"].encode_batch([w.decode() for w in new], add_special_tokens=False)
-    own = {w: np.array(e.ids, "<u4").tobytes() for w, e in zip(new, encoded)}
-    if len(known) < CACHED_WORDS:
-        known.update(own)
-        own = known
-    else:
-        own = {**{w: known[w] for words in split for w in words if w in known}, **own}
-    for words in split:
-        yield b"".join(map(own.__getitem__, words)) + bytes(4)
+class Encoder:
+    """Token ids of texts. White space separates tokens in every case, so words are encoded alone, and
+    a task keeps those it has seen, up to a bound."""
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        cache = worker_cache("tokenizers")
+        if path not in cache:
+            os.environ["TOKENIZERS_PARALLELISM"] = "false"
+            cache[path] = Tokenizer.from_file(path)
+        self.tokenizer, self.known = cache[path], {}
+
+    def __call__(self, texts) -> list[bytes]:
+        """Little-endian 32-bit token ids of each text, then id 0."""
+        gc.disable()   # words are many small objects without cycles
+        split = [t.split() for t in texts]
+        if len(self.known) > KEPT_WORDS:
+            self.known = {}
+        known = self.known
+        new = list({w for words in split for w in words if w not in known})
+        encoded = self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
+        counts = [e.ids for e in encoded]
+        ids = np.fromiter(chain.from_iterable(counts), "<u4").tobytes()
+        ends = np.append(0, 4 * np.cumsum(np.fromiter(map(len, counts), np.int64, len(counts)))).tolist()
+        known.update((w, ids[lo:hi]) for w, lo, hi in zip(new, ends, ends[1:]))
+        out = [b"".join(map(known.__getitem__, words)) + bytes(4) for words in split]
+        for word in new:
+            if len(word) > LONG:
+                del known[word]
+        gc.enable()
+        return out
+
+
+def token_ids(texts, path: str) -> list[bytes]:
+    return Encoder(path)(texts)
 
 
 def pieces(docs: DataFrame, path: str, capacity: int) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, ids of all documents cut at `capacity` tokens."""
-    def rows(ids, texts):
-        for at in range(0, len(ids), 256):
+    schema = "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary"
+    record = records_of(schema)
+
+    def run(batches):
+        encode = Encoder(path)
+        for ids, texts in text_blocks(batches, BLOCK):
             out = [[] for _ in range(6)]
-            for doc_id, tokens in zip(ids[at:at + 256], token_ids(texts[at:at + 256], path)):
+            for doc_id, tokens in zip(ids, encode(texts)):
                 for piece, start in enumerate(range(0, len(tokens) // 4, capacity)):
                     part = tokens[4 * start:4 * (start + capacity)]
                     for column, value in zip(out, (doc_id, piece, start, len(part) // 4, crc32(part), part)):
                         column.append(value)
-            yield out
+            yield record(out)
 
-    return map_rows(docs.select("doc_id", as_bytes()), rows,
-                    "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary")
+    return docs.select("doc_id", as_bytes()).mapInArrow(run, schema)
 
 
 def plan(counts: dict, capacity: int) -> list[tuple]:
