@@ -31,20 +31,27 @@ MARKED = {
     "ad", "ads", "advert", "advertisement", "banner", "breadcrumb", "breadcrumbs", "comment", "comments", "consent",
     "cookie", "cookies", "footer", "header", "masthead", "menu", "nav", "navbar", "navigation", "newsletter", "notice",
     "pagination", "popup", "promo", "related", "share", "sharing", "sidebar", "social", "sponsor", "sponsored",
-    "subscribe", "toolbar", "widget", "contentinfo", "complementary", "search"}
+    "subscribe", "toolbar", "widget", "contentinfo", "complementary", "search", "disqus", "reply", "replies",
+    "respond", "responses", "gdpr", "signup", "recommended", "trending"}
 # Words that may stand beside one of MARKED in a name; any other, as in "no-sidebar", makes it another name.
 BESIDE = {
+    "reader", "readers", "user", "users", "thread", "threads", "form", "button", "buttons", "story", "stories", "slot",
+    "unit", "policy", "icons",
     "site", "page", "global", "main", "top", "bottom", "left", "right", "block", "box", "bar", "list", "area", "section",
     "container", "wrapper", "wrap", "inner", "item", "items", "post", "posts", "article", "articles", "links"}
 CONTENT = ("html", "body", "main", "article")
 
+OWN = "own-"
 BY_NAME, BY_TAG, MARK = 1, 2, 4
 RICH = 10
 FEW = 5  # different pages of a host that a text must stand on before it is left out as template
 
+# What follows an element's name, up to its end: a quote opens only after `=`, as in browsers. No part
+# is tried twice, and a tag that never ends goes on to the end of the page, so the work is linear.
+_REST = r"""[^>=]*+(?:=\s*+(?:"[^"]*+"|'[^']*+')?+[^>=]*+)*+"""
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg|iframe|object|title|textarea)\b[^>]*>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S | re.I)
+    rf"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg|iframe|object|title|textarea)\b{_REST}"
+    rf"(?:>.*?(?:</\1\s*+>|\Z)|\Z)|<(/?)([a-zA-Z][^\s/>]*+)({_REST})(?:>|\Z)|<[!?][^>]*+(?:>|\Z)", re.S | re.I)
 _ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 
 
@@ -87,7 +94,7 @@ def parse(html: str) -> Node:
         if not tag:
             continue
         if m[2]:
-            depth = next((n for n in range(len(stack) - 1, 0, -1) if stack[n].tag == tag), 0)
+            depth = next((n for n in range(len(stack) - 1, 0, -1) if stack[n].tag in (tag, OWN + tag)), 0)
             if depth:
                 del stack[depth:]
             continue
@@ -97,6 +104,8 @@ def parse(html: str) -> Node:
             depth = next((n for n in range(len(stack) - 1, 0, -1) if stack[n].tag not in INLINE), 0)
             if depth and stack[depth].tag == "p":
                 del stack[depth:]
+        if tag == "header" and any(n.tag == "article" for n in stack):
+            tag = OWN + tag   # an article's own header, with its headline, is content
         node = Node(tag, _marked(m[4]) if m[4] else "")
         stack[-1].children.append(node)
         if tag in CONTENT:

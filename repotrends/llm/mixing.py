@@ -161,17 +161,18 @@ def _decisions(spark, sized: DataFrame, weights, most: int, seed: int):
     chosen = stored(
         large.union(_prefix(small, rest - F.coalesce("used", F.lit(0))))
         .union(_marked(dealt.filter(size > rest), F.lit(False))), "mix-choice")
-    # What is left of the rest goes to the row that fills it best.
+    # What is left of the rest goes to the row that comes nearest to it, if that is nearer than none.
     gaps = chosen.groupBy("pattern").agg(F.max("rest").alias("rest"), F.coalesce(
         F.sum(F.when(F.col("more"), F.col("size"))), F.lit(0)).alias("words")).select(
         "pattern", (F.col("rest") - F.col("words")).alias("gap"))
     last = chosen.filter(~F.col("more") & (F.col("size") > 0)).join(F.broadcast(gaps), "pattern").filter(
-        F.col("size") <= F.col("gap")).groupBy("pattern").agg(
-        F.max(F.struct("size", "h", "k1", "k2")).alias("last")).select(
+        F.col("size") < 2 * F.col("gap")).groupBy("pattern").agg(
+        F.min(F.struct(F.abs(F.col("gap") - F.col("size")), "size", "h", "k1", "k2")).alias("last")).select(
         F.col("pattern").alias("p"), F.col("last.k1").alias("l1"), F.col("last.k2").alias("l2"))
     copies = chosen.join(
         last, (F.col("pattern") == F.col("p")) & (F.col("k1") == F.col("l1")) & (F.col("k2") == F.col("l2")), "left"
-    ).select("k1", "k2", (F.col("whole") + F.when(F.col("more") | F.col("p").isNotNull(), 1).otherwise(0)).alias("copies"))
+    ).select("k1", "k2", F.least(F.lit(most), F.col("whole") + F.when(
+        F.col("more") | F.col("p").isNotNull(), 1).otherwise(0)).alias("copies"))
     return keyed, copies, sizes, goal
 
 
@@ -182,8 +183,8 @@ def mix(docs: DataFrame, members=None, weights=(5, 2, 1), most: int = 3, seed: i
     default its `source` alone; a null is a source of its own. size counts words (runs of other
     than ASCII white space; null and empty texts: 0). source_size and target are added up over the
     document's sources. taken is size times the copies that the mix takes, at most `most`; whole
-    documents are taken, so what a source misses is less than any left-out document of it. Rows that
-    repeat doc_id, text and sources are decided as one. Reruns agree. Other columns are not read.
+    documents are taken, the last one where its source comes nearer to its target with it than without.
+    Empty documents are taken at most `most` times as well. Rows that repeat doc_id, text and sources are decided as one. Reruns agree. Other columns are not read.
     """
     spark = docs.sparkSession
     members = F.array("source") if members is None else members

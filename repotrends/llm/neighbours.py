@@ -101,6 +101,21 @@ class Forest:
         return out
 
 
+def distances(x, point):
+    """Euclidean distances of rows to a point. Where squares leave the range of a double, differences are
+    scaled by the largest before they are squared."""
+    with np.errstate(over="ignore", under="ignore"):
+        apart = x - point
+        out = np.sqrt(np.square(apart).sum(axis=1))
+    odd = np.flatnonzero(~np.isfinite(out) | (out < 1e-150))
+    if len(odd):
+        most = np.abs(apart[odd]).max(axis=1, initial=0)
+        scale = np.where((most > 0) & np.isfinite(most), most, 1)
+        with np.errstate(over="ignore"):
+            out[odd] = scale * np.sqrt(np.square(apart[odd] / scale[:, None]).sum(axis=1))
+    return out
+
+
 def _usable(vectors: DataFrame, embedding: str) -> DataFrame:
     """vec_id and vector (doubles) of the rows that take part."""
     v = F.col("vector")
@@ -172,10 +187,9 @@ def nearest(vectors: DataFrame, is_query, k: int = 10, embedding: str = "embeddi
             order = np.argsort(ids, kind="stable")
             x, ids = x[order], ids[order]
             for q, v in zip(asked["query_id"], asked["vector"]):
-                score = np.sqrt(np.square(x - v).sum(axis=1))
-                score[ids == q] = np.inf
-                best = np.argsort(score, kind="stable")[:k + 1]
-                out += [(q, int(ids[n]), float(score[n])) for n in best if score[n] < np.inf]
+                others = np.flatnonzero(ids != q)
+                score = distances(x[others], v)
+                out += [(q, int(ids[others[n]]), float(score[n])) for n in np.argsort(score, kind="stable")[:k + 1]]
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
 
     # Filing is cheap, so it is done once to count and once to deal, and only the latter is shuffled.
@@ -222,11 +236,10 @@ def enough(some: DataFrame, queries: DataFrame, forest: Forest, k: int, seed: in
             x, own = x[order], own[order]
             at, of, far = [], [], []
             for n, q in enumerate(points):
-                score = np.sqrt(np.square(x - q).sum(axis=1))
-                score[own == ids[n]] = np.inf
+                others = np.flatnonzero(own != ids[n])
+                score = distances(x[others], q)
                 best = np.argsort(score, kind="stable")[:k]
-                best = best[score[best] < np.inf]
-                at.append(best)
+                at.append(others[best])
                 of.append(np.full(len(best), n))
                 far.append(score[best])
             at = np.concatenate(at) if at else np.zeros(0, np.int64)

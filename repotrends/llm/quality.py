@@ -45,6 +45,8 @@ def features(text: bytes):
 def fit(texts, y, grades: int, steps: int = 150, rate: float = 0.1, ridge: float = 1e-4):
     """(weights, thresholds) for grades 0 .. grades - 1. Without rows all weights are 0."""
     w, cut = np.zeros(SLOTS), np.zeros(grades - 1)
+    known = (y >= 0) & (y < grades)   # rows with other grades are left out
+    texts, y = [t for t, ok in zip(texts, known) if ok], y[known]
     if not len(y):
         return w.astype(np.float32), cut
     x = Sparse([features(t) for t in texts])

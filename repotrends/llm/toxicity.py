@@ -51,7 +51,7 @@ def _score(x: Sparse, bias, w, v):
 def fit(texts, y, factors: int = 4, steps: int = 300, rate: float = 0.05, ridge: float = 1e-4):
     """(selected slots, bias, weights, vectors)."""
     rows = [terms(t) for t in texts]
-    y = np.minimum(y, 1)
+    y = np.clip(y, 0, 1)
     chosen = select(rows, y) if len(y) else np.zeros(0, np.int64)
     share = (y.sum() + 1) / (len(y) + 2)
     bias, w = np.array([np.log(share / (1 - share))]), np.zeros(len(chosen))
