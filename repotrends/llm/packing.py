@@ -14,9 +14,11 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from .common import as_bytes, map_rows, records_of, stored, text_blocks, worker_cache
 
-KEPT_WORDS = 150_000   # different words that a task keeps, about 200 bytes each
+KEPT_WORDS = 400_000   # different words that a task keeps, about 200 bytes each
+TOGETHER = 500         # words that are encoded as one text
 BLOCK = 2 << 20        # bytes of text that are encoded together, about
 LONG = 64              # bytes of a word that is kept
+SIGN = b"~"
 BUCKET = 4096
 
 
@@ -32,27 +34,43 @@ class Encoder:
             os.environ["TOKENIZERS_PARALLELISM"] = "false"
             cache[path] = Tokenizer.from_file(path)
         self.tokenizer, self.known = cache[path], {}
+        ids = self.tokenizer.encode(SIGN.decode(), add_special_tokens=False).ids
+        self.sign = ids[0] if len(ids) == 1 else None
 
     def __call__(self, texts) -> list[bytes]:
         """Little-endian 32-bit token ids of each text, then id 0."""
         gc.disable()   # words are many small objects without cycles
         split = [t.split() for t in texts]
-        if len(self.known) > KEPT_WORDS:
-            self.known = {}
         known = self.known
         new = list({w for words in split for w in words if w not in known})
-        encoded = self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-        counts = [e.ids for e in encoded]
-        ids = np.fromiter(chain.from_iterable(counts), "<u4").tobytes()
-        ends = np.append(0, 4 * np.cumsum(np.fromiter(map(len, counts), np.int64, len(counts)))).tolist()
-        known.update((w, ids[lo:hi]) for w, lo, hi in zip(new, ends, ends[1:]))
+        known.update(self._encode([w for w in new if SIGN not in w], True))
+        known.update(self._encode([w for w in new if SIGN in w], False))
         out = [b"".join(map(known.__getitem__, words)) + bytes(4) for words in split]
-        for word in new:
-            if len(word) > LONG:
+        room = KEPT_WORDS - (len(known) - len(new))
+        for n, word in enumerate(new):
+            if n >= room or len(word) > LONG:
                 del known[word]
         gc.enable()
         return out
 
+    def _encode(self, words, together: bool):
+        """(word, ids) of words. Many are encoded as one text, with a sign between them that none has."""
+        size = TOGETHER if together and self.sign else 1
+        parts = [words[at:at + size] for at in range(0, len(words), size)]
+        joined = self.tokenizer.encode_batch_fast(
+            [(b" " + SIGN + b" ").join(p).decode() for p in parts], add_special_tokens=False)
+        for part, found in zip(parts, joined):
+            ids = np.array(found.ids, "<u4")
+            if len(part) == 1:
+                yield part[0], ids.tobytes()
+                continue
+            ends = np.flatnonzero(ids == self.sign)
+            if len(ends) + 1 != len(part):   # a word has the sign's id for another reason
+                yield from self._encode(part, False)
+                continue
+            data, stops = ids.tobytes(), (4 * ends).tolist()
+            yield from ((w, data[lo:hi]) for w, lo, hi in zip(part, [0, *(e + 4 for e in stops)], [*stops, len(data)]))
+
 
 def token_ids(texts, path: str) -> list[bytes]:
     return Encoder(path)(texts)
