@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from .common import as_bytes, map_rows, records_of, stored, text_blocks, worker_cache
 
-KEPT_WORDS = 400_000   # different words that a task keeps, about 200 bytes each
+KEPT_WORDS = 700_000   # different words that a task keeps, about 200 bytes each
 TOGETHER = 500         # words that are encoded as one text
 BLOCK = 2 << 20        # bytes of text that are encoded together, about
 LONG = 64              # bytes of a word that is kept
@@ -40,7 +40,7 @@ class Encoder:
     def __call__(self, texts) -> list[bytes]:
         """Little-endian 32-bit token ids of each text, then id 0."""
         gc.disable()   # words are many small objects without cycles
-        split = [t.split() for t in texts]
+        split = [t.lower().split() for t in texts]   # A-Z, which the tokenizer lower-cases in any case
         known = self.known
         new = list({w for words in split for w in words if w not in known})
         known.update(self._encode([w for w in new if SIGN not in w], True))
