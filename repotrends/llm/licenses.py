@@ -52,6 +52,39 @@ TEMPLATES = {
     "mpl-2-header": "this source code form is subject to the terms of the mozilla public license v 2 0 if a copy of "
                     "the mpl was not distributed with this file you can obtain one at [http] [https] [www] mozilla "
                     "org mpl 2 0",
+    "unlicense-text": "this is free and unencumbered software released into the public domain anyone is free to copy "
+                      "modify publish use compile sell or distribute this software either in source code form or as a "
+                      "compiled binary for any purpose commercial or non commercial and by any means in jurisdictions "
+                      "that recognize copyright laws the author or authors of this software dedicate any and all "
+                      "copyright interest in the software to the public domain we make this dedication for the benefit "
+                      "of the public at large and to the detriment of our heirs and successors we intend this "
+                      "dedication to be an overt act of relinquishment in perpetuity of all present and future rights "
+                      "to this software under copyright law the software is provided as is without warranty of any "
+                      "kind express or implied including but not limited to the warranties of merchantability fitness "
+                      "for a particular purpose and noninfringement in no event shall the authors be liable for any "
+                      "claim damages or other liability whether in an action of contract tort or otherwise arising "
+                      "from out of or in connection with the software or the use or other dealings in the software",
+    "zlib-text": "this software is provided as is without any express or implied warranty in no event will {1-12} be "
+                 "held liable for any damages arising from the use of this software permission is granted to anyone to "
+                 "use this software for any purpose including commercial applications and to alter it and redistribute "
+                 "it freely subject to the following restrictions [1] the origin of this software must not be "
+                 "misrepresented you must not claim that you wrote the original software if you use this software in a "
+                 "product an acknowledgment in the product documentation would be appreciated but is not required [2] "
+                 "altered source versions must be plainly marked as such and must not be misrepresented as being the "
+                 "original software [3] this notice may not be removed or altered from any source distribution",
+    "boost-text": "permission is hereby granted free of charge to any person or organization obtaining a copy of the "
+                  "software and accompanying documentation covered by this license the software to use reproduce "
+                  "display distribute execute and transmit the software and to prepare derivative works of the "
+                  "software and to permit third parties to whom the software is furnished to do so all subject to the "
+                  "following the copyright notices in the software and this entire statement including the above "
+                  "license grant this restriction and the following disclaimer must be included in all copies of the "
+                  "software in whole or in part and all derivative works of the software unless such copies or "
+                  "derivative works are solely in the form of machine executable object code generated by a source "
+                  "language processor the software is provided as is without warranty of any kind express or implied "
+                  "including but not limited to the warranties of merchantability fitness for a particular purpose "
+                  "title and non infringement in no event shall the copyright holders or anyone distributing the "
+                  "software be liable for any damages or other liability whether in contract tort or otherwise arising "
+                  "from out of or in connection with the software or the use or other dealings in the software",
 }
 _BSD = ("redistribution and use in source and binary forms with or without modification are permitted provided that "
         "the following conditions are met [1] [a] redistributions of source code must retain the above copyright "
@@ -184,8 +217,10 @@ def scan(docs: DataFrame, phrases=PHRASES, templates=TEMPLATES) -> DataFrame:
         tokens = words(text)
         joined = b" " + b" ".join(tokens) + b" "
         found = {label: at for label, phrase in fixed.items() if (at := places(joined, phrase))}
+        # Templates are looked up without the quotes around words, which belong to words by the base rules.
         plain = [t.strip(_QUOTES) for t in tokens]
-        spans = [(label, at, end) for label, a in automata.items() for at in places(joined, a.anchor)
+        bare = b" " + b" ".join(plain) + b" "
+        spans = [(label, at, end) for label, a in automata.items() for at in places(bare, a.anchor)
                  if (end := a.accepts(plain, at)) >= 0]
         starts = [at for own in found.values() for at in own]
         covered = set()

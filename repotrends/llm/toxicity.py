@@ -28,8 +28,40 @@ def terms(text: bytes):
     return np.unique(np.array(out, np.int64) & (SLOTS - 1))
 
 
-def select(rows, y, most: int = 8192, strength: float = 4.0):
-    """The slots whose frequency differs most between the classes, in standard errors."""
+def _by_pairs(rows, y, often, strength, block=2000):
+    """Of the slots `often`, those that go together with another one otherwise in one class than in the
+    other: their covariances in the two classes differ by so many standard errors."""
+    sizes = [(y == k).sum() for k in (1, 0)]
+    if not len(often) or min(sizes) == 0:
+        return often[:0]
+    place = np.full(SLOTS, -1, np.int64)
+    place[often] = np.arange(len(often))
+    covariance, share = [], np.zeros(len(often))
+    for k, n in zip((1, 0), sizes):
+        own = np.flatnonzero(y == k)
+        both = np.zeros((len(often), len(often)))
+        for at in range(0, n, block):
+            x = np.zeros((min(block, n - at), len(often)), np.float32)
+            for r, i in enumerate(own[at:at + block]):
+                found = place[rows[i]]
+                x[r, found[found >= 0]] = 1
+            both += x.T @ x
+        p = np.diag(both) / n
+        covariance.append(both / n - np.outer(p, p))
+        share += p * n / len(y)
+    spread = share * (1 - share)
+    error = np.sqrt(np.maximum(np.outer(spread, spread), 1e-12) * (1 / sizes[0] + 1 / sizes[1]))
+    z = np.abs(covariance[0] - covariance[1]) / error
+    # In every text, in none, or two slots of the same texts (a short word is its own beginning): no pair.
+    z[np.outer(spread, spread) < 1e-8] = 0
+    z[covariance[0] + covariance[1] > 1.98 * np.sqrt(np.outer(spread, spread))] = 0
+    np.fill_diagonal(z, 0)
+    return often[z.max(axis=1) >= strength]
+
+
+def select(rows, y, most: int = 8192, strength: float = 4.0, often: int = 1024, pair_strength: float = 12.0):
+    """The slots whose frequency differs most between the classes, in standard errors; and of the `often`
+    most frequent slots those that differ in pairs, such as two of which toxic texts have just one."""
     index = np.concatenate([*rows, np.zeros(0, np.int64)]).astype(np.int64)
     label = np.repeat(y, [len(r) for r in rows])
     toxic, clean = (np.bincount(index[label == k], minlength=SLOTS) for k in (1, 0))
@@ -38,7 +70,9 @@ def select(rows, y, most: int = 8192, strength: float = 4.0):
     z = np.abs(toxic / n1 - clean / n0) / np.sqrt(p * (1 - p) * (1 / n1 + 1 / n0))
     z[toxic + clean < 5] = 0
     best = np.argsort(-z, kind="stable")[:most]
-    return np.sort(best[z[best] >= strength])
+    frequent = np.argsort(-(toxic + clean), kind="stable")[:often]
+    frequent = frequent[(toxic + clean)[frequent] >= 5]
+    return np.union1d(best[z[best] >= strength], _by_pairs(rows, y, frequent, pair_strength))
 
 
 def _score(x: Sparse, bias, w, v):

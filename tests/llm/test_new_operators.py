@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 import time
 from collections import Counter, defaultdict
 
@@ -10,7 +11,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from repotrends.llm import alignment, factors, html, mixing, neighbours, phrases, quality, toxicity
+from repotrends.llm import alignment, factors, html, licenses, mixing, neighbours, phrases, quality, toxicity
 
 A, B = map(public_tokenizers.path, ("byte_bpe_50k.json", "piece_bpe_32k.model"))
 DOCS = "doc_id long, text string, lang string, source string, `group` string"
@@ -205,3 +206,78 @@ def test_labels_out_of_range():
     for one, two in zip(quality.fit(texts, y, 2), quality.fit([*texts, b"x", b"y"], odd, 2)):
         assert np.array_equal(one, two)
     toxicity.fit([*texts, b"x"], np.concatenate([y, [-3]]), steps=2)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_factors_learn_exactly_one_of_two(seed):
+    """Neither term tells anything on its own."""
+    rng = random.Random(seed)
+    filler, texts, y = [f"w{i}" for i in range(30)], [], []
+    for _ in range(2000):
+        one, two = rng.random() < 0.5, rng.random() < 0.5
+        words = rng.sample(filler, 8) + ["insult"] * one + ["group"] * two
+        rng.shuffle(words)
+        texts.append(" ".join(words).encode())
+        y.append(int(one != two))
+    y = np.array(y)
+    chosen, bias, w, v = toxicity.fit(texts[:1500], y[:1500])
+    place = {slot: n for n, slot in enumerate(chosen)}
+    own = [np.array([place[i] for i in toxicity.terms(t) if i in place], int) for t in texts[1500:]]
+    score, _ = toxicity._score(toxicity.Sparse([(r, np.ones(len(r))) for r in own]), bias, w, v)
+    assert np.mean((score > 0) == y[1500:]) >= 0.95
+
+
+def test_terms_without_pairs_are_left_out():
+    rng = random.Random(2)
+    texts = [" ".join(rng.sample([f"w{i}" for i in range(40)], 12)).encode() for _ in range(1000)]
+    y = np.array([rng.random() < 0.3 for _ in texts], int)
+    rows = [toxicity.terms(t) for t in texts]
+    assert len(toxicity.select(rows, y)) <= 4
+    assert len(toxicity.select(rows, np.zeros(len(y), int))) == 0
+
+
+def as_pattern(template):
+    """The template as a regular expression over words with a blank before each."""
+    out = ""
+    for part in re.findall(r"\[|\]|\{\d+-\d+\}|[^\s\[\]{}]+", template):
+        region = re.fullmatch(r"\{(\d+)-(\d+)\}", part)
+        out += "(?:" if part == "[" else ")?" if part == "]" else (
+            r"(?: \S+){%s,%s}" % region.groups() if region else " " + part)
+    return re.compile(out)
+
+
+@pytest.mark.parametrize("template", [
+    "a b [c] d", "a b {1-3} c [d [a] b] {0-2} c", "a a [a] {0-1} a", "a b [c {1-2}] [d] a"])
+def test_automaton_against_a_pattern(template):
+    rng, automaton, pattern = random.Random(5), licenses.Automaton(template), as_pattern(template)
+    for _ in range(3000):
+        words = [rng.choice("abcd") for _ in range(rng.randint(0, 12))]
+        ends = [n for n in range(len(words) + 1) if pattern.fullmatch("".join(" " + w for w in words[:n]))]
+        assert automaton.accepts([w.encode() for w in words], 0) == max(ends, default=-1)
+
+
+def filled(template):
+    """A text of the template: without the optional regions, with `x` for each word of the others."""
+    text = re.sub(r"\[[^\[\]]*\]", "", template)
+    return re.sub(r"\{(\d+)-\d+\}", lambda m: "x " * int(m[1]), text).split()
+
+
+def test_every_template_quoted_changed_and_cut(spark):
+    """Quotes around words don't hide a text; one other mandatory word or a missing end does."""
+    want, rows = {}, []
+    for label, template in licenses.TEMPLATES.items():
+        words = filled(template)
+        at = next(n for n in range(len(words) - 2, 0, -1) if words[n] != "x")
+        for text, found in [
+                (words, True), (["\u201c" + words[0], words[1] + "\u201d", *words[2:-1], "\u2018" + words[-1] + "\u2019"], True),
+                ([*words[:at], "otherwise", *words[at + 1:]], False), (words[:-1], False)]:
+            want[len(rows)] = (label, found)
+            rows.append((len(rows), "pre " + " ".join(text) + " post"))
+    rows.append((len(rows), "word " * 200_000 + " ".join(filled(licenses.TEMPLATES["mit-text"])) + " \u201c \u201d"))
+    want[len(rows) - 1] = ("mit-text", True)
+    df = spark.createDataFrame(rows + rows[:1], "doc_id long, text string").withColumn("labels", F.lit("clash"))
+    got = licenses.scan(df).collect()
+    assert len(got) == len(rows) + 1
+    for r in got:
+        label, found = want[r["doc_id"]]
+        assert (label in {s["label"] for s in r["spans"]}) == found, (label, r)
