@@ -812,3 +812,55 @@ def written_row_counts(spark, sf):
     out = src.scratch_path(spark, "counted")
     return src.write_counted(pushes=(r.pushes(spark, sf), f"{out}/pushes"),
                              metadata=(r.metadata(spark, sf), f"{out}/metadata"))
+
+
+@query("pruned_summary", ctes(*SUMMARY_CTES) + "SELECT * FROM summary")
+def pruned_summary(spark, sf):
+    """The summary with pushes without metadata dropped at the scan."""
+    return plans.monthly_summary(r.pushes(spark, sf), r.metadata(spark, sf), prune=True, **r.RULES)
+
+
+@query("rows_with_partner", """
+SELECT o_orderkey, o_custkey FROM orders
+WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')""")
+def rows_with_partner(spark, sf):
+    """Pruned by key bits, then joined: the join decides."""
+    orders = r.table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    chosen = r.table(spark, sf, "customer").filter("c_mktsegment = 'BUILDING'").select(
+        F.col("c_custkey").alias("o_custkey"))
+    return op.matching_rows(orders, chosen, ["o_custkey"]).join(chosen, "o_custkey", "left_semi").select(
+        "o_orderkey", "o_custkey")
+
+
+_BROKEN_SQL = """
+SELECT left(line, length(line) - 12) AS broken_line, true AS named FROM (
+    SELECT '{"id":"' || event_id || '","type":"PushEvent","repo":{"name":"org/r' || user_id
+           || '"},"payload":{"head":""},"created_at":"' || strftime(ts, '%Y-%m-%dT%H:%M:%SZ') || '"}' AS line
+    FROM events WHERE event_type = 'error')"""
+
+
+@query("broken_lines", _BROKEN_SQL)
+def broken_lines(spark, sf):
+    """Lines of the log that don't parse, byte for byte, from the parse that stores the events."""
+    _, broken = src.store_events(spark, r.stored_log(spark, sf), src.scratch_path(spark, "events"))
+    return broken.select("broken_line", F.col("file_name").endswith(".gz").alias("named"))
+
+
+@query("stored_event_pushes", _PUSH_SQL)
+def stored_event_pushes(spark, sf):
+    """Pushes of the events stored beside the broken lines."""
+    events, _ = src.store_events(spark, r.stored_log(spark, sf), src.scratch_path(spark, "events"))
+    return op.push_events(events)
+
+
+@query("input_report", """
+SELECT 'log' AS name, (SELECT count(*) FROM events) + (SELECT count(*) FROM documents) AS n_rows
+UNION ALL SELECT 'absent', NULL
+UNION ALL SELECT 'languages', count(*) FROM (SELECT DISTINCT source, lang FROM documents)""")
+def input_report(spark, sf):
+    """Inputs that are there, and one that isn't."""
+    log, languages = r.stored_log(spark, sf), src.scratch_path(spark, "languages")
+    r.language_bytes(spark, sf).write.parquet(languages)
+    return src.input_report(
+        spark, log=(src.read_event_lines, log), absent=(src.read_events, log + "/no-such-folder"),
+        languages=(src.read_language_bytes, languages))

@@ -13,6 +13,29 @@ def one_row_per_key(df: DataFrame, keys) -> DataFrame:
     return df.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("row")).select(*keys, "row.*")
 
 
+def matching_rows(df: DataFrame, other: DataFrame, keys, bits: int = 1 << 22) -> DataFrame:
+    """The rows of `df` that may have a partner in `other`, told where they are read, before any shuffle.
+
+    The keys of `other` set one bit each, by hash, in an array of `bits` bits (half a megabyte), which goes
+    to the tasks as a constant. Rows whose bit is not set have no partner; a few others pass as well: a
+    share of the rows of at most the number of the keys divided by `bits`. So a join must follow, and
+    gives the same as without this step. Worth its pass over the keys of `other` if they are
+    few beside those of `df`. Rows with a NULL key have no partner.
+    """
+    def place(rows):
+        return F.pmod(F.xxhash64(*(rows[k].cast("string") for k in keys)), F.lit(bits))
+
+    spark = df.sparkSession
+    held = other.dropna(subset=list(keys)).select(place(other).alias("at"))
+    words = held.groupBy(F.floor(F.col("at") / 64).cast("long").alias("id")).agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("at").cast("int") % 64)).alias("word"))
+    every = spark.range(bits // 64).join(words, "id", "left").select("id", F.coalesce("word", F.lit(0).cast("long")).alias("word"))
+    array = every.agg(F.transform(F.sort_array(F.collect_list(F.struct("id", "word"))), lambda w: w["word"]).alias("words"))
+    at = place(df)
+    word = F.get(array.scalar(), F.floor(at / 64).cast("int"))
+    return df.dropna(subset=list(keys)).filter(F.call_function("bit_get", word, at.cast("int") % 64) == 1)
+
+
 def hot_keys(df: DataFrame, keys, min_rows: int) -> DataFrame:
     """The keys with at least `min_rows` rows, and their rows `n`."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_rows)

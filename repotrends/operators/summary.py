@@ -6,6 +6,7 @@ from ..functions import ai_flag, first_match_bucket, is_known, month_of, year_of
 from ..schemas import (
     COMMIT_TERMS, DEFAULT_TASK, EMAIL_TERMS, SUMMARY_KEYS, TASK_BUCKETS, UNKNOWN_LANGUAGE,
 )
+from .enrich import matching_rows
 
 
 def _task_names(buckets, default):
@@ -66,7 +67,7 @@ def metadata_weights(meta: DataFrame, buckets=TASK_BUCKETS, default=DEFAULT_TASK
 
 
 def repo_month_counts(pushes: DataFrame, meta: DataFrame, buckets=TASK_BUCKETS, default=DEFAULT_TASK,
-                      keys=("repo_name",), by=(), **rules) -> DataFrame:
+                      keys=("repo_name",), by=(), prune: bool = False, **rules) -> DataFrame:
     """The counts of each repository, month (`yyyymm`) and language, without building enriched rows.
 
     Pushes only bring a key and a month, metadata only a language and flags, so each pair of
@@ -74,12 +75,16 @@ def repo_month_counts(pushes: DataFrame, meta: DataFrame, buckets=TASK_BUCKETS,
     no repository's pairs are ever written out. What is shuffled is one row per key and month;
     message texts never are. How to join is left to the sizes that Spark measures.
 
-    keys  `repo_name`, or with `head_sha` for the exact match.
-    by    columns of the pushes to count by as well.
+    keys   `repo_name`, or with `head_sha` for the exact match.
+    by     columns of the pushes to count by as well.
+    prune  drop pushes without metadata where they are read, so that only the others are shuffled; for
+           metadata of few of the repositories.
     """
     weights = metadata_weights(meta, buckets, default, keys, **rules)
     counts = [c for c in _count_columns(buckets, default) if c != "unique_repos"]
     at = F.col("created_at")
+    if prune:
+        pushes = matching_rows(pushes, weights, keys)
     # Year and month as one key; both parts can be cut out of it again without loss.
     months = pushes.dropna(subset=list(keys)).select(
         *keys, *by, F.concat(year_of(at), month_of(at)).alias("yyyymm")
@@ -102,9 +107,9 @@ def _in_summary_form(summed: DataFrame, buckets, default) -> DataFrame:
 
 
 def summary_from_parts(pushes: DataFrame, meta: DataFrame, buckets=TASK_BUCKETS, default=DEFAULT_TASK,
-                       keys=("repo_name",), **rules) -> DataFrame:
+                       keys=("repo_name",), prune: bool = False, **rules) -> DataFrame:
     """The same summary from counts by repository."""
-    joined = repo_month_counts(pushes, meta, buckets, default, keys, **rules)
+    joined = repo_month_counts(pushes, meta, buckets, default, keys, prune=prune, **rules)
     # One row per month, language and repository: counting rows counts repositories.
     summed = joined.groupBy("yyyymm", "primary_language").agg(
         F.count(F.lit(1)).alias("unique_repos"),

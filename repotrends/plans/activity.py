@@ -84,7 +84,8 @@ def run_activity(spark: SparkSession, log_path, meta_path, out: str, match: str
         rows = pushes.read().filter(F.col("yymm").isin(*new))
         ids = extend_dictionary(rows.select("repo_name"), f"{out}/repositories")
         keys, weights = _matching(meta, match, dedupe)
-        counts = repo_month_counts(rows, weights, keys=keys, by=("yymm",))
+        # Metadata is a sample: most repositories have none, and their pushes aren't shuffled.
+        counts = repo_month_counts(rows, weights, keys=keys, by=("yymm",), prune=True)
         parts.write(mergeable_summary(counts, ids, by=("yymm",)), new, gone)
     held = sorted((m, r["attempt"]) for m, r in parts.records().items())
     summary = write_once(merged_summary(parts.read()), f"{out}/summary", made_from=held)

@@ -1,7 +1,10 @@
 """Scans. Every reader passes an explicit schema, so no pass over the data infers one."""
 
+from functools import reduce
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions import file_month_key
 from ..schemas import (
@@ -38,6 +41,21 @@ def require_rows(df: DataFrame, what: str) -> DataFrame:
     return df
 
 
+def input_report(spark: SparkSession, **inputs) -> DataFrame:
+    """Which of a job's inputs can be used, before it starts: (name, n_rows) of inputs given as name=(reader,
+    path); n_rows is NULL where nothing is at the path, and 0 where it holds no rows."""
+    counts = []
+    for name, (reader, path) in inputs.items():
+        try:
+            rows = reader(spark, path)
+        except MissingInputError:
+            rows = None
+        # Counting is lazy: all inputs are counted by the one job that reads the report.
+        counts.append(spark.range(1).select(F.lit(name).alias("name"), F.lit(None).cast("long").alias("n_rows"))
+                      if rows is None else rows.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("name"), "n_rows"))
+    return reduce(DataFrame.unionByName, counts)
+
+
 def list_files(spark: SparkSession, path) -> DataFrame:
     """(path, file_name, length, modified, yymm) of the files under a path. It is a listing: without
     the column `content` no file is opened. Files whose name carries no month have yymm NULL."""
@@ -65,6 +83,14 @@ def read_events(spark: SparkSession, path, with_file: bool = False) -> DataFrame
     return df.select("*", F.col("_metadata.file_name").alias("file_name")) if with_file else df
 
 
+def read_events_and_rest(spark: SparkSession, path) -> DataFrame:
+    """The event files with two more columns: `file_name`, and `broken_line`, the whole text of a line that
+    fails to parse, NULL for all others."""
+    schema = StructType(EVENT.fields + [StructField("broken_line", StringType())])
+    reader = spark.read.schema(schema).option("columnNameOfCorruptRecord", "broken_line")
+    return _load(reader.json, path, "event files").select("*", F.col("_metadata.file_name").alias("file_name"))
+
+
 def read_pull_request_events(spark: SparkSession, path) -> DataFrame:
     """The event files with the fields of a pull request. The parser stops at the type of
     a line that fails the filter, which is quicker than reading lines and parsing them."""

@@ -10,7 +10,7 @@ from pyspark.sql.types import StructType
 from ..operators.checks import require_unique
 from ..schemas import SUMMARY, SUMMARY_KEYS
 from .monthly import MonthlyTable
-from .readers import TSV_OPTIONS
+from .readers import TSV_OPTIONS, read_events_and_rest
 
 
 def write_tsv(df: DataFrame, path: str) -> None:
@@ -108,6 +108,16 @@ def write_counted(**outputs) -> DataFrame:
     return df.sparkSession.createDataFrame(counts, "name string, n_rows long")
 
 
+def store_events(spark: SparkSession, path, out: str) -> tuple[DataFrame, DataFrame]:
+    """Parse event files once into Parquet; return the stored events, and the lines that failed to
+    parse as (file_name, broken_line), byte for byte. They lie apart, so neither is read with the other."""
+    rows = read_events_and_rest(spark, path).withColumn("broken", F.col("broken_line").isNotNull())
+    rows.write.mode("overwrite").partitionBy("broken").parquet(out)
+    stored = spark.read.schema(rows.schema).parquet(out)
+    return (stored.filter(~F.col("broken")).drop("broken", "broken_line"),
+            stored.filter("broken").select("file_name", "broken_line"))
+
+
 def write_jdbc_table(summary: DataFrame, url: str, table: str, properties: dict,
                      num_partitions: int = 8) -> None:
     """Full reload of the summary table: create it if absent, else empty and refill it.

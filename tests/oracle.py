@@ -9,7 +9,7 @@ TABLES = (
 
 DUCK_TO_SPARK = {
     "BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "DOUBLE": "double", "DATE": "date",
-    "TIMESTAMP": "timestamp_ntz", "VARCHAR[]": "array<string>",
+    "TIMESTAMP": "timestamp_ntz", "VARCHAR[]": "array<string>", "BOOLEAN": "boolean",
 }
 
 

@@ -399,3 +399,26 @@ def test_landing_pull_requests(spark, raw, tmp_path):
     prs = spark.read.parquet(dest)
     assert prs.count() == 4
     assert rows(op.count_by(op.ai_pull_requests(prs))) == [("a/x", 2), ("b/y", 1)]
+
+
+def test_broken_lines_are_kept_byte_for_byte(spark, tmp_path):
+    from repotrends.sources import store_events
+
+    good = '{"id":"1","type":"PushEvent","repo":{"name":"a/b"},"payload":{"head":"h"},"created_at":"2026"}'
+    broken = ['{"id":"2","type":"Push', '  not json é \t', '{"id":"3"} tail {']
+    (tmp_path / "log").mkdir()
+    (tmp_path / "log" / "one.json").write_text("\n".join([good, *broken[:2], "", good]) + "\n")
+    (tmp_path / "log" / "two.json").write_text(good + "\n")
+    events, lines = store_events(spark, str(tmp_path / "log"), str(tmp_path / "out"))
+    assert sorted(map(tuple, lines.collect())) == sorted(("one.json", b) for b in broken[:2])
+    assert events.count() == 3 and events.columns == ["id", "type", "repo", "payload", "created_at", "file_name"]
+    assert {r.file_name for r in events.collect()} == {"one.json", "two.json"}
+
+
+def test_input_report(spark, tmp_path):
+    from repotrends.sources import input_report, read_event_lines
+
+    (tmp_path / "empty").mkdir()
+    (tmp_path / "empty" / "a.json").write_text("")
+    got = input_report(spark, there=(read_event_lines, str(tmp_path / "empty")), gone=(read_event_lines, str(tmp_path / "no")))
+    assert sorted(map(tuple, got.collect())) == [("gone", None), ("there", 0)]

@@ -204,6 +204,19 @@ def test_sample_size_and_stability(spark, n):
     assert one != rows(op.seeded_sample(df, "yymm", "repo_name", n, "t"))
 
 
+def test_samples_of_nulls_and_repeated_rows(spark):
+    """Rows without a key come first; rows without a group are a group; repeated rows stay rows."""
+    data = [("m", None), ("m", "a"), ("m", "a"), ("m", "a"), (None, "b"), (None, "c")]
+    df = spark.createDataFrame(data, "yymm string, repo_name string").withColumn("step", F.lit(1)).withColumn(
+        "place", F.lit(2))
+    got = op.seeded_sample(df, "yymm", "repo_name", 3)
+    assert got.columns == df.columns
+    assert sorted(((r.yymm, r.repo_name) for r in got.collect()), key=str) == sorted(
+        [("m", None), ("m", "a"), ("m", "a"), (None, "b"), (None, "c")], key=str)
+    assert op.seeded_sample(df.limit(0), "yymm", "repo_name", 3).count() == 0
+    assert op.seeded_sample(df, "yymm", "repo_name", 0).count() == 0
+
+
 @pytest.mark.parametrize("n", [1, 5, 1001])
 def test_top_n_against_brute_force(spark, n):
     rng = random.Random(n)

@@ -1,5 +1,6 @@
 """Plan shapes that matter once no side is small: run with broadcasts off and tiny thresholds."""
 
+import hashlib
 import re
 
 import pytest
@@ -119,12 +120,55 @@ def test_trend_reuses_the_monthly_volume(large):
     assert "gettimestamp" not in plan[plan.index("SortMergeJoin"):]
 
 
-def test_samples_are_cut_before_the_shuffle(large):
+def test_top_rows_of_a_group_meet_in_parts(large, monkeypatch):
+    from repotrends.operators import sampling
+
     df = large.range(10_000).select(
         F.concat(F.lit("260"), F.col("id") % 3).alias("yymm"), F.col("id").alias("repo_name"))
-    for n in (100, 5000):
-        plan = first_plan(op.seeded_sample(df, "yymm", "repo_name", n))
-        assert re.search(r"Exchange hashpartitioning\(yymm#\d+, part#\d+", plan)
+    one = op.top_n_per_group(df, "yymm", 50, [F.md5(F.col("repo_name").cast("string")), F.col("repo_name")])
+    assert len(re.findall(r"Exchange hashpartitioning\(yymm#\d+, part#\d+", first_plan(one))) == 1
+    monkeypatch.setattr(sampling, "FAN", 2)
+    two = op.top_n_per_group(df, "yymm", 50, [F.md5(F.col("repo_name").cast("string")), F.col("repo_name")])
+    assert len(re.findall(r"Exchange hashpartitioning\(yymm#\d+, part#\d+", first_plan(two))) == 3
+    assert sorted(map(tuple, one.collect())) == sorted(map(tuple, two.collect()))
+
+
+@pytest.mark.parametrize("n", [100, 5000])
+def test_samples_are_found_by_counting(large, n):
+    """No window is by month alone, and what is ranked is little more than the sample."""
+    df = large.range(30_000).select(
+        F.when(F.col("id") % 3 == 0, "2601").otherwise(F.concat(F.lit("26"), F.col("id") % 50 + 10)).alias("yymm"),
+        F.col("id").alias("repo_name"))
+    found = op.seeded_sample(df, "yymm", "repo_name", n)
+    plan = final_plan(found)
+    assert re.search(r"Exchange hashpartitioning\(of#\d+, step#\d+", plan) and "partial_count(1)" in plan
+    by_month = {}
+    for r in df.collect():
+        by_month.setdefault(r.yymm, []).append(r.repo_name)
+    want = {(m, k) for m, ks in by_month.items()
+            for k in sorted(ks, key=lambda k: (hashlib.md5(f"0{k}".encode()).hexdigest(), k))[:n]}
+    got = list(map(tuple, found.collect()))
+    assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_pushes_without_metadata_are_not_shuffled(large):
+    pushes, md = hot_pushes(large), metadata(large).filter("repo_name in ('r7', 'r8')")
+    few, all_ = (op.summary_from_parts(pushes, md, prune=p) for p in (True, False))
+    assert sorted(map(tuple, few.collect())) == sorted(map(tuple, all_.collect()))
+    plan = first_plan(few)
+    at = plan.index("bit_get")
+    assert "partial_count(1)" in plan[:at] and "Exchange hashpartitioning(repo_name" in plan[:at]
+    kept = op.matching_rows(pushes, md, ["repo_name"])
+    assert {r.repo_name for r in kept.select("repo_name").distinct().collect()} == {"r7", "r8"}
+    few_bits = op.matching_rows(pushes, md, ["repo_name"], bits=64)   # lets more pass, never less
+    assert few_bits.join(md, "repo_name", "left_semi").count() == kept.count()
+
+
+def test_key_bits_of_nothing_and_of_nulls(large):
+    df = large.createDataFrame([(None, "x"), ("a", None), ("a", "x"), ("b", "x")], "k string, h string")
+    none = df.filter("false")
+    assert op.matching_rows(df, none, ["k"]).count() == 0 and op.matching_rows(none, df, ["k"]).count() == 0
+    assert [tuple(r) for r in op.matching_rows(df, df.filter("k = 'a'"), ["k", "h"]).collect()] == [("a", "x")]
 
 
 def test_top_list_never_sorts_everything(large):

@@ -1,5 +1,9 @@
 """Every registered query against its SQL on the smallest tables."""
 
+import os
+import subprocess
+import sys
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -40,3 +44,13 @@ def test_metadata_files_are_bounded(spark, monkeypatch):
         F.count(F.lit(1)).alias("n")).collect()]
     users = spark.read.parquet(f"{SF}/events.parquet").select("user_id").distinct().count()
     assert sum(sizes) == users and len(sizes) >= users / 10 and max(sizes) <= 40
+
+
+@pytest.mark.parametrize("package", ["tokenizers", "public_tokenizers", "xxhash"])
+def test_queries_without_a_third_party_package(package):
+    """What the optional part needs may be absent; the library's queries are still there."""
+    code = ("import sys, warnings; warnings.simplefilter('ignore'); sys.modules[%r] = None; import __spark_entry__ as e; "
+            "print(len(e.queries()), len(set(e.oracle_sql()) - set(e.queries())))" % package)
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    out = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, check=True).stdout.split()
+    assert int(out[0]) >= len(QUERIES) and out[1] == "0"
