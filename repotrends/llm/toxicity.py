@@ -28,9 +28,10 @@ def terms(text: bytes):
     return np.unique(np.array(out, np.int64) & (SLOTS - 1))
 
 
-def _by_pairs(rows, y, often, strength, block=2000):
+def _by_pairs(rows, y, often, strength, effect, block=2000):
     """Of the slots `often`, those that go together with another one otherwise in one class than in the
-    other: their covariances in the two classes differ by so many standard errors."""
+    other: their correlations in the two classes differ by so many standard errors and at least by `effect`,
+    which small differences in the mix of texts don't reach however many rows there are."""
     sizes = [(y == k).sum() for k in (1, 0)]
     if not len(often) or min(sizes) == 0:
         return often[:0]
@@ -50,16 +51,17 @@ def _by_pairs(rows, y, often, strength, block=2000):
         covariance.append(both / n - np.outer(p, p))
         share += p * n / len(y)
     spread = share * (1 - share)
-    error = np.sqrt(np.maximum(np.outer(spread, spread), 1e-12) * (1 / sizes[0] + 1 / sizes[1]))
-    z = np.abs(covariance[0] - covariance[1]) / error
+    scale = np.sqrt(np.maximum(np.outer(spread, spread), 1e-12))
+    apart = np.abs(covariance[0] - covariance[1]) / scale
     # In every text, in none, or two slots of the same texts (a short word is its own beginning): no pair.
-    z[np.outer(spread, spread) < 1e-8] = 0
-    z[covariance[0] + covariance[1] > 1.98 * np.sqrt(np.outer(spread, spread))] = 0
-    np.fill_diagonal(z, 0)
-    return often[z.max(axis=1) >= strength]
+    apart[scale < 1e-4] = 0
+    apart[covariance[0] + covariance[1] > 1.98 * scale] = 0
+    np.fill_diagonal(apart, 0)
+    return often[apart.max(axis=1) >= max(effect, strength * np.sqrt(1 / sizes[0] + 1 / sizes[1]))]
 
 
-def select(rows, y, most: int = 8192, strength: float = 4.0, often: int = 1024, pair_strength: float = 12.0):
+def select(rows, y, most: int = 8192, strength: float = 4.0, often: int = 1024, pair_strength: float = 12.0,
+           pair_effect: float = 0.4):
     """The slots whose frequency differs most between the classes, in standard errors; and of the `often`
     most frequent slots those that differ in pairs, such as two of which toxic texts have just one."""
     index = np.concatenate([*rows, np.zeros(0, np.int64)]).astype(np.int64)
@@ -72,7 +74,7 @@ def select(rows, y, most: int = 8192, strength: float = 4.0, often: int = 1024,
     best = np.argsort(-z, kind="stable")[:most]
     frequent = np.argsort(-(toxic + clean), kind="stable")[:often]
     frequent = frequent[(toxic + clean)[frequent] >= 5]
-    return np.union1d(best[z[best] >= strength], _by_pairs(rows, y, frequent, pair_strength))
+    return np.union1d(best[z[best] >= strength], _by_pairs(rows, y, frequent, pair_strength, pair_effect))
 
 
 def _score(x: Sparse, bias, w, v):
