@@ -213,23 +213,42 @@ def target_whitelist(spark, sf):
 
 # --- sinks and round trips -------------------------------------------------------------
 
+def _enriched_messages(spark, sf):
+    return r.messages(spark, sf).select(
+        "repo_name", F.col("doc_id").cast("string").alias("event_id"),
+        F.lit("PushEvent").alias("event_type"), F.lit(None).cast("string").alias("head_sha"),
+        F.lit("2026-01-02T15:00:00Z").alias("created_at"),
+        "commit_message", "author_email", "primary_language",
+    )
+
+
 @query("tsv_roundtrip", ctes("messages") + """
 SELECT repo_name, CAST(doc_id AS VARCHAR) AS event_id, 'PushEvent' AS event_type,
        CAST(NULL AS VARCHAR) AS head_sha, '2026-01-02T15:00:00Z' AS created_at,
        commit_message, author_email, primary_language FROM messages""")
 def tsv_roundtrip(spark, sf):
     """Multi-line messages, NULL and empty fields through headered TSV and back."""
-    rows = r.messages(spark, sf).select(
-        "repo_name", F.col("doc_id").cast("string").alias("event_id"),
-        F.lit("PushEvent").alias("event_type"), F.lit(None).cast("string").alias("head_sha"),
-        F.lit("2026-01-02T15:00:00Z").alias("created_at"),
-        "commit_message", "author_email", "primary_language",
-    )
     path = src.scratch_path(spark, "enriched")
-    src.write_tsv(rows, path)
+    src.write_tsv(_enriched_messages(spark, sf), path)
     return src.read_enriched_tsv(spark, path)
 
 
+@query("tsv_bounded_roundtrip", ctes("messages") + """
+SELECT repo_name, CAST(doc_id AS VARCHAR) AS event_id, 'PushEvent' AS event_type,
+       CAST(NULL AS VARCHAR) AS head_sha, '2026-01-02T15:00:00Z' AS created_at,
+       commit_message, author_email, primary_language, CAST(0 AS BIGINT) AS n_long_files FROM messages""")
+def tsv_bounded_roundtrip(spark, sf):
+    """The same through files of at most 256 KB, or of one row; and how many files are longer."""
+    rows = _enriched_messages(spark, sf)
+    stored, path = src.scratch_path(spark, "messages"), src.scratch_path(spark, "enriched")
+    rows.write.parquet(stored)
+    src.write_bounded_tsv(spark.read.schema(rows.schema).parquet(stored), path, 1 << 18)
+    back = src.read_enriched_tsv(spark, path)
+    one = back.groupBy(F.input_file_name().alias("path")).agg(F.count(F.lit(1)).alias("n"))
+    long = src.list_files(spark, path).filter(F.col("length") > 1 << 18).join(one.filter("n > 1"), "path", "left_semi")
+    return back.withColumn("n_long_files", long.agg(F.count(F.lit(1))).scalar())
+
+
 @query("csv_roundtrip", """
 SELECT source AS repo_name, count(*) AS ai_pr_count FROM documents GROUP BY 1""")
 def csv_roundtrip(spark, sf):
@@ -864,3 +883,29 @@ def input_report(spark, sf):
     return src.input_report(
         spark, log=(src.read_event_lines, log), absent=(src.read_events, log + "/no-such-folder"),
         languages=(src.read_language_bytes, languages))
+
+
+# --- pushes that lie by repository ---------------------------------------------------------
+
+@query("bucketed_join", ctes("pushes", "metadata", "enriched") + """
+SELECT repo_name, event_id, event_type, head_sha, created_at, commit_message, author_email, primary_language
+FROM enriched""")
+def bucketed_join(spark, sf):
+    """Pushes land in buckets, month by month in two writes; the join with the metadata shuffles none of them."""
+    pushes = r.pushes(spark, sf)
+    rows = pushes.withColumn("yymm", F.concat(F.substring("created_at", 3, 2), F.substring("created_at", 6, 2)))
+    table = src.BucketedTable(
+        spark, src.scratch_path(spark, "bucketed"), rows.schema, ["repo_name"], 8, hot_rows=10_000)
+    for year in ("created_at < '1995'", "created_at >= '1995'"):
+        table.write(rows.filter(year))
+    return table.join(r.metadata(spark, sf).drop("head_sha")).drop("yymm")
+
+
+@query("activity_bucketed_job", "WITH log AS (" + _PUSH_SQL + ")," + _USERS + _JOB_SQL)
+def activity_bucketed_job(spark, sf):
+    """The job with pushes in buckets, run with other metadata first: the second run shuffles metadata only."""
+    log, out = r.stored_log(spark, sf), src.scratch_path(spark, "activity")
+    for events in (r.table(spark, sf, "events").filter("event_type = 'click'"), None):
+        meta = _stored_metadata(spark, sf, events)
+        plans.run_activity(spark, log, meta, out, buckets=8)
+    return op.monthly_language_summary(plans.stored_enriched(spark, out))

@@ -5,7 +5,8 @@ from .coverage import (  # noqa: F401
     calendar_span, files_per_month, missing_snapshots, snapshot_calendar, span_of,
 )
 from .enrich import (  # noqa: F401
-    attach_dominant, attach_metadata, dominant_category, language_rows, matching_rows, one_row_per_key,
+    attach_dominant, attach_metadata, dominant_category, language_rows, matching_rows, metadata_side,
+    one_row_per_key,
 )
 from .events import (  # noqa: F401
     ai_pull_requests, count_by, first_event, id_order, parse_pull_request_lines, preview_messages,

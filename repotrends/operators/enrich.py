@@ -41,27 +41,42 @@ def hot_keys(df: DataFrame, keys, min_rows: int) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_rows)
 
 
+def salt_of(rows: DataFrame, keys):
+    """A row's salt, drawn from all columns of `rows`, beside a column `salts` with the number that its key
+    has (NULL for one). Rows with a NULL key match nothing and are spread as well."""
+    nulls = reduce(or_, (F.col(k).isNull() for k in keys))
+    drawn = F.xxhash64(*rows.columns)
+    return F.when(nulls, F.pmod(drawn, F.lit(1 << 30))).otherwise(
+        F.pmod(drawn, F.coalesce("salts", F.lit(1)))).cast("int")
+
+
 def _salted_join(left, right, keys, min_rows):
     """Left join that spreads each hot key of `left`, one salt for every `min_rows` rows of it.
 
     Only the rows of hot keys are copied on the right, once per salt. Every left row has
-    one salt and meets all right rows of its key, so the result is the plain join's. Rows
-    with a NULL key match nothing and are spread as well. The salt is drawn from all columns.
+    one salt and meets all right rows of its key, so the result is the plain join's.
     The list of hot keys is broadcast: it has at most one key for every `min_rows` rows, so a
     million for 10^12 rows at the default. Joined by a shuffle on the key, it would gather the
     very rows that the salt is to spread.
     """
     salts = F.broadcast(hot_keys(left, keys, min_rows).select(
         *keys, F.ceil(F.col("n") / min_rows).cast("int").alias("salts")))
-    drawn = F.xxhash64(*left.columns)
-    nulls = reduce(or_, (F.col(k).isNull() for k in keys))
-    salt = F.when(nulls, F.pmod(drawn, F.lit(1 << 30))).otherwise(F.pmod(drawn, F.coalesce("salts", F.lit(1))))
+    salt = salt_of(left, keys)
     copies = F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1)
-    left = left.join(salts, keys, "left").withColumn("salt", salt.cast("int"))
+    left = left.join(salts, keys, "left").withColumn("salt", salt)
     right = right.join(salts, keys, "left").withColumn("salt", F.explode(copies))
     return left.drop("salts").join(right.drop("salts"), [*keys, "salt"], "left").drop("salt")
 
 
+def metadata_side(meta: DataFrame, match: str, dedupe: bool):
+    """The keys that a match joins on, and the metadata as it meets the pushes."""
+    keys = ["repo_name", "head_sha"] if match == "head" else ["repo_name"]
+    if match == "repo":
+        meta = meta.drop("head_sha")
+    meta = meta.select(*[c for c in METADATA.fieldNames() if c in meta.columns])
+    return keys, one_row_per_key(meta, keys) if dedupe else meta
+
+
 def attach_metadata(pushes: DataFrame, meta: DataFrame, match: str = "repo", dedupe: bool = False,
                     skew: str = "adaptive", hot_rows: int = 1_000_000, keep=()) -> DataFrame:
     """Every push with its repository's metadata; unmatched pushes keep NULL metadata.
@@ -78,12 +93,7 @@ def attach_metadata(pushes: DataFrame, meta: DataFrame, match: str = "repo", ded
             unmatched pushes from an anti join against the distinct keys.
     keep    columns of the pushes that come along beside the usual ones.
     """
-    keys = ["repo_name", "head_sha"] if match == "head" else ["repo_name"]
-    if match == "repo":
-        meta = meta.drop("head_sha")
-    meta = meta.select(*[c for c in METADATA.fieldNames() if c in meta.columns])
-    if dedupe:
-        meta = one_row_per_key(meta, keys)
+    keys, meta = metadata_side(meta, match, dedupe)
     if skew == "salted":
         joined = _salted_join(pushes, meta, keys, hot_rows)
     elif skew == "both":

@@ -6,12 +6,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import file_month_key
 from ..operators import (
-    attach_metadata, mergeable_summary, merged_summary, metadata_targets, one_row_per_key, push_events,
-    push_heads, repo_month_counts, summary_from_parts,
+    attach_metadata, mergeable_summary, merged_summary, metadata_side, metadata_targets, one_row_per_key,
+    push_events, push_heads, repo_month_counts, summary_from_parts,
 )
 from ..schemas import ENRICHED_BY_MONTH, PUSHES_BY_MONTH, SAMPLE_PER_MONTH, SUMMARY_PARTS
 from ..sources import (
-    NO_MONTH, MonthlyTable, append_missing_months, extend_dictionary, file_stamps, list_files, read_events,
+    NO_MONTH, BucketedTable, MonthlyTable, append_missing_months, extend_dictionary, file_stamps, list_files, read_events,
     read_metadata, require_rows, write_once,
 )
 
@@ -44,7 +44,8 @@ def stored_enriched(spark: SparkSession, out: str) -> DataFrame:
 
 
 def run_activity(spark: SparkSession, log_path, meta_path, out: str, match: str = "repo",
-                 dedupe: bool = False, skew: str = "adaptive", keep_enriched: bool = True) -> DataFrame:
+                 dedupe: bool = False, skew: str = "adaptive", keep_enriched: bool = True,
+                 buckets: int | None = None) -> DataFrame:
     """Store pushes, enriched pushes and summary under `out`; return the summary in order.
 
     The log is parsed once, into Parquet by month of its files: gzip text gives one task per file and no
@@ -56,13 +57,21 @@ def run_activity(spark: SparkSession, log_path, meta_path, out: str, match: str
     two months' files hold pushes of the same day. Other metadata files or options make all
     months' enriched pushes and parts anew, for a repository's metadata belongs to its pushes of any month.
     No input is an error, and nothing is stored.
+
+    buckets  lay the pushes by the keys of the match, in so many buckets, when they land. Each month's pushes
+             are shuffled then, once; later joins with new metadata shuffle the metadata only. `skew` is
+             not asked then, for hot repositories lie in several buckets.
     """
     listed = list_files(spark, log_path)
     log = require_rows(read_events(spark, log_path, with_file=True), "the event log")
     stamps = {r["yymm"]: r["stamp"] for r in file_stamps(listed).collect()}
     month = F.coalesce(file_month_key(F.col("file_name")), F.lit(NO_MONTH))
 
-    pushes = MonthlyTable(spark, f"{out}/pushes", PUSHES_BY_MONTH)
+    if buckets:
+        keys = ("repo_name", "head_sha") if match == "head" else ("repo_name",)
+        pushes = BucketedTable(spark, f"{out}/pushes-{match}-{buckets}", PUSHES_BY_MONTH, keys, buckets)
+    else:
+        pushes = MonthlyTable(spark, f"{out}/pushes", PUSHES_BY_MONTH)
     new, gone = pushes.stale(stamps)
     if new or gone:
         pushes.write(push_events(log.filter(month.isin(*new)), month.alias("yymm")), new, gone)
@@ -74,14 +83,17 @@ def run_activity(spark: SparkSession, log_path, meta_path, out: str, match: str
     enriched = MonthlyTable(spark, f"{out}/enriched", ENRICHED_BY_MONTH)
     new, gone = enriched.stale(made_from)
     if keep_enriched and (new or gone):
-        rows = pushes.read().filter(F.col("yymm").isin(*new))
-        joined = attach_metadata(rows, meta, match, dedupe, skew, keep=("yymm",))
+        if buckets:
+            _, side = metadata_side(meta, match, dedupe)
+            joined = pushes.join(side, months=new).select(*ENRICHED_BY_MONTH.fieldNames())
+        else:
+            joined = attach_metadata(pushes.read(new), meta, match, dedupe, skew, keep=("yymm",))
         enriched.write(joined, new, gone)
 
     parts = MonthlyTable(spark, f"{out}/parts", SUMMARY_PARTS)
     new, gone = parts.stale(made_from)
     if new or gone:
-        rows = pushes.read().filter(F.col("yymm").isin(*new))
+        rows = pushes.read(new)
         ids = extend_dictionary(rows.select("repo_name"), f"{out}/repositories")
         keys, weights = _matching(meta, match, dedupe)
         # Metadata is a sample: most repositories have none, and their pushes aren't shuffled.

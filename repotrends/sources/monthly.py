@@ -42,8 +42,7 @@ class MonthlyTable:
         gone  months that are held no more.
         """
         attempt = uuid.uuid4().hex
-        folder = f"{self.path}/rows/attempt={attempt}"
-        rows.select(*self.schema.fieldNames()).write.partitionBy(self.month).parquet(folder)
+        folder = self._store(rows.select(*self.schema.fieldNames()), attempt)
         counts = self.spark.read.schema(self.schema).parquet(folder).groupBy(self.month).agg(
             F.count(F.lit(1)).alias("n")).collect()
         found = {r[0]: r["n"] for r in counts}
@@ -53,6 +52,12 @@ class MonthlyTable:
         if listed:
             self.spark.createDataFrame(listed, _RECORD).coalesce(1).write.mode("append").parquet(f"{self.path}/_log")
 
+    def _store(self, rows: DataFrame, attempt: str) -> str:
+        """Write the rows of an attempt, by month; the folder they lie in."""
+        folder = f"{self.path}/rows/attempt={attempt}"
+        rows.write.partitionBy(self.month).parquet(folder)
+        return folder
+
     def stale(self, made_from: dict) -> tuple[dict, list]:
         """Of the months and what they would be made from: those to make anew; and the months that are
         held but not among them."""
@@ -60,10 +65,10 @@ class MonthlyTable:
         return ({m: f for m, f in made_from.items() if m not in held or held[m]["made_from"] != f},
                 sorted(m for m in held if m not in made_from))
 
-    def read(self) -> DataFrame:
-        """The rows of all months that are held."""
+    def read(self, months=None) -> DataFrame:
+        """The rows of all months that are held, or of those named."""
         paths = [f"{self.path}/rows/attempt={r['attempt']}/{self.month}={m}"
-                 for m, r in sorted(self.records().items()) if r["n_rows"]]
+                 for m, r in sorted(self.records().items()) if r["n_rows"] and (months is None or m in months)]
         if not paths:
             return self.spark.createDataFrame([], self.schema)
         return self.spark.read.schema(self.schema).option("basePath", f"{self.path}/rows").parquet(*paths).select(

@@ -2,6 +2,8 @@
 
 import hashlib
 import json
+from functools import reduce
+from operator import add
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
@@ -18,6 +20,40 @@ def write_tsv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").options(**TSV_OPTIONS).csv(path)
 
 
+def _tsv_bytes(df: DataFrame):
+    """No less than the bytes of a row in a TSV file: quotes are doubled, and each field may be quoted."""
+    def field(name):
+        value = F.col(f"`{name}`").cast("string")
+        quotes = F.octet_length(value) - F.octet_length(F.replace(value, F.lit('"'), F.lit("")))
+        return F.coalesce(F.octet_length(value) + quotes, F.lit(0)).cast("long") + 3
+
+    return reduce(add, map(field, df.columns))
+
+
+def write_bounded_tsv(df: DataFrame, path: str, max_bytes: int = 1 << 30) -> None:
+    """`write_tsv` with no file over `max_bytes`, but for one that holds a single longer row.
+
+    A file of quoted line breaks is read by one task, so the bound is that task's. Files are cut by the
+    number of rows, from the widths that a pass over the rows measures: rows of up to four times the
+    mean, then those of up to 16 times that, and so on, each of these classes with a number of its
+    own, so a few wide rows don't make all files small. The success marker comes with the last
+    class. Pass a stored table: it is read once for the widths and once for each class (five if the widest
+    row is a hundred thousand times the mean).
+    """
+    width = _tsv_bytes(df)
+    header = sum(len(c.encode()) + c.count('"') + 3 for c in df.columns)
+    room = max(1, max_bytes - header)
+    mean, widest = df.agg(F.avg(width), F.max(width)).first()
+    mean, widest = mean or 1, widest or 1
+    edges = [0, int(4 * mean) + 1]
+    while edges[-1] < widest:
+        edges.append(16 * edges[-1])
+    for n, (low, high) in enumerate(zip(edges, edges[1:])):
+        df.filter((width > low) & (width <= high)).write.mode("append" if n else "overwrite").options(**TSV_OPTIONS).option(
+            "maxRecordsPerFile", max(1, room // min(high, widest))).option(
+            "mapreduce.fileoutputcommitter.marksuccessfuljobs", str(high >= widest).lower()).csv(path)
+
+
 def write_plain_tsv(df: DataFrame, path: str) -> None:
     """Replace a folder with headerless TSV part files."""
     df.write.mode("overwrite").options(**{**TSV_OPTIONS, "header": False}).csv(path)

@@ -97,6 +97,25 @@ def test_tsv_keeps_line_breaks_nulls_and_blanks(spark, tmp_path):
     assert rows(src.read_enriched_tsv(spark, str(tmp_path / "t"))) == rows(df)
 
 
+def test_bounded_tsv_files(spark, tmp_path):
+    texts = [None, "", "short", 'a "quoted"\nline\t', '"' * 700, "é" * 900, "long " * 2000]
+    data = [("r", str(n), "PushEvent", None, "t", texts[n % 400 % 7] if n % 400 < 7 else "usual text", "", None)
+            for n in range(4000)]
+    df = spark.createDataFrame(data, ENRICHED).repartition(2)
+    df.write.parquet(str(tmp_path / "p"))
+    df = spark.read.parquet(str(tmp_path / "p"))
+    src.write_bounded_tsv(df, str(tmp_path / "t"), 20_000)
+    sizes = [f.length for f in src.list_files(spark, str(tmp_path / "t")).collect() if f.file_name != "_SUCCESS"]
+    assert max(sizes) <= 20_000 and max(sizes) > 4_000 and len(sizes) < 120
+    assert src.stage_is_complete(spark, str(tmp_path / "t"))
+    assert rows(src.read_enriched_tsv(spark, str(tmp_path / "t"))) == rows(df)
+    # One row longer than the bound is a file by itself; a table without rows is one without files of rows.
+    src.write_bounded_tsv(df, str(tmp_path / "t"), 2_000)
+    assert rows(src.read_enriched_tsv(spark, str(tmp_path / "t"))) == rows(df)
+    src.write_bounded_tsv(df.limit(0), str(tmp_path / "t"), 2_000)
+    assert rows(src.read_enriched_tsv(spark, str(tmp_path / "t"))) == []
+
+
 def test_csv_keeps_order(spark, tmp_path):
     df = spark.createDataFrame([(f"r{i}", i % 17) for i in range(200)], "repo_name string, ai_pr_count long")
     src.write_csv(df.repartition(5).orderBy(F.desc("ai_pr_count"), "repo_name"), str(tmp_path / "c"))
@@ -333,6 +352,37 @@ def test_what_a_killed_run_left_is_not_read(spark, tmp_path):
     assert table.stale({"2601": "none left", "2603": "x"}) == ({"2603": "x"}, ["2602"])
 
 
+def test_buckets_follow_the_commit_log(spark, tmp_path):
+    df = spark.createDataFrame(
+        [("hot" if n % 2 else f"r{n}" if n % 4 else None, n, m) for m in ("2601", "2602") for n in range(40)],
+        "k string, n long, yymm string")
+    def table():
+        return src.BucketedTable(spark, str(tmp_path / "t"), df.schema, ["k"], 3, hot_rows=5)
+
+    assert rows(table().read()) == [] and rows(table().join(spark.createDataFrame([("x", 1)], "k string, v int"))) == []
+    table().write(df.filter("yymm = '2601'"))
+    table().write(df.filter("n < 10"))         # both months, the first one anew
+    killed = table()
+    killed._store(df, "dead")                  # rows without a record
+    want = df.filter("n < 10")
+    assert rows(table().read()) == rows(want) and rows(table().read(["2602"])) == rows(want.filter("yymm = '2602'"))
+    other = spark.createDataFrame([("hot", 1), ("hot", 2), ("r2", 3), (None, 4)], "k string, v int")
+    for how in ("left", "inner", "left_semi", "left_anti"):
+        assert rows(table().join(other, how)) == rows(want.join(other, "k", how)), how
+    assert rows(table().salts()) == [("hot", 2)]
+
+
+@pytest.mark.parametrize("options", [{}, {"match": "head"}, {"dedupe": True}])
+def test_bucketed_job_gives_the_same(spark, raw, meta, tmp_path, options):
+    plain, laid = str(tmp_path / "plain"), str(tmp_path / "laid")
+    for _ in range(2):
+        one = plans.run_activity(spark, raw + "/*.json.gz", meta, plain, **options)
+        two = plans.run_activity(spark, raw + "/*.json.gz", meta, laid, buckets=3, **options)
+        assert rows(one) == rows(two)
+        assert rows(plans.stored_enriched(spark, plain)) == rows(plans.stored_enriched(spark, laid))
+        write_gz(raw, "2026-02-02-15.json.gz", [event(61, "a/x", "h9", "2026-02-02T15:00:00Z")])
+
+
 def test_dictionary_keeps_its_numbers(spark, tmp_path):
     path = str(tmp_path / "d")
     names = lambda *n: spark.createDataFrame([(x,) for x in n], "name string")

@@ -6,7 +6,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from repotrends import functions as fn, operators as op, plans
+from repotrends import functions as fn, operators as op, plans, sources as src
 from repotrends.schemas import METADATA, PUSH
 
 LARGE = {
@@ -86,6 +86,21 @@ def test_hot_metadata_key_is_split_as_well(large):
     assert both.exceptAll(plain).isEmpty() and both.count() == plain.count()
 
 
+def test_bucketed_pushes_are_not_shuffled(large, tmp_path):
+    pushes = hot_pushes(large).withColumn("yymm", F.lit("2601"))
+    table = src.BucketedTable(large, str(tmp_path / "t"), pushes.schema, ["repo_name"], 6, hot_rows=500)
+    table.write(pushes)
+    meta = large.createDataFrame([("hot", "Go"), ("hot", "C"), ("r1", "Rust")], "repo_name string, language string")
+    joined = table.join(meta)
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    left = plan[plan.index("SortMergeJoin"):plan.index("Exchange hashpartitioning")]
+    assert "Bucketed: true" in left and "FileScan parquet spark_catalog" in left
+    assert sorted(joined.collect()) == sorted(pushes.join(meta, "repo_name", "left").select(joined.columns).collect())
+    # The repository with a third of the rows lies in several buckets, none of which holds much more than its share.
+    sizes = [r["n"] for r in table._rows().groupBy(F.input_file_name()).agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert len(sizes) == 6 and max(sizes) < 2 * pushes.count() / 6
+
+
 def test_summary_adds_up_before_the_join(large):
     """The hot repository reaches the join as one row per month."""
     summary = op.summary_from_parts(hot_pushes(large), metadata(large))
