@@ -12,6 +12,7 @@ import re
 from html import unescape
 from zlib import crc32
 
+import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 from .common import map_rows, stored
@@ -44,6 +45,7 @@ CONTENT = ("html", "body", "main", "article")
 OWN = "own-"
 BY_NAME, BY_TAG, MARK = 1, 2, 4
 RICH = 10
+VECTORS = 4096  # pairs of two lists of children from which their alignment is worked on by vectors
 FEW = 5  # different pages of a host that a text must stand on before it is left out as template
 
 # What follows an element's name, up to its end: a quote opens only after `=`, as in browsers. No part
@@ -157,80 +159,145 @@ def _children(outline) -> list:
     return out
 
 
-def match(a, b, most: int = 4_000_000) -> list:
-    """Simple tree matching of two outlines: pairs of matched elements, roots first.
+def _structures(outline, kids, known: dict) -> list:
+    """A number for each element's subtree: the same for subtrees of the same tags."""
+    out = [0] * len(outline)
+    for n in range(len(outline) - 1, -1, -1):   # preorder: children come after their parents
+        out[n] = known.setdefault((outline[n][1], tuple([out[k] for k in kids[n]])), len(known))
+    return out
+
 
-    Children are aligned in order so that the matched subtrees have most elements. Two lists
-    of children whose lengths multiply to over `most` / 8 are paired in order from the front instead,
-    without pairs of different tags.
+class _Alignment:
+    """Best alignments of lists of subtrees, in order, so that the matched ones have most elements.
+
+    Subtrees go by the numbers of their structures, `of[number]` being (tag, children). A list is worked on
+    row by row; rows of long lists are vectors, of which the square root of their number is kept, and the
+    rows between two of them are made again where the way back passes. So the memory is that of a few
+    rows, and the alignment exact however long the lists are.
     """
-    kids_a, kids_b = _children(a), _children(b)
-    memo = {}
-
-    def size(x, y):
-        return memo.get((x, y), 1)  # pairs without common children are not kept
-
-    def align(x, y):
-        """Best alignment of the children of x and y: (elements, pairs)."""
-        ka, kb = kids_a[x], kids_b[y]
-        if len(ka) * len(kb) * 8 > most:
-            pairs = [(p, q) for p, q in zip(ka, kb) if a[p][1] == b[q][1]]
-            return sum(size(p, q) for p, q in pairs), pairs
-        # Childless elements of one tag at the same end can as well be paired there.
-        front, back = [], []
-        low, high_a, high_b = 0, len(ka), len(kb)
-        while low < min(high_a, high_b) and plain(ka[low], kb[low]):
-            front.append((ka[low], kb[low]))
-            low += 1
-        while low < min(high_a, high_b) and plain(ka[high_a - 1], kb[high_b - 1]):
-            high_a, high_b = high_a - 1, high_b - 1
-            back.append((ka[high_a], kb[high_b]))
-        pairs, best = lists(ka[low:high_a], kb[low:high_b])
-        return best + len(front) + len(back), front + pairs + back
-
-    def plain(p, q):
-        return a[p][1] == b[q][1] and not kids_a[p] and not kids_b[q]
-
-    def lists(ka, kb):
-        table = [[0] * (len(kb) + 1)]
+
+    def __init__(self, of):
+        self.of, self.size = of, {}   # pairs without common children are not kept: their size is 1
+
+    def _ends(self, ka, kb):
+        """How many childless elements of one tag stand at both beginnings, and at both ends of the rest; they can
+        as well be paired there."""
+        def plain(p, q):
+            return self.of[p][0] == self.of[q][0] and not self.of[p][1] and not self.of[q][1]
+
+        front = back = 0
+        least = min(len(ka), len(kb))
+        while front < least and plain(ka[front], kb[front]):
+            front += 1
+        while back < least - front and plain(ka[-1 - back], kb[-1 - back]):
+            back += 1
+        return front, back
+
+    def _row(self, p, kb, above):
+        out, left, tag = [0], 0, self.of[p][0]
+        for j, q in enumerate(kb):
+            here = above[j] + self.size.get((p, q), 1) if tag == self.of[q][0] else 0
+            left = max(left, here, above[j + 1])
+            out.append(left)
+        return out
+
+    def _rows(self, ka, kb):
+        """A function that gives the row after `p` from the row above."""
+        if len(ka) * len(kb) < VECTORS:
+            return (lambda p, above: self._row(p, kb, above)), [0] * (len(kb) + 1)
+        different, place = np.unique(kb, return_inverse=True)
+        known = {}
+
+        def after(p, above):
+            if p not in known:
+                if len(known) * len(different) > VECTORS * 100:
+                    known.clear()
+                known[p] = np.array([self.size.get((p, q), 1) if self.of[p][0] == self.of[q][0] else 0
+                                     for q in different.tolist()], np.int32)
+            gain = known[p][place]
+            here = np.where(gain > 0, above[:-1] + gain, 0)
+            out = np.zeros_like(above)
+            np.maximum.accumulate(np.maximum(here, above[1:]), out=out[1:])
+            return out
+
+        return after, np.zeros(len(kb) + 1, np.int32)
+
+    def score(self, ka, kb) -> int:
+        front, back = self._ends(ka, kb)
+        ka, kb = ka[front:len(ka) - back], kb[front:len(kb) - back]
+        if not ka or not kb:
+            return front + back
+        after, row = self._rows(ka, kb)
         for p in ka:
-            above, row, left = table[-1], [0], 0
-            for j, q in enumerate(kb):
-                here = above[j] + size(p, q) if a[p][1] == b[q][1] else 0
-                left = max(left, here, above[j + 1])
-                row.append(left)
-            table.append(row)
-        pairs, i, j = [], len(ka), len(kb)
+            row = after(p, row)
+        return front + back + int(row[-1])
+
+    def pairs(self, ka, kb) -> list:
+        """The places of the elements that are paired."""
+        front, back = self._ends(ka, kb)
+        out = [(n, n) for n in range(front)] + [(len(ka) - n, len(kb) - n) for n in range(1, back + 1)]
+        ka, kb = ka[front:len(ka) - back], kb[front:len(kb) - back]
+        if not ka or not kb:
+            return out
+        after, row = self._rows(ka, kb)
+        step = int(len(ka) ** 0.5) + 1
+        kept = []
+        for i, p in enumerate(ka):
+            if i % step == 0:
+                kept.append(row)
+            row = after(p, row)
+        i, j, first = len(ka), len(kb), len(ka) + 1
         while i and j:
-            if table[i][j] == table[i - 1][j]:
+            if i - 1 < first:   # the rows from a kept one on
+                first = (i - 1) // step * step
+                table = [kept[first // step]]
+                for p in ka[first:i]:
+                    table.append(after(p, table[-1]))
+            if table[i - first][j] == table[i - 1 - first][j]:
                 i -= 1
-            elif table[i][j] == table[i][j - 1]:
+            elif table[i - first][j] == table[i - first][j - 1]:
                 j -= 1
             else:
                 i, j = i - 1, j - 1
-                pairs.append((ka[i], kb[j]))
-        return pairs, table[-1][-1]
+                out.append((front + i, front + j))
+        return out
 
-    # Pairs that can match: same tag, and parents that can. Sizes come from the deepest pairs up.
-    todo, pairs = [(0, 0)], []
+
+def match(a, b) -> list:
+    """Simple tree matching of two outlines: pairs of matched elements, roots first.
+
+    Children are aligned in order so that the matched subtrees have most elements, exactly and at
+    every size. Sizes are worked out once for each pair of different structures that can meet, the
+    lowest first.
+    """
+    kids_a, kids_b = _children(a), _children(b)
+    known = {}
+    kind_a, kind_b = _structures(a, kids_a, known), _structures(b, kids_b, known)
+    of, height = list(known), []
+    for _, inner in of:
+        height.append(1 + max((height[k] for k in inner), default=0))
+    # Pairs that can match: same tag, and parents that can.
+    todo, met = [(kind_a[0], kind_b[0])], {(kind_a[0], kind_b[0])}
     while todo:
         x, y = todo.pop()
-        pairs.append((x, y))
-        inner_a, inner_b = ([k for k in kids[n] if kids[k]] for kids, n in ((kids_a, x), (kids_b, y)))
-        if len(kids_a[x]) * len(kids_b[y]) * 8 > most:
-            inner_a, inner_b = kids_a[x], kids_b[y]
-            todo += [(p, q) for p, q in zip(inner_a, inner_b) if a[p][1] == b[q][1] and kids_a[p] and kids_b[q]]
-        else:
-            todo += [(p, q) for p in inner_a for q in inner_b if a[p][1] == b[q][1]]
-    best = {}
-    for x, y in reversed(pairs):
-        n, best[x, y] = align(x, y)
-        memo[x, y] = n + 1
-    out, todo = [], [(0, 0)]
+        inner_a, inner_b = ({k for k in of[n][1] if of[k][1]} for n in (x, y))
+        for p in inner_a:
+            for q in inner_b:
+                if of[p][0] == of[q][0] and (p, q) not in met:
+                    met.add((p, q))
+                    todo.append((p, q))
+    alignment = _Alignment(of)
+    for x, y in sorted(met, key=lambda pair: height[pair[0]]):
+        alignment.size[x, y] = 1 + alignment.score(of[x][1], of[y][1])
+    out, todo, best = [], [(0, 0)], {}
     while todo:
-        pair = todo.pop()
-        out.append(pair)
-        todo += best.get(pair, ())
+        x, y = todo.pop()
+        out.append((x, y))
+        if kids_a[x] and kids_b[y]:
+            pair = kind_a[x], kind_b[y]
+            if pair not in best:
+                best[pair] = alignment.pairs(of[pair[0]][1], of[pair[1]][1])
+            todo += [(kids_a[x][i], kids_b[y][j]) for i, j in best[pair]]
     return out
 
 
@@ -243,9 +310,16 @@ def _path(outline, n: int) -> str:
     return "/".join(reversed(out))
 
 
-def shape(outline) -> str:
-    """A page's outline without repeated paths: what pages of one template have in common."""
-    return "|".join(dict.fromkeys(_path(outline, n) for n, e in enumerate(outline) if e[1] not in INLINE))
+def shape(outline) -> int:
+    """A checksum of a page's outline without repeated paths: what pages of one template have in common.
+    A path goes by its depth and a checksum of its tags, so deep pages take no more memory than others."""
+    paths, seen = [], {}
+    for parent, tag, *_ in outline:
+        depth, above = paths[parent] if parent >= 0 else (0, 0)
+        paths.append((depth + 1, crc32(b"/" + tag.encode(), above)))
+        if tag not in INLINE:
+            seen[paths[-1]] = None
+    return crc32(repr(list(seen)).encode())
 
 
 def _own(node: Node) -> str:
@@ -401,7 +475,7 @@ def induce(pages: DataFrame) -> DataFrame:
     """
     def outlines(hosts, pages):
         trees = [outline(h) for h in pages]
-        yield hosts, [crc32(shape(t).encode()) for t in trees], [marshal.dumps(t) for t in trees]
+        yield hosts, [shape(t) for t in trees], [marshal.dumps(t) for t in trees]
 
     found = stored(map_rows(
         pages.select(_host().alias("host"), F.coalesce("html", F.lit("")).alias("html")), outlines,

@@ -281,3 +281,76 @@ def test_every_template_quoted_changed_and_cut(spark):
     for r in got:
         label, found = want[r["doc_id"]]
         assert (label in {s["label"] for s in r["spans"]}) == found, (label, r)
+
+
+def random_outline(rng, size):
+    """Parents and tags of a tree, in preorder."""
+    def grow(left, depth):
+        tag, kids = rng.choice("abc"), []
+        while left > 1 and depth < 4 and rng.random() < 0.8:
+            kids.append(grow(rng.randint(1, left - 1), depth + 1))
+            left -= 1 + len(kids[-1][1])
+        return tag, kids
+
+    out = []
+
+    def number(tree, parent):
+        at = len(out)
+        out.append((parent, tree[0]))
+        for kid in tree[1]:
+            number(kid, at)
+
+    number(("root", [grow(size, 1) for _ in range(rng.randint(0, 4))]), -1)
+    return out
+
+
+def most_matched(a, b, x=0, y=0):
+    """The largest matching of two subtrees, by trying all choices."""
+    kids_a, kids_b = html._children(a)[x], html._children(b)[y]
+
+    def lists(ka, kb):
+        if not ka or not kb:
+            return 0
+        best = max(lists(ka[1:], kb), lists(ka, kb[1:]))
+        if a[ka[0]][1] == b[kb[0]][1]:
+            best = max(best, most_matched(a, b, ka[0], kb[0]) + lists(ka[1:], kb[1:]))
+        return best
+
+    return 1 + lists(kids_a, kids_b)
+
+
+@pytest.mark.parametrize("vectors", [0, 4096])
+def test_tree_matching_is_the_largest(vectors, monkeypatch):
+    monkeypatch.setattr(html, "VECTORS", vectors)
+    rng = random.Random(5)
+    for _ in range(150):
+        a, b = random_outline(rng, 6), random_outline(rng, 6)
+        pairs = html.match(a, b)
+        assert len(pairs) == most_matched(a, b)
+        of = dict(pairs)
+        assert len(of) == len(set(of.values())) == len(pairs) and pairs[0] == (0, 0)
+        for x, y in pairs[1:]:
+            assert a[x][1] == b[y][1] and of[a[x][0]] == b[y][0]
+        for x, y in pairs:   # siblings keep their order
+            assert all((x < x2) == (y < y2) for x2, y2 in pairs if a[x2][0] == a[x][0])
+
+
+def test_long_lists_of_children_are_aligned_exactly():
+    items = [f"<li><a>t</a>{'<p>x</p>' * (n % 7)}</li>" for n in range(3000)]
+    a = html.outline(f"<ul>{''.join(items)}</ul>")
+    b = html.outline(f"<ul><li><h2>advert</h2><h2>x</h2></li>{''.join(items)}</ul>")
+    start = time.time()
+    pairs = html.match(a, b)
+    assert time.time() - start < 10
+    assert len(pairs) == len(a)
+
+
+def test_deep_pages_take_little_memory():
+    page = "<div>" * 50_000 + "text" + "</div>" * 50_000
+    start = time.time()
+    tree = html.outline(page)
+    assert len(tree) == 50_001 and html.shape(tree) == html.shape(list(tree))
+    assert len(html.match(tree, tree)) == len(tree)
+    assert time.time() - start < 10
+    assert html.shape(html.outline("<div><b>x</b><p>y</p></div>")) == html.shape(html.outline("<div><p>z</p><p>y</p></div>"))
+    assert html.shape(html.outline("<div><p>x</p></div>")) != html.shape(html.outline("<div><ul>x</ul></div>"))
