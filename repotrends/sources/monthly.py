@@ -41,8 +41,8 @@ class MonthlyTable:
         left out, the months of the rows are listed.
         gone  months that are held no more.
         """
-        attempt = uuid.uuid4().hex
-        folder = self._store(rows.select(*self.schema.fieldNames()), attempt)
+        folder = self._store(rows.select(*self.schema.fieldNames()), uuid.uuid4().hex)
+        attempt = folder.rpartition("attempt=")[2]
         counts = self.spark.read.schema(self.schema).parquet(folder).groupBy(self.month).agg(
             F.count(F.lit(1)).alias("n")).collect()
         found = {r[0]: r["n"] for r in counts}

@@ -372,6 +372,25 @@ def test_buckets_follow_the_commit_log(spark, tmp_path):
     assert rows(table().salts()) == [("hot", 2)]
 
 
+def test_buckets_grow_with_the_table(spark, tmp_path):
+    df = spark.createDataFrame(
+        [(f"r{n % 50}" if n % 9 else None, n, m) for m, size in (("2601", 60), ("2602", 100), ("2603", 400)) for n in range(size)],
+        "k string, n long, yymm string")
+    def table():
+        return src.BucketedTable(spark, str(tmp_path / "t"), df.schema, ["k"], 2, hot_rows=10, bucket_rows=40)
+
+    for month in ("2601", "2602", "2603"):
+        table().write(df.filter(F.col("yymm") == month))
+    assert rows(table().read()) == rows(df) and rows(table().read(["2602"])) == rows(df.filter("yymm = '2602'"))
+    other = spark.createDataFrame([("r1", 1), ("r1", 2), ("r2", 3), (None, 4)], "k string, v int")
+    for how in ("left", "inner", "left_semi", "left_anti"):
+        assert rows(table().join(other, how)) == rows(df.join(other, "k", how)), how
+    plan = table().join(other.hint("merge"))._jdf.queryExecution().executedPlan().toString()
+    assert [f"{n} out of {n}" in plan for n in (2, 4, 8, 16)] == [True, True, False, True]
+    largest = [level.groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0] for level in table()._levels()]
+    assert max(largest) <= 2 * 40   # no bucket holds much more than asked for, however large the table
+
+
 @pytest.mark.parametrize("options", [{}, {"match": "head"}, {"dedupe": True}])
 def test_bucketed_job_gives_the_same(spark, raw, meta, tmp_path, options):
     plain, laid = str(tmp_path / "plain"), str(tmp_path / "laid")
