@@ -19,6 +19,7 @@ from .common import as_bytes, map_rows, pack, pack_rising, records_of, small_bat
 
 GRAM = 24
 BLOCK = 4 << 20        # bytes of text that a map task cuts at once, about
+STRETCH = 1 << 15      # windows whose anchors are found at once
 GROUP = 1 << 19        # windows of a group, about
 ANCHORS = 1 << 24      # bytes of text whose anchors make a group, about
 CROWDED = 1 << 14      # occurrences of an anchor, from which on its windows are filed by their own bytes
@@ -27,8 +28,11 @@ _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
 def _mix(x):
-    x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-    return x ^ (x >> np.uint64(29))
+    high = x >> np.uint64(31)
+    high ^= x
+    high *= np.uint64(0xBF58476D1CE4E5B9)
+    high ^= high >> np.uint64(29)
+    return high
 
 
 def _run_hashes(data, size: int):
@@ -58,6 +62,23 @@ def _least(values, width: int):
     return np.minimum(values[:len(values) - rest], values[rest:]) if rest else values
 
 
+def _anchors(data, window: int, gram: int):
+    """The hash of each run of `gram` bytes, and for each window the place of its anchor. Computed in
+    stretches that stay in a processor's cache."""
+    hashes, anchor = np.empty(len(data) - gram + 1, np.uint64), np.empty(len(data) - window + 1, np.int64)
+    # Half of a hash and the place make a value whose least is the first place of the least hash.
+    low = np.uint64(0xFFFFFFFF)
+    for lo in range(0, len(anchor), STRETCH):
+        found = _run_hashes(data[lo:lo + STRETCH + window - 1], gram)
+        hashes[lo:lo + len(found)] = found
+        found &= ~low
+        found |= np.arange(len(found), dtype=np.uint64)
+        least = _least(found, window - gram + 1)
+        least &= low
+        np.add(least.view(np.int64), lo, out=anchor[lo:lo + STRETCH])
+    return hashes, anchor
+
+
 def _chunks(texts, window: int):
     """Of all texts, joined: their bytes, and for each chunk its text's number, first window (in the
     joined bytes), number of windows and anchor hash."""
@@ -66,10 +87,7 @@ def _chunks(texts, window: int):
     if len(data) < window:
         return data, none, none, none, none.astype(np.uint64)
     gram = min(GRAM, window)
-    hashes = _run_hashes(data, gram)
-    # Half of a hash and the place make a value whose least is the first place of the least hash.
-    low = np.uint64(0xFFFFFFFF)
-    anchor = (_least((hashes & ~low) | np.arange(len(hashes), dtype=np.uint64), window - gram + 1) & low).astype(np.int64)
+    hashes, anchor = _anchors(data, window, gram)
     sizes = np.array([len(t) for t in texts], np.int64)
     ends = np.cumsum(sizes)
     whole = np.zeros(len(data) + 1, np.int32)   # 1 where a window lies in one text
