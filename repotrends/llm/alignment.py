@@ -21,12 +21,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import records_of, stored, text_blocks, wide_partitions, worker_cache
+from .common import records_of, small_batches, stored, text_blocks, wide_partitions, worker_cache
 
-BLOCK = 4 << 20       # bytes of text in a block, about; a longer text is one by itself
+BLOCK = 2 << 20       # bytes of text in a block, about; a longer text is one by itself
 BATCH = 256 << 10     # characters that are tokenized at once
-KEPT = 100_000        # different units that a task keeps for the next block, about 300 bytes each
-LONG = 64             # characters of a unit that is kept for the next block
+KEPT = 150_000        # different units that a worker keeps for its next blocks, about 300 bytes each
+LONG = 64             # characters of a unit that is kept for the next blocks
 GROUP = 4_000_000     # pairs of a group, about 40 bytes each in memory
 _BLANKS, _SINGLE_SPACE = re.compile(r" \s|\s |^ | $"), re.compile(r"(?<=\S) (?=\S)")
 _MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
@@ -64,6 +64,8 @@ class Vocabularies:
         ids = {t: i for i, t in reversed(list(enumerate(self.bytes_b)))}
         ids |= {self.bytes_b[i]: i for i in reversed(range(len(self.bytes_b))) if not self.b.is_byte(i)}
         self.same = np.array([ids.get(t, -1) if t else -1 for t in self.bytes_a], np.int64)
+        #: Alignments of units that are kept, and their numbers, each once.
+        self.known, self.numbers = {}, {}
         #: An id as text with the sign after it: A's `,` or `|`, then B's `,` or `;`.
         self.printed = np.array([b"%d%c" % (i, s) for i in range(len(self.bytes_a)) for s in b",|"]
                                 + [b"%d%c" % (i, s) for i in range(len(self.bytes_b)) for s in b",;"], object)
@@ -151,30 +153,37 @@ def _align(vocabulary: Vocabularies, units):
 
 
 class Aligner:
-    """Alignments of texts, put together from those of their units, of which the latest are kept."""
+    """Alignments of texts, put together from those of their units, which a worker keeps up to a bound. It
+    starts anew once that is reached and it knows less than a quarter of a block's units."""
 
     def __init__(self, vocabulary: Vocabularies):
-        self.vocabulary, self.known = vocabulary, {}
+        self.vocabulary = vocabulary
 
     def __call__(self, texts):
         """For each text n_a, n_b, n_groups, n_links, the digest and the links' pair codes."""
         cut = [self.vocabulary.units(text) for text in texts]
-        if len(self.known) > KEPT:
-            self.known = {}
-        known = self.known
-        new = list({u for units in cut for u in units if u not in known})
+        known, numbers = self.vocabulary.known, self.vocabulary.numbers
+        different = set().union(*cut)
+        new = list(different.difference(known))
+        if len(known) >= KEPT and 4 * len(new) > 3 * len(different):
+            known.clear()
+            numbers.clear()
+            new = list(different)
         for part in _batches(new, BATCH):
-            known.update(zip(part, _align(self.vocabulary, part)))
+            known.update((u, (numbers.setdefault(n, n) if len(u) <= LONG else n, *rest))
+                         for u, (n, *rest) in zip(part, _align(self.vocabulary, part)))
         for units in cut:
             found = [known[u] for u in units]
-            numbers = np.frombuffer(b"".join([f[0] for f in found]), "<u4").reshape(-1, 5).sum(0, np.int64).tolist()
-            if numbers[4] or not units:
+            sums = np.frombuffer(b"".join([f[0] for f in found]), "<u4").reshape(-1, 5).sum(0, np.int64).tolist()
+            if sums[4] or not units:
                 yield 0, 0, 0, 0, "", b""
             else:
                 digest = hashlib.sha256(b"".join([f[1] for f in found])[:-1]).hexdigest()
-                yield *numbers[:4], digest, b"".join([f[2] for f in found])
-        if any(len(u) > LONG for u in new):
-            self.known = {u: f for u, f in known.items() if len(u) <= LONG}
+                yield *sums[:4], digest, b"".join([f[2] for f in found])
+        room = KEPT - (len(known) - len(new))
+        for n, unit in enumerate(new):
+            if n >= room or len(unit) > LONG:
+                del known[unit]
 
 
 def _planes(values) -> bytes:
@@ -252,7 +261,7 @@ def _identity_counts(filed: DataFrame, path_a: str, path_b: str) -> DataFrame:
     def run(batches):
         vocabulary = vocabularies(path_a, path_b)
         vector = np.zeros(len(vocabulary.bytes_a), np.int64)
-        for batch in batches:
+        for batch in small_batches(batches):
             for pairs, counts in zip(*(c.to_pylist() for c in batch.columns)):
                 codes, counts = np.frombuffer(pairs, "<u4").astype(np.int64), np.frombuffer(counts, "<u4")
                 same = vocabulary.identity(codes)
@@ -273,7 +282,7 @@ def _pair_sums(filed: DataFrame, path_a: str, path_b: str, groups: int) -> DataF
 
     def file(batches):
         vocabulary = vocabularies(path_a, path_b)
-        for batch in batches:
+        for batch in small_batches(batches):
             for block, pairs, counts in zip(*(c.to_pylist() for c in batch.columns)):
                 codes, counts = np.frombuffer(pairs, "<u4").astype(np.int64), np.frombuffer(counts, "<u4")
                 irregular = ~vocabulary.identity(codes)
@@ -290,7 +299,7 @@ def _pair_sums(filed: DataFrame, path_a: str, path_b: str, groups: int) -> DataF
 
     def total(batches):
         now, parts = None, []
-        for batch in batches:
+        for batch in small_batches(batches):
             for row in zip(*(c.to_pylist() for c in batch.columns)):
                 if parts and row[0] != now:
                     yield add_up(now, parts)
@@ -348,13 +357,14 @@ def align(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
 
     def run(batches):
         vocabulary = vocabularies(path_a, path_b)
+        vocabulary.known, vocabulary.numbers = {}, {}   # not needed any more
         vector = np.zeros(len(vocabulary.bytes_a), np.int64)
         vector[list(identity)] = list(identity.values())
         best = np.zeros(len(vocabulary.bytes_b), np.int64)
         best[list(most)] = list(most.values())
         known = vocabulary.same >= 0
         np.maximum.at(best, vocabulary.same[known], vector[known])
-        for batch in batches:
+        for batch in small_batches(batches):
             for ids, *own, digests, found, n_pairs, steps, times, answer in zip(*(c.to_pylist() for c in batch.columns)):
                 codes = np.frombuffer(found, "<u4").astype(np.int64)
                 same = vocabulary.identity(codes)

@@ -11,7 +11,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from repotrends.llm import alignment, factors, html, licenses, mixing, neighbours, phrases, quality, toxicity
+from repotrends.llm import alignment, factors, html, licenses, mixing, neighbours, packing, phrases, quality, queries, toxicity
 
 A, B = map(public_tokenizers.path, ("byte_bpe_50k.json", "piece_bpe_32k.model"))
 DOCS = "doc_id long, text string, lang string, source string, `group` string"
@@ -354,3 +354,44 @@ def test_deep_pages_take_little_memory():
     assert time.time() - start < 10
     assert html.shape(html.outline("<div><b>x</b><p>y</p></div>")) == html.shape(html.outline("<div><p>z</p><p>y</p></div>"))
     assert html.shape(html.outline("<div><p>x</p></div>")) != html.shape(html.outline("<div><ul>x</ul></div>"))
+
+
+def test_words_are_kept_for_later_tasks(monkeypatch):
+    texts = [b"one two three ~four", b"five ~ six two", b""]
+    first = packing.Encoder(queries.TOKENIZER)
+    first.known.clear()
+    want = first(texts)
+    assert b"three" in packing.Encoder(queries.TOKENIZER).known
+    monkeypatch.setattr(packing, "KEPT_WORDS", 3)
+    for n in range(3):   # full of other words, then of its own
+        assert packing.Encoder(queries.TOKENIZER)(texts) == want
+        packing.Encoder(queries.TOKENIZER)([b"%d %d %d %d" % (n, n + 10, n + 20, n + 30)])
+    first.known.clear()
+    assert first(texts) == want and len(first.known) == 3
+    assert first([b"ten eleven two"]) and len(first.known) <= 3
+
+
+def test_units_are_kept_for_later_tasks(monkeypatch):
+    vocabulary = alignment.Vocabularies(A, B)
+    texts = ["one two three", "four  five two", "", "x" * 100 + " one"]
+    want = list(alignment.Aligner(vocabulary)(texts))
+    assert "three" in vocabulary.known
+    assert "x" * 100 not in vocabulary.known and list(alignment.Aligner(vocabulary)(texts)) == want
+    monkeypatch.setattr(alignment, "KEPT", 2)
+    for _ in range(3):
+        assert list(alignment.Aligner(vocabulary)(texts)) == want
+        list(alignment.Aligner(vocabulary)([f"w{n} v{n}" for n in range(9)]))
+    assert 0 < len(vocabulary.known) <= 9
+    vocabulary.known.clear()
+    assert list(alignment.Aligner(vocabulary)(texts)) == want and 0 < len(vocabulary.known) <= 2
+
+
+def test_anchors_are_the_same_in_stretches(monkeypatch):
+    random.seed(5)
+    data = np.frombuffer(bytes(random.choice(b"ab") for _ in range(500)) + bytes(100), np.uint8)
+    whole = factors._anchors(data, 40, 9)
+    hashes = factors._run_hashes(data, 9) >> np.uint64(32)
+    assert whole[1].tolist() == [at + int(hashes[at:at + 32].argmin()) for at in range(len(data) - 39)]
+    for size in (1, 7, 560, 561, 562):
+        monkeypatch.setattr(factors, "STRETCH", size)
+        assert all((x == y).all() for x, y in zip(whole, factors._anchors(data, 40, 9)))
