@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from .common import as_bytes, map_rows, records_of, stored, text_blocks, worker_cache
 
-KEPT_WORDS = 700_000   # different words that a task keeps, about 200 bytes each
+KEPT_WORDS = 700_000   # different words that a worker keeps, about 200 bytes each
 TOGETHER = 500         # words that are encoded as one text
 BLOCK = 2 << 20        # bytes of text that are encoded together, about
 LONG = 64              # bytes of a word that is kept
@@ -24,7 +24,8 @@ BUCKET = 4096
 
 class Encoder:
     """Token ids of texts. White space separates tokens in every case, so words are encoded alone, and
-    a task keeps those it has seen, up to a bound."""
+    a worker keeps those it has seen, up to a bound, for its next tasks as well. It starts anew once it is
+    full and does not know most of a block's words."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -33,7 +34,7 @@ class Encoder:
         if path not in cache:
             os.environ["TOKENIZERS_PARALLELISM"] = "false"
             cache[path] = Tokenizer.from_file(path)
-        self.tokenizer, self.known = cache[path], {}
+        self.tokenizer, self.known = cache[path], worker_cache("encoded words").setdefault(path, {})
         ids = self.tokenizer.encode(SIGN.decode(), add_special_tokens=False).ids
         self.sign = ids[0] if len(ids) == 1 else None
 
@@ -42,7 +43,11 @@ class Encoder:
         gc.disable()   # words are many small objects without cycles
         split = [t.lower().split() for t in texts]   # A-Z, which the tokenizer lower-cases in any case
         known = self.known
-        new = list({w for words in split for w in words if w not in known})
+        words = set().union(*split)
+        new = list(words.difference(known))
+        if len(known) >= KEPT_WORDS and 2 * len(new) > len(words):
+            known.clear()
+            new = list(words)
         known.update(self._encode([w for w in new if SIGN not in w], True))
         known.update(self._encode([w for w in new if SIGN in w], False))
         out = [b"".join(map(known.__getitem__, words)) + bytes(4) for words in split]
